@@ -6,9 +6,14 @@ from pyspark.sql import functions as F
 
 from tslines.model import WriteOptions
 from tslines.operators.batches import local_bodies
-from tslines.operators.decode import parse_bodies, parse_lines, to_measurement
+from tslines.operators.decode import (
+    parse_bodies,
+    parse_lines,
+    parse_measurement,
+    to_measurement,
+)
 from tslines.operators.encode import encode_points
-from tslines.operators.ingest import learn_types, wide_schema
+from tslines.operators.ingest import judge, learn_types, wide_schema
 from tslines.sources.files import bodies_from_text, read_lp, read_numbered_lines
 
 
@@ -150,6 +155,46 @@ def test_wide_table_from_points_with_fields_in_any_place(spark):
     ]
 
 
+QUICK = [
+    "m,a=1,b=2 x=1i,y=2.5,s=\"p q\",u=7u,t=true 5",
+    "m,a=1,b=2 x=1i,y=2.5 5",
+    "m,b=2,a=1 y=2.5,x=1i",
+    "m x=1i,z=3i,y=1e3 -7",
+    "m,a=,b=2 x=-1i,y=.5,u=18446744073709551616u,t=F,s=\"\"",
+    "m,a=1=2 x=1i,y=2.5,u=1u,t=t,s=3",
+    r"m,a=x\,y,b=2 x=1i,y=2.5 5",
+    "m,a=1,a=2 x=1i",
+    "m,a=1,b=2 x=1,y=2.5",
+    "m,a=1,b=2 x=1i,y=0x1p3 5",
+    "m,a=1,b=2 x=,y=2.5 5",
+    "m,a=1,b=2 x=1i,y=2.5,u=1u,t=t,=3 5",
+    "m,a=1,b=2 x=1i,y=2.5 99999999999999999999",
+    "m,a=1,b=2 x=1i,y=2.5 12x",
+    "m,a=1,b=2 x=1i,x=2i,y=1.0",
+    "m",
+    "n,a=1 x=1i",
+]
+
+
+@pytest.mark.parametrize("fields", [{"x": "i", "y": "f"}, {"x": "i", "y": "f", "s": "s", "u": "u", "t": "b"}])
+def test_quick_reader_agrees_with_the_general_one(spark, fields):
+    df = spark.createDataFrame([(i, lp) for i, lp in enumerate(QUICK)], "n int, lp string")
+    quick = parse_measurement(df, "m", ["a", "b"], fields).drop("lp")
+    types = spark.createDataFrame(
+        [("m", k, t) for k, t in fields.items()], "measurement string, key string, type string"
+    )
+    judged = judge(parse_lines(df).withColumn("batch_id", F.lit(0)), types)
+    general = to_measurement(judged, "m", ["a", "b"], fields, ["n", "reject"]).drop("time")
+    rejected = {r.n for r in judged.where("reject is not null").collect()}
+    got = {r.n: r for r in quick.collect()}
+    known = {"u", "t", "s"} - set(fields)
+    # only the general reader looks at the text of fields that were not asked for
+    unasked = {4, 5} if known else set()
+    assert {n for n, r in got.items() if r.reject} | unasked == rejected | unasked
+    for want in general.where("reject is null").collect():
+        assert got[want.n].asDict() == want.asDict()
+
+
 def test_decoding_runs_without_python(spark):
     df = spark.createDataFrame([("m v=1i",)], "lp string")
     plan = parse_lines(df)._jdf.queryExecution().executedPlan().toString()

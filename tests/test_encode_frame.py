@@ -185,4 +185,3 @@ def test_plan_has_no_shuffle_and_pushes_null_tests(spark, tmp_path):
     plan = encode_frame(df, "m", ["h"], "t")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
     assert "IsNotNull(v)" in plan and "unused" not in plan
-    assert "*(1) Project" in plan

@@ -143,7 +143,7 @@ def test_value_display(spark):
         spark,
         point("m", fields={"a": 1.0, "b": 0.1, "c": 1e21, "d": 2, "e": (3, "u"), "f": "x", "g": True}),
     )
-    shown = df.select(F.transform("fields", lambda f: value_display(f["value"])).alias("d")).first()
+    shown = df.select(F.expr(f"transform(fields, f -> {value_display('f.value')})").alias("d")).first()
     assert shown.d == ["1", "0.1", "1" + "0" * 21, "2", "3", "x", "true"]
 
 

@@ -1,4 +1,8 @@
-"""Text of numbers and booleans.
+"""Text of numbers and booleans, as SQL expression text.
+
+The functions here take and return SQL text: a float expression has over a hundred nodes,
+which the parser builds at once and a chain of Column calls builds one call at a time.
+`F.expr` makes a column of it.
 
 Floats print the shortest digits that read back to the same value: plain notation inside
 a fixed range, `d.ddde-x` outside. Spark's own cast already prints that text between 1e-3
@@ -16,7 +20,6 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 import pyarrow as pa
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -31,90 +34,109 @@ class _Layout:
     long_text: int  # length of the cast text from which digits may be too many
     shorter: tuple[str, ...]
 
+    def limit(self, v: float) -> str:
+        # in the width of the column: 0.001 as FLOAT is not 0.001 as DOUBLE
+        return f"cast({v!r}D as {self.spark_type})"
+
+    def between(self, a: str, low: float, high: float) -> str:
+        return f"({a} >= {self.limit(low)} AND {a} < {self.limit(high)})"
+
 
 # The notation ranges of the two float widths.
-_F64 = _Layout("double", 1e-5, 1e16, "decimal(27,10)", "decimal(30,24)", 20, ("%.14e", "%.15e", "%.16e"))
+_F64 = _Layout(
+    "double", 1e-5, 1e16, "decimal(27,10)", "decimal(30,24)", 20, ("%.14e", "%.15e", "%.16e")
+)
 _F32 = _Layout("float", 1e-6, 1e13, "decimal(24,10)", "decimal(24,20)", 11, ("%.6e", "%.7e"))
 
 
-def _digits(a: Column, w: _Layout) -> Column:
+def _digits(a: str, w: _Layout) -> str:
     """Shortest scientific text of a non-negative value."""
-    text = a.cast("string")
-    branches = None
-    for fmt in w.shorter:
-        shorter = F.format_string(fmt, a)
-        good = shorter.cast(w.spark_type) == a
-        branches = F.when(good, shorter) if branches is None else branches.when(good, shorter)
-    return F.when(F.length(text) < w.long_text, text).otherwise(branches.otherwise(text))
+    text = f"cast({a} as string)"
+    tries = " ".join(
+        f"WHEN cast(format_string('{f}', {a}) as {w.spark_type}) = {a} "
+        f"THEN format_string('{f}', {a})"
+        for f in w.shorter
+    )
+    return f"CASE WHEN length({text}) < {w.long_text} THEN {text} {tries} ELSE {text} END"
 
 
-def _plain(a: Column, w: _Layout, decimal: str) -> Column:
+def _plain(a: str, w: _Layout, decimal: str) -> str:
     # keep one digit after the point, drop the zeros that the decimal scale added
-    return F.regexp_replace(_digits(a, w).cast(decimal).cast("string"), r"(\.\d+?)0*$", "$1")
+    text = f"cast(cast({_digits(a, w)} as {decimal}) as string)"
+    return rf"regexp_replace({text}, r'(\.\d+?)0*$', '$1')"
+
 
+def _scientific(a: str, w: _Layout) -> str:
+    text = f"replace({_digits(a, w)}, 'E', 'e')"
+    return rf"regexp_replace({text}, r'\.?0*e\+?(-?)0*(\d)', 'e$1$2')"
 
-def _scientific(a: Column, w: _Layout) -> Column:
-    text = F.regexp_replace(_digits(a, w), "E", "e")
-    return F.regexp_replace(text, r"\.?0*e\+?(-?)0*(\d)", "e$1$2")
 
+def _bound(v: str, body: str) -> str:
+    """`body` over `x`, the value of `v`.
 
-def _float_text(v: Column, w: _Layout) -> Column:
-    a = F.abs(v)
-    sign = F.when(v < 0, "-").otherwise("")
+    As a lambda the body is compiled apart from the row loop, which stays small enough for
+    the JIT even with many float columns.
+    """
+    return f"get(transform(array({v}), x -> {body}), 0)"
 
-    def between(low: float, high: float) -> Column:
-        # limits in the width of the column: 0.001 as FLOAT is not 0.001 as DOUBLE
-        return (a >= F.lit(low).cast(w.spark_type)) & (a < F.lit(high).cast(w.spark_type))
 
+def _rare(w: _Layout) -> str:
+    """Text of any float `x`; used where the cast alone is not the text."""
+    a, sign = "abs(x)", "CASE WHEN x < 0 THEN '-' ELSE '' END"
     return (
-        F.when(between(1e-3, 1e7) | (a == 0), v.cast("string"))
-        .when(F.isnan(v), F.lit("NaN"))
-        .when(a == float("inf"), F.concat(sign, F.lit("inf")))
-        .when(between(1e7, w.plain_below), F.concat(sign, _plain(a, w, w.big_decimal)))
-        .when(between(w.plain_from, 1e-3), F.concat(sign, _plain(a, w, w.small_decimal)))
-        .when(v.isNotNull(), F.concat(sign, _scientific(a, w)))
+        f"CASE WHEN isnan(x) THEN 'NaN' WHEN {a} = double('inf') THEN concat({sign}, 'inf') "
+        f"WHEN {w.between(a, w.plain_from, 1e-3)} "
+        f"THEN concat({sign}, {_plain(a, w, w.small_decimal)}) "
+        f"WHEN {w.between(a, 1e7, w.plain_below)} "
+        f"THEN concat({sign}, {_plain(a, w, w.big_decimal)}) "
+        f"ELSE concat({sign}, {_scientific(a, w)}) END"
     )
 
 
-def f64_text(v: Column) -> Column:
+def _float_text(v: str, w: _Layout) -> str:
+    usual = f"{w.between(f'abs({v})', 1e-3, 1e7)} OR {v} = 0"
+    return (
+        f"CASE WHEN {usual} THEN cast({v} as string) "
+        f"WHEN {v} IS NOT NULL THEN {_bound(v, _rare(w))} END"
+    )
+
+
+def f64_text(v: str) -> str:
     return _float_text(v, _F64)
 
 
-def f32_text(v: Column) -> Column:
+def f32_text(v: str) -> str:
     """Own shortest text of a FLOAT; it is not widened first, so 0.1 stays 0.1."""
     return _float_text(v, _F32)
 
 
-def int_text(v: Column) -> Column:
-    return F.concat(v.cast("string"), F.lit("i"))
+def int_text(v: str) -> str:
+    return f"concat(cast({v} as string), 'i')"
 
 
-def uint_text(v: Column) -> Column:
-    return F.concat(v.cast("string"), F.lit("u"))
+def uint_text(v: str) -> str:
+    return f"concat(cast({v} as string), 'u')"
 
 
-def bool_text(v: Column) -> Column:
-    return v.cast("string")
+def bool_text(v: str) -> str:
+    return f"cast({v} as string)"
 
 
-def float_display(v: Column, width: str = "double") -> Column:
+def float_display(v: str, width: str = "double") -> str:
     """Display text of a float: never an exponent, and 1.0 shows as 1."""
     w = _F64 if width == "double" else _F32
-    a = F.abs(v)
-    sign = F.when(v < 0, "-").otherwise(F.when(v.cast("string") == "-0.0", "-").otherwise(""))
-    text = F.regexp_replace(_scientific(a, w), "E", "e")
-    digits = F.regexp_replace(F.substring_index(text, "e", 1), r"\.", "")
-    exponent = F.substring_index(text, "e", -1).cast("int")
-    huge = F.rpad(digits, exponent + 1, "0")
-    tiny = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    plain = F.regexp_replace(_float_text(a, w), r"\.0$", "")
-    return (
-        F.when(F.isnan(v), F.lit("NaN"))
-        .when(a == float("inf"), F.concat(sign, F.lit("inf")))
-        .when((a == 0) | ((a >= w.plain_from) & (a < w.plain_below)), F.concat(sign, plain))
-        .when(a >= w.plain_below, F.concat(sign, huge))
-        .when(v.isNotNull(), F.concat(sign, tiny))
+    sign = "CASE WHEN x < 0 OR cast(x as string) = '-0.0' THEN '-' ELSE '' END"
+    text = _scientific("abs(x)", w)
+    digits = f"replace(substring_index({text}, 'e', 1), '.', '')"
+    exponent = f"cast(substring_index({text}, 'e', -1) as int)"
+    inner = (
+        f"CASE WHEN isnan(x) THEN 'NaN' WHEN abs(x) = double('inf') THEN concat({sign}, 'inf') "
+        f"WHEN x = 0 OR {w.between('abs(x)', w.plain_from, w.plain_below)} "
+        rf"THEN concat({sign}, regexp_replace({_float_text('abs(x)', w)}, r'\.0$', '')) "
+        f"WHEN abs(x) > 1 THEN concat({sign}, rpad({digits}, {exponent} + 1, '0')) "
+        f"ELSE concat({sign}, '0.', repeat('0', -{exponent} - 1), {digits}) END"
     )
+    return f"CASE WHEN {v} IS NOT NULL THEN {_bound(v, inner)} END"
 
 
 @F.arrow_udf(StringType())

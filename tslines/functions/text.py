@@ -47,6 +47,26 @@ def quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), escape_quoted(c), F.lit('"'))
 
 
+def _sql_escape(v: str, specials: tuple[str, ...]) -> str:
+    for char in specials:
+        v = f"replace({v}, r'{char}', r'\\{char}')"
+    return v
+
+
+# The same rules as SQL expression text, for expressions built as text.
+def sql_escape_key(v: str) -> str:
+    return _sql_escape(v, KEY_SPECIALS)
+
+
+def sql_quoted(v: str) -> str:
+    return f"concat('\"', {_sql_escape(v, QUOTED_SPECIALS)}, '\"')"
+
+
+def sql_name(name: str) -> str:
+    """A column name in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _escape_name(name: str, specials: tuple[str, ...]) -> str:
     for char in specials:
         name = name.replace(char, "\\" + char)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tslines.functions import numbers, times
+from tslines.functions.text import sql_name
 from tslines.model import U64
 
 _TEXT = (T.StringType, T.CharType, T.VarcharType)
@@ -59,9 +60,9 @@ def display(df: DataFrame, name: str) -> Column:
     kind = _kind(df, name)
     c = F.col(f"`{name}`")
     if isinstance(kind, T.DoubleType):
-        text = numbers.float_display(c)
+        text = F.expr(numbers.float_display(sql_name(name)))
     elif isinstance(kind, T.FloatType):
-        text = numbers.float_display(c, "float")
+        text = F.expr(numbers.float_display(sql_name(name), "float"))
     elif isinstance(kind, T.BinaryType):
         text = F.concat(F.octet_length(c).cast("string"), F.lit("b"))
     elif isinstance(kind, _TIMES):

@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tslines.functions import text, times
-from tslines.model import FIELD, U64, U64_MAX, Precision
+from tslines.model import U64, U64_MAX, VALUE, Precision
 
 # Grammar of one line, built from pieces.
 _KEY = r"[^,= \\]*+(?:\\.[^,= \\]*+)*+"
@@ -38,41 +37,78 @@ LOGICAL_LINE = (
 TRUE_TEXT = ("t", "T", "true", "True", "TRUE")
 FALSE_TEXT = ("f", "F", "false", "False", "FALSE")
 
-_FLOAT = r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
-_INT = r"^-?[0-9]+i$"
 _UINT = r"^[0-9]+u$"
+_TIME = r"^-?[0-9]+$"
 _NUL = "\0"
 
 
-def _split_pair(pair: Column) -> tuple[Column, Column]:
-    """Raw key and raw value of `key=value`."""
-    plain = F.substring_index(pair, "=", 1)
-    key = F.when(F.contains(pair, F.lit("\\")), F.regexp_extract(pair, LEADING_NAME, 1)).otherwise(
-        plain
+def _pairs(joined: Column, pattern: str) -> Column:
+    """Raw `key=value` pairs of a tag or field text.
+
+    Text without quotes and backslashes is cut at its commas, other text by the grammar.
+    """
+    tricky = F.contains(joined, F.lit('"')) | F.contains(joined, F.lit("\\"))
+    by_grammar = F.regexp_extract_all(joined, F.lit(pattern), F.lit(0))
+    # tag text starts with a comma, field text does not
+    by_comma = F.split(joined if pattern == FIELD_PAIR else F.substr(joined, F.lit(2)), ",")
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(
+        F.when(tricky, by_grammar).otherwise(by_comma)
     )
-    return key, F.substr(pair, F.length(key) + 2)
+
+
+def _cut_pair(pair: Column) -> Column:
+    """A raw pair as the array (raw key, raw value)."""
+    escaped_key = F.regexp_extract(pair, LEADING_NAME, 1)
+    exact = F.array(escaped_key, F.substr(pair, F.length(escaped_key) + 2))
+    return F.when(F.contains(pair, F.lit("\\")), exact).otherwise(F.split(pair, "=", 2))
+
+
+def _member(raw: Column, member: str) -> Column:
+    """Field text as a value of one type; NULL when it is not of that type."""
+    if member == "s":
+        inside = text.unescape_quoted(F.substr(raw, F.lit(2), F.length(raw) - 2))
+        return F.when(raw.startswith('"'), inside)
+    if member == "b":
+        return F.when(raw.isin(*TRUE_TEXT), True).when(raw.isin(*FALSE_TEXT), False)
+    head = F.substr(raw, F.lit(1), F.length(raw) - 1)
+    if member == "i":
+        return F.when(raw.endswith("i") & ~raw.startswith("+"), head.try_cast("bigint"))
+    if member == "u":
+        whole = head.try_cast(U64)
+        in_range = whole <= F.lit(str(U64_MAX)).cast(U64)
+        return F.when(raw.endswith("u") & raw.rlike(_UINT) & in_range, whole)
+    # Java also reads hexadecimal floats, and a type letter at the end.
+    last = F.substring(raw, -1, 1)
+    hexadecimal = F.contains(raw, F.lit("x")) | F.contains(raw, F.lit("X"))
+    plain = (last.between("0", "9") | (last == ".")) & ~hexadecimal
+    return F.when(plain, raw.try_cast("double"))
 
 
 def parse_value(raw: Column) -> Column:
     """Field text to the union value; every member NULL when the text is not a value."""
-    last = F.right(raw, F.lit(1))
-    head = F.substr(raw, F.lit(1), F.length(raw) - 1)
-    quote = raw.startswith('"')
-    unsigned = head.try_cast(U64)
-    return F.struct(
-        F.when(~quote & raw.rlike(_FLOAT), raw.try_cast("double")).alias("f"),
-        F.when((last == "i") & raw.rlike(_INT), head.try_cast("bigint")).alias("i"),
-        F.when(
-            (last == "u") & raw.rlike(_UINT), F.when(unsigned <= F.lit(str(U64_MAX)).cast(U64), unsigned)
-        ).alias("u"),
-        F.when(quote, text.unescape_quoted(F.substr(raw, F.lit(2), F.length(raw) - 2))).alias("s"),
-        F.when(raw.isin(*TRUE_TEXT), True).when(raw.isin(*FALSE_TEXT), False).alias("b"),
+
+    def only(member: str) -> Column:
+        return F.struct(
+            *(
+                (_member(raw, member) if m.name == member else F.lit(None))
+                .cast(m.dataType)
+                .alias(m.name)
+                for m in VALUE
+            )
+        )
+
+    return (
+        F.when(raw.endswith("i"), only("i"))
+        .when(raw.startswith('"'), only("s"))
+        .when(raw.endswith("u"), only("u"))
+        .when(raw.isin(*TRUE_TEXT, *FALSE_TEXT), only("b"))
+        .otherwise(only("f"))
     )
 
 
 def value_type(value: Column) -> Column:
     """Which member of a union value is set: f, i, u, s, b, or NULL for none."""
-    return F.coalesce(*(F.when(value[m.name].isNotNull(), m.name) for m in FIELD["value"].dataType))
+    return F.coalesce(*(F.when(value[m.name].isNotNull(), m.name) for m in VALUE))
 
 
 def _parts(lp: Column) -> Column:
@@ -92,73 +128,70 @@ def _parts(lp: Column) -> Column:
 def parse_lines(lines: DataFrame, precision: Precision | str = Precision.NS) -> DataFrame:
     """Column `lp` to the canonical point columns plus `reject`, NULL for a good line.
 
-    Other columns pass through. `reject` names the first thing wrong with the line.
+    Other columns pass through. `reject` names the first thing wrong with the line; the
+    point columns of a rejected line are NULL.
     """
     keep = [F.col(f"`{c}`") for c in lines.columns]
     parts = lines.select(*keep, _parts(F.col("lp")).alias("__p"))
-    matched = F.size("__p") == 5
-    tag_pairs = F.regexp_extract_all(F.col("__p")[2], F.lit(TAG_PAIR), F.lit(0))
-    field_pairs = F.regexp_extract_all(F.col("__p")[3], F.lit(FIELD_PAIR), F.lit(0))
-
-    def tag(pair: Column) -> Column:
-        key, value = _split_pair(pair)
-        return F.struct(
-            text.unescape_key(key).alias("key"), text.unescape_key(value).alias("value")
-        )
-
-    def field(pair: Column) -> Column:
-        key, value = _split_pair(pair)
-        return F.struct(text.unescape_key(key).alias("key"), parse_value(value).alias("value"))
-
+    part = [F.get("__p", F.lit(i)) for i in range(5)]
+    # Cutting the pairs is a transform of its own, which keeps the pieces; inside one
+    # lambda they would be cut again for each use.
     raw = parts.select(
         *keep,
-        matched.alias("__ok"),
-        F.when(matched, text.unescape_measurement(F.col("__p")[1])).alias("measurement"),
-        F.when(matched, F.transform(tag_pairs, tag)).alias("__tags"),
-        F.when(matched, F.transform(field_pairs, field)).alias("fields"),
-        F.when(matched & (F.col("__p")[4] != ""), F.col("__p")[4]).alias("__time"),
+        text.unescape_measurement(part[1]).alias("__name"),
+        F.transform(
+            F.transform(_pairs(part[2], TAG_PAIR), _cut_pair),
+            lambda t: F.struct(
+                text.unescape_key(t[0]).alias("key"), text.unescape_key(t[1]).alias("value")
+            ),
+        ).alias("__tags"),
+        F.transform(
+            F.transform(_pairs(part[3], FIELD_PAIR), _cut_pair),
+            lambda f: F.struct(
+                text.unescape_key(f[0]).alias("key"), parse_value(f[1]).alias("value")
+            ),
+        ).alias("__fields"),
+        F.nullif(part[4], F.lit("")).alias("__time"),
     )
     time = times.to_nanos(F.col("__time").try_cast("bigint"), precision)
-    tag_keys = F.transform("__tags", lambda t: t["key"])
+    bad = F.filter("__fields", lambda f: value_type(f["value"]).isNull())
     reject = (
-        F.when(~F.col("__ok"), F.lit("cannot be parsed"))
-        .when(
-            F.size(F.array_distinct(tag_keys)) < F.size(tag_keys), F.lit("tag given twice")
-        )
-        .when(
-            F.exists("fields", lambda f: value_type(f["value"]).isNull()),
-            F.concat(
-                F.lit("invalid value of field "),
-                F.element_at(
-                    F.filter("fields", lambda f: value_type(f["value"]).isNull()), 1
-                )["key"],
-            ),
-        )
+        F.when(F.col("__name").isNull(), F.lit("cannot be parsed"))
+        .when(_repeats(F.col("__tags")), F.lit("tag given twice"))
+        .when(F.size(bad) > 0, F.concat(F.lit("invalid value of field "), F.get(bad, F.lit(0))["key"]))
         .when(F.col("__time").isNotNull() & time.isNull(), F.lit("time out of range"))
     )
-    judged = raw.withColumn("__time_ns", time).withColumn("reject", reject)
-    good = F.col("reject").isNull()
-    return judged.select(
-        *keep,
-        F.when(good, F.col("measurement")).alias("measurement"),
+    judged = raw.select("*", time.alias("__time_ns"), reject.alias("__reject"))
+    good = F.col("__reject").isNull()
+    point = F.struct(
+        F.when(good, F.col("__name")).alias("measurement"),
         F.when(good, F.map_from_entries("__tags")).alias("tags"),
-        F.when(good, _last_fields(F.col("fields"))).alias("fields"),
+        F.when(good, _last_fields(F.col("__fields"))).alias("fields"),
         F.when(good, F.col("__time_ns")).alias("time_ns"),
-        "reject",
+        F.col("__reject").alias("reject"),
     )
+    # `inline` of one struct keeps the row as it is. It also stops filters on the parsed
+    # columns from moving below it, where Spark would parse every line a second time to
+    # evaluate them.
+    return judged.select(*keep, F.inline(F.array(point)))
+
+
+def _repeats(entries: Column) -> Column:
+    keys = F.transform(entries, lambda e: e["key"])
+    return F.size(F.array_distinct(keys)) < F.size(keys)
 
 
 def _last_fields(fields: Column) -> Column:
     """A field given twice in a line keeps its first place and its last value."""
-    keys = F.transform(fields, lambda f: f["key"])
+    keys = F.array_distinct(F.transform(fields, lambda f: f["key"]))
     merged = F.transform(
-        F.array_distinct(keys),
+        keys,
         lambda k: F.struct(
             k.alias("key"),
             F.element_at(F.filter(fields, lambda f: f["key"] == k), -1)["value"].alias("value"),
         ),
     )
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), fields).otherwise(merged)
+    return F.when(_repeats(fields), merged).otherwise(fields)
 
 
 def split_body(body: Column, multiline: bool = False) -> Column:
@@ -196,29 +229,6 @@ def parse_bodies(
     )
 
 
-# --- long to wide ---------------------------------------------------------------------
-
-# Types of the value members in a measurement table.
-WIDE_TYPES = {
-    "f": T.DoubleType(),
-    "i": T.LongType(),
-    "u": U64,
-    "s": T.StringType(),
-    "b": T.BooleanType(),
-}
-
-
-def _field_value(key: str, member: str, place: int | None) -> Column:
-    """Value of one field. Rows of one source list fields in the same places, so the known
-    place is tried before the search through the whole list."""
-    search = F.element_at(F.filter("fields", lambda f: f["key"] == key), 1)["value"][member]
-    search = F.when(F.exists("fields", lambda f: f["key"] == key), search)
-    if place is None:
-        return search
-    here = F.get(F.col("fields"), F.lit(place))
-    return F.when(here["key"] == key, here["value"][member]).otherwise(search)
-
-
 def to_measurement(
     points: DataFrame,
     measurement: str,
@@ -228,13 +238,136 @@ def to_measurement(
 ) -> DataFrame:
     """Points of one measurement as a wide table: time, one column per tag and field.
 
-    `fields` maps field name to its member (f, i, u, s, b); its order is tried as the place
-    of the field in each point.
+    `fields` maps field name to its member (f, i, u, s, b). Rows of one source list their
+    fields in the same order; where that is the order of `fields`, cells are taken by
+    place. Other rows are turned into a map once and searched by name.
     """
-    return points.where(F.col("measurement") == measurement).select(
+    expected = F.array(*(F.lit(k) for k in fields)).cast("array<string>")
+    in_order = F.transform("fields", lambda f: f["key"]) == expected
+    rows = points.where(F.col("measurement") == measurement).select(
+        "*", F.when(~in_order, F.map_from_entries("fields")).alias("__by_name")
+    )
+
+    def cell(place: int, key: str, member: str) -> Column:
+        here = F.get("fields", F.lit(place))["value"][member]
+        named = F.try_element_at("__by_name", F.lit(key))[member]
+        return F.when(F.col("__by_name").isNull(), here).otherwise(named).alias(key)
+
+    return rows.select(
         "time_ns",
         times.nanos_to_timestamp(F.col("time_ns")).alias("time"),
         *(F.try_element_at("tags", F.lit(t)).alias(t) for t in tags),
-        *(_field_value(k, m, i).alias(k) for i, (k, m) in enumerate(fields.items())),
+        *(cell(i, k, m) for i, (k, m) in enumerate(fields.items())),
         *(F.col(f"`{c}`") for c in keep),
     )
+
+
+def parse_measurement(
+    lines: DataFrame,
+    measurement: str,
+    tags: list[str],
+    fields: dict[str, str],
+    precision: Precision | str = Precision.NS,
+) -> DataFrame:
+    """Lines of one measurement of known columns straight to its wide table.
+
+    The quick way for large inputs: a line that lists exactly the given tags and fields in
+    the given order is read column by column without building a point, and if it has
+    neither quotes nor escapes, also without the pattern of a whole line. Any other line is
+    matched and looked up by name. Gives `time_ns`, the tags, the fields and `reject`, next
+    to the other columns of `lines`. Lines that do not start with the measurement name are
+    left out; fields outside `fields` are passed over.
+    """
+    keep = [F.col(f"`{c}`") for c in lines.columns]
+    lp, prefix = F.col("lp"), text.measurement_name(measurement)
+    mine = lp.startswith(prefix + ",") | lp.startswith(prefix + " ") | (lp == prefix)
+
+    # Without quotes and escapes, spaces part tags, fields and time, and every equals sign
+    # belongs to a pair.
+    pieces = F.split(lp, " ")
+    equals = F.length(lp) - F.length(F.replace(lp, F.lit("="), F.lit("")))
+    simple = (
+        ~F.contains(lp, F.lit('"'))
+        & ~F.contains(lp, F.lit("\\"))
+        & (equals == len(tags) + len(fields))
+        & ((F.size(pieces) == 2) | ((F.size(pieces) == 3) & F.get(pieces, F.lit(2)).rlike(_TIME)))
+    )
+    parts = lines.where(mine).select(*keep, simple.alias("__simple")).select(
+        *keep, "__simple", F.when(F.col("__simple"), pieces).otherwise(_parts(lp)).alias("__p")
+    )
+    part = [F.get("__p", F.lit(i)) for i in range(5)]
+    tag_text = F.when(F.col("__simple"), F.substr(part[0], F.lit(len(prefix) + 1))).otherwise(part[2])
+    field_text = F.when(F.col("__simple"), part[1]).otherwise(part[3])
+    sides = {
+        "__t": (_pairs(tag_text, TAG_PAIR), [text.key_name(t) for t in tags]),
+        "__f": (_pairs(field_text, FIELD_PAIR), [text.key_name(f) for f in fields]),
+    }
+    paired = parts.select(
+        *keep,
+        "__simple",
+        (F.col("__simple") | (F.size("__p") == 5)).alias("__whole"),
+        *(pairs.alias(side) for side, (pairs, _) in sides.items()),
+        F.when(F.col("__simple"), part[2]).otherwise(F.nullif(part[4], F.lit(""))).alias("__time"),
+    )
+
+    def by_name(side: str, expected: list[str]) -> Column:
+        """Map from name to raw text for a line that differs from the expected order."""
+        same = F.size(side) == len(expected)
+        for place, key in enumerate(expected):
+            same &= F.get(side, F.lit(place)).startswith(f"{key}=")
+        cut = F.transform(side, _cut_pair)
+        named = F.transform(
+            cut, lambda p: F.struct(text.unescape_key(p[0]).alias("key"), p[1].alias("value"))
+        )
+        return F.when(~same, F.map_from_entries(_last_fields(named)))
+
+    mapped = paired.select("*", *(by_name(s, e).alias(f"{s}_map") for s, (_, e) in sides.items()))
+
+    def raw(side: str, place: int, key: str) -> Column:
+        here = F.substr(F.get(side, F.lit(place)), F.lit(len(text.key_name(key)) + 2))
+        other = F.try_element_at(f"{side}_map", F.lit(key))
+        return F.when(F.col(f"{side}_map").isNull(), here).otherwise(other)
+
+    deviates = F.col("__t_map").isNotNull() | F.col("__f_map").isNotNull()
+    cells = mapped.select(
+        *keep,
+        # a simple line in another order has not been matched as a whole yet
+        F.when(F.col("__simple") & deviates, lp.rlike(LINE))
+        .otherwise(F.col("__whole"))
+        .alias("__whole"),
+        "__time",
+        *(text.unescape_key(raw("__t", i, t)).alias(f"__t{i}") for i, t in enumerate(tags)),
+        *(raw("__f", i, f).alias(f"__f{i}") for i, f in enumerate(fields)),
+        (F.size("__t") != F.size("__t_map")).alias("__twice"),
+    )
+    typed = cells.select(
+        *keep,
+        "__whole",
+        "__time",
+        "__twice",
+        times.to_nanos(F.col("__time").try_cast("bigint"), precision).alias("time_ns"),
+        *(F.col(f"__t{i}").alias(t) for i, t in enumerate(tags)),
+        *(_member(F.col(f"__f{i}"), m).alias(f) for i, (f, m) in enumerate(fields.items())),
+        *(F.col(f"__f{i}").isNotNull().alias(f"__has{i}") for i in range(len(fields))),
+    )
+    wrong = F.coalesce(
+        F.lit(None).cast("string"),
+        *(
+            F.when(F.col(f"__has{i}") & F.col(f"`{f}`").isNull(), F.lit(f))
+            for i, f in enumerate(fields)
+        ),
+    )
+    late = F.col("__time").isNotNull() & F.col("time_ns").isNull()
+    reject = (
+        F.when(~F.col("__whole"), F.lit("cannot be parsed"))
+        .when(F.col("__twice"), F.lit("tag given twice"))
+        .when(late, F.lit("time out of range"))
+        .otherwise(F.concat(F.lit("invalid value of field "), wrong))
+    )
+    # NULL the cells of a rejected line, as the general reader does
+    judged = typed.withColumn("reject", reject)
+    columns = ["time_ns", *tags, *fields]
+    good = F.col("reject").isNull()
+    return judged.select(
+        *keep, *(F.when(good, F.col(f"`{c}`")).alias(c) for c in columns), "reject"
+    )

@@ -68,7 +68,7 @@ def frame_line(
     pieces, pending = [], text.measurement_name(measurement)
     for name in tag_cols:
         field = df.schema[name]
-        value = literals.tag_text(F.col(f"`{name}`"), field.dataType)
+        value = F.expr(literals.tag_text(field))
         label = f",{text.key_name(name)}="
         if field.nullable:
             pieces += [F.lit(pending), F.coalesce(F.concat(F.lit(label), value), F.lit(""))]
@@ -81,7 +81,7 @@ def frame_line(
     parts = [
         F.concat(
             F.lit(f"{text.key_name(c)}="),
-            literals.field_text(F.col(f"`{c}`"), df.schema[c], unsigned, wide_int),
+            F.expr(literals.field_text(df.schema[c], unsigned, wide_int)),
         )
         for c in field_cols
     ]
@@ -158,15 +158,8 @@ def point_line(options: WriteOptions = WriteOptions()) -> Column:
         ),
         "",
     )
-    field_part = F.array_join(
-        F.transform(
-            "fields",
-            lambda f: F.concat(
-                text.escape_key(f["key"]), F.lit("="), literals.value_text(f["value"])
-            ),
-        ),
-        ",",
-    )
+    pair = f"concat({text.sql_escape_key('f.key')}, '=', {literals.value_text('f.value')})"
+    field_part = F.expr(f"array_join(transform(fields, f -> {pair}), ',')")
     name = text.escape_measurement(F.col("measurement"))
     time = times.scale_time(F.col("time_ns"), options.precision).cast("string")
     line = F.concat(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tslines.model import REJECTS
@@ -10,6 +10,8 @@ from tslines.operators.decode import value_type
 from tslines.session import small_or_none, staged
 
 TAG_TYPE = "tag"
+# Up to this many distinct signatures are decided on the driver, more by joins.
+MAX_LOCAL_SIGNATURES = 10_000
 # A type table up to this many rows is sent to every task; a larger one is joined by key.
 MAX_BROADCAST_TYPES = 50_000
 MAX_BROADCAST_BATCHES = 100_000
@@ -19,15 +21,19 @@ _LINE_SPAN = 10**12
 
 
 def _signature(points: DataFrame) -> Column:
-    """Names and types used by a point; tags take part, as a name is either tag or field."""
+    """Names and types used by a point, fields first and in the order they have there.
+
+    Tags take part, as a name is either tag or field.
+    """
     tags = F.transform(
-        F.map_keys("tags"), lambda k: F.struct(k.alias("key"), F.lit(TAG_TYPE).alias("type"))
+        F.array_sort(F.map_keys("tags")),
+        lambda k: F.struct(k.alias("key"), F.lit(TAG_TYPE).alias("type")),
     )
     fields = F.transform(
         "fields", lambda f: F.struct(f["key"].alias("key"), value_type(f["value"]).alias("type"))
     )
-    return F.array_sort(F.concat(F.coalesce(tags, F.array().cast(
-        "array<struct<key:string,type:string>>")), fields))
+    none = F.array().cast("array<struct<key:string,type:string>>")
+    return F.concat(fields, F.coalesce(tags, none))
 
 
 def _packed_order() -> Column:
@@ -51,15 +57,21 @@ def learn_types(points: DataFrame, known: DataFrame | None = None) -> DataFrame:
     conflict; a table without conflicts needs no further step.
 
     `known` holds types stored earlier: (measurement, key, type).
-    Returns (measurement, key, type).
+    Returns (measurement, key, type, place), where `place` is the first position the name
+    was seen at, a hint for `decode.to_measurement`.
     """
     first = points.groupBy("measurement", _signature(points).alias("sig")).agg(
         F.min(_packed_order()).alias("first")
     )
-    first = staged(first.withColumn("id", F.monotonically_increasing_id()), "signatures")
+    first = staged(first, "signatures")
+    few = small_or_none(first, MAX_LOCAL_SIGNATURES)
+    stored = None if known is None else small_or_none(known, MAX_BROADCAST_TYPES)
+    if few is not None and (known is None or stored is not None):
+        return _learn_locally(points.sparkSession, few, stored or [])
+    first = first.withColumn("id", F.monotonically_increasing_id())
     uses = first.select(
-        "id", "measurement", "first", F.explode("sig").alias("use")
-    ).select("id", "measurement", "first", "use.key", "use.type")
+        "id", "measurement", "first", F.posexplode("sig").alias("place", "use")
+    ).select("id", "measurement", "first", "use.key", "use.type", "place")
     if known is not None:
         stored = known.select(
             F.lit(-1).cast("bigint").alias("id"),
@@ -67,12 +79,29 @@ def learn_types(points: DataFrame, known: DataFrame | None = None) -> DataFrame:
             F.lit(-1).cast("decimal(38,0)").alias("first"),
             "key",
             "type",
+            F.lit(None).cast("int").alias("place"),
         )
         uses = uses.unionByName(stored)
     refused = _refused(uses)
     if refused is not None:
         uses = uses.join(refused, "id", "left_anti")
-    return uses.groupBy("measurement", "key").agg(F.min("type").alias("type"))
+    return uses.groupBy("measurement", "key").agg(
+        F.min("type").alias("type"), F.min("place").alias("place")
+    )
+
+
+def _learn_locally(spark: SparkSession, signatures: list, known: list) -> DataFrame:
+    """The rule of `learn_types` over a short list: accept in write order what fits."""
+    types = {(r["measurement"], r["key"]): (r["type"], None) for r in known}
+    for row in sorted(signatures, key=lambda r: r["first"]):
+        uses = {(row["measurement"], u["key"]): u["type"] for u in row["sig"]}
+        if all(types.get(k, (t,))[0] == t for k, t in uses.items()):
+            for place, (k, t) in enumerate(uses.items()):
+                types.setdefault(k, (t, place))
+    rows = [(*k, t, place) for k, (t, place) in types.items()]
+    return spark.createDataFrame(
+        rows, "measurement string, key string, type string, place int"
+    )
 
 
 def _refused(uses: DataFrame) -> DataFrame | None:
@@ -282,7 +311,7 @@ def wide_schema(types: DataFrame, measurement: str) -> tuple[list[str], dict[str
 
     Reads one row per column of the measurement.
     """
-    rows = types.where(F.col("measurement") == measurement).select("key", "type").collect()
-    pairs = sorted((r["key"], r["type"]) for r in rows)
-    tags = [k for k, t in pairs if t == TAG_TYPE]
-    return tags, {k: t for k, t in pairs if t != TAG_TYPE}
+    rows = types.where(F.col("measurement") == measurement).select("key", "type", "place").collect()
+    rows.sort(key=lambda r: (r["place"] is None, r["place"], r["key"]))
+    tags = sorted(r["key"] for r in rows if r["type"] == TAG_TYPE)
+    return tags, {r["key"]: r["type"] for r in rows if r["type"] != TAG_TYPE}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,8 +40,8 @@ def to_spark_markers(text: str) -> str:
 
 def parameter(value) -> object:
     """A parameter value as Spark takes it: scalars, lists and mappings."""
-    if isinstance(value, bool) or value is None or isinstance(value, str | float | Column):
-        return value
+    if value is None or isinstance(value, bool | str | float | Decimal | date | Column):
+        return value  # a datetime is a date too
     if isinstance(value, int):
         if value in I64:
             return value
@@ -49,8 +50,6 @@ def parameter(value) -> object:
         return F.array(*(_literal(v) for v in value))
     if isinstance(value, Mapping):
         return F.create_map(*(_literal(x) for kv in value.items() for x in kv))
-    if isinstance(value, Decimal):
-        return value
     raise TypeError(f"no query parameter for a value of type {type(value).__name__}")
 
 

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not compile methods over 8,000 bytes. A stage that would need a longer
+    # one runs faster as separate projections, which Spark cuts into short methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_scratch: dict[str, str] = {}
