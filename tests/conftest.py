@@ -1,11 +1,15 @@
+import os
 import pathlib
 import sys
 
 import pytest
 
-sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
+HERE = pathlib.Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE.parent))
+# Python workers load the senders that the tests define
+os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE), os.environ.get("PYTHONPATH", "")])
 
-from tslines.session import local_session  # noqa: E402
+from tslines.session import local_session, prepare  # noqa: E402
 
 TESTDATA = pathlib.Path("/root/testdata")
 
@@ -13,7 +17,8 @@ TESTDATA = pathlib.Path("/root/testdata")
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tslines-tests", cores="8", partitions=4, memory="6g", conf={"spark.default.parallelism": "2"})
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
+    prepare(session)
     yield session
     session.stop()
 

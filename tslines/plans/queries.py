@@ -45,7 +45,7 @@ def parameter(value) -> object:
     if isinstance(value, int):
         if value in I64:
             return value
-        return F.lit(str(value)).cast("decimal(20,0)")
+        return Decimal(value)
     if isinstance(value, list | tuple):
         return F.array(*(_literal(v) for v in value))
     if isinstance(value, Mapping):

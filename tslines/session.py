@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -21,16 +23,31 @@ RUNTIME_CONF = {
 }
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings the library needs to a running session."""
+    """Apply the settings the library needs to a running session, and ship the package."""
+    ship_package(spark)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Delivery and local batching run Python on the executors, which may not have it.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="tslines-")) / package.name
+        sc.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+        _shipped.add(sc.applicationId)
+
+
 def local_session(
     app: str = "tslines",
     cores: str = "*",

@@ -34,9 +34,8 @@ def read_bodies_stream(
 ) -> DataFrame:
     """New files as bodies `(source, body)`."""
     return (
-        spark.readStream.option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .text(path)
+        spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+        .text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("body"))
     )
 
