@@ -19,6 +19,12 @@ EDGES = [
     (1e7, "10000000.0"),
     (12345678901.25, "12345678901.25"),
     (1e15, "1000000000000000.0"),
+    (-9007199254740993.0, "-9007199254740992.0"),
+    (8999999999999999.0, "8999999999999999.0"),
+    (0.00012, "0.00012"),
+    (-0.0001, "-0.0001"),
+    (99999999.5, "99999999.5"),
+    (-1234567890123.4567, "-1234567890123.4568"),
     (1e16, "1e16"),
     (1.5e16, "1.5e16"),
     (1e23, "1e23"),
@@ -41,7 +47,7 @@ def test_f64_edges(spark, text_of):
 
 
 def test_f32_edges(spark):
-    cases = [(0.1, "0.1"), (2.5, "2.5"), (1e7, "10000000.0"), (1.5e13, "1.5e13"),
+    cases = [(0.1, "0.1"), (2.5, "2.5"), (1e7, "10000000.0"), (123456789.0, "123456790.0"), (-7.0, "-7.0"), (1.5e13, "1.5e13"),
              (1e-6, "0.000001"), (9e-7, "9e-7"), (3.4028235e38, "3.4028235e38"), (None, None)]
     df = spark.createDataFrame([(v,) for v, _ in cases], "v float")
     assert [r[0] for r in df.select(F.expr(f32_text("v"))).collect()] == [t for _, t in cases]
@@ -58,6 +64,7 @@ def test_f64_random_bits_read_back_and_are_shortest(spark):
     rng = random.Random(7)
     values = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(20_000)]
     values += [rng.uniform(-1, 1) * 10.0 ** rng.randint(-8, 18) for _ in range(20_000)]
+    values += [float(rng.randint(-(10**17), 10**17)) / 10 ** rng.randint(0, 9) for _ in range(20_000)]
     values = [v for v in values if v == v]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
     rows = df.select("v", F.expr(f64_text("v")).alias("t"), exact_f64_text("v").alias("x")).collect()
