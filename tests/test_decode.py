@@ -121,8 +121,8 @@ def test_multiline_keeps_breaks_inside_strings(spark):
 
 
 def test_files_whole_and_by_line_number_the_same(spark, tmp_path):
-    for name, n in (("a.lp", 3), ("b.lp", 40_000)):
-        text = "\n".join(f"m,t={name} v={i}i {i}" for i in range(n)) + "\nbad"
+    for name, n in (("a b%20é.lp", 3), ("b.lp", 40_000)):
+        text = "\n".join(f"m,t={n} v={i}i {i}" for i in range(n)) + "\nbad"
         (tmp_path / name).write_text(text)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
     try:

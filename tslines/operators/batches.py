@@ -58,10 +58,13 @@ def batch_of(pos: Column, batch_size: int) -> Column:
 
 
 def assign_batches(
-    df: DataFrame, order_by: list[str], batch_size: int = DEFAULT_BATCH_SIZE
+    df: DataFrame,
+    order_by: list[str],
+    batch_size: int = DEFAULT_BATCH_SIZE,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add `pos` and `batch_id`: runs of `batch_size` rows in the order of `order_by`."""
-    numbered = number_rows(df, order_by)
+    numbered = number_rows(df, order_by, partitions)
     return numbered.withColumn("batch_id", batch_of(F.col("pos"), batch_size))
 
 
@@ -132,6 +135,7 @@ def local_bodies(lines: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> Data
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << _ROW_BITS
         for run, lp in enumerate(_cut(batches, size)):
+            lp = lp.cast(pa.string())  # Spark may send the large kind
             # one list of all the lines, joined in native code
             whole = pa.ListArray.from_arrays(pa.array([0, len(lp)], pa.int32()), lp)
             body = pc.binary_join(whole, "\n")

@@ -63,8 +63,8 @@ def sql(
 ) -> DataFrame:
     """Run SQL text with named parameters `$name`; the last value given for a name counts.
 
-    Parameters travel as values, never as text. Only SQL text is accepted: the documented
-    InfluxQL shapes are the functions below.
+    Parameters travel as values, never as text. Only SQL text is accepted; the other
+    documented query shapes are the functions below.
     """
     if language != "sql":
         raise ValueError(

@@ -51,19 +51,23 @@ def bodies_from_text(spark: SparkSession, bodies: Iterable[str]) -> DataFrame:
 
 
 def _numbered_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files below a path with size and a dense number in name order.
+    """Files below a path with a dense number in name order.
 
     The listing reads no file content, as that column is pruned.
     """
-    listed = spark.read.format("binaryFile").load(path).select("path", "length")
-    return number_rows(listed, ["path"]).withColumnRenamed("pos", "batch_id")
+    listed = spark.read.format("binaryFile").load(path)
+    names = listed.select(F.col("_metadata.file_path").alias("__file"))
+    return number_rows(names, ["__file"]).withColumnRenamed("pos", "batch_id")
 
 
 def _with_file_number(df: DataFrame, files: DataFrame) -> DataFrame:
-    side = files.select(F.col("path").alias("__file"), "batch_id")
+    """Add `batch_id` by file; a file that came after the listing fails the job."""
+    side = files
     if small_or_none(files.select("batch_id"), MAX_BROADCAST_FILES) is not None:
         side = F.broadcast(side)
-    return df.join(side, "__file").drop("__file")
+    unlisted = F.raise_error(F.concat(F.lit("file added while reading: "), "__file"))
+    number = F.coalesce("batch_id", unlisted.cast("bigint"))
+    return df.join(side, "__file", "left").withColumn("batch_id", number).drop("__file")
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:
