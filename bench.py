@@ -2,6 +2,7 @@
 
 BENCH_SF_DIR  folder with the tables (default /root/testdata/sf0.1)
 BENCH_CPUS    cores of the local session (default 8)
+BENCH_SIZES   sizes of the wide frame (default 10k,1m,10m)
 """
 
 from __future__ import annotations
@@ -72,7 +73,9 @@ def main() -> None:
     events, n_events = t.events, t.events.count()
 
     # Encoding. The first small run also warms the session up.
-    for label, rows, repeat in (("10k", 10_000, 3), ("1m", 1_000_000, 2), ("10m", 10_000_000, 1)):
+    sizes = {"10k": (10_000, 3), "1m": (1_000_000, 2), "10m": (10_000_000, 1)}
+    for label in os.environ.get("BENCH_SIZES", "10k,1m,10m").split(","):
+        rows, repeat = sizes[label]
         path = scratch_path(spark, f"telemetry-{label}")
         telemetry(spark, rows, cores).write.parquet(path)
         frame = spark.read.parquet(path)
