@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tslines.operators.batches import (
     assign_batches,
@@ -108,18 +112,23 @@ def gzip_decision(t: Tables) -> DataFrame:
     )
 
 
+@F.pandas_udf(BinaryType())
+def _unzip(payloads: pd.Series) -> pd.Series:
+    return payloads.map(gzip.decompress)
+
+
 @named(
     "gzip_payload",
-    """SELECT doc_id, octet_length(encode(text)) > 1024 AS gzipped,
-       CASE WHEN octet_length(encode(text)) > 1024 THEN '1F8B'
-       ELSE hex(encode(text))[:4] END AS head FROM documents""",
+    """SELECT doc_id, octet_length(encode(text)) > 1024 AS gzipped, md5(text) AS body
+       FROM documents""",
 )
 def gzip_payload(t: Tables) -> DataFrame:
-    """Bytes as sent: a gzip stream above the threshold, the text itself below."""
+    """Bytes as sent, a gzip stream above the threshold, give the text back."""
     bodies = t.documents.select("doc_id", F.col("text").alias("body"))
-    return pack_bodies(bodies).select(
-        "doc_id", "gzipped", F.hex(F.substring("payload", 1, 2)).alias("head")
-    )
+    packed = pack_bodies(bodies)
+    zipped = packed.where("gzipped").select("doc_id", "gzipped", F.md5(_unzip("payload")).alias("body"))
+    plain = packed.where("not gzipped").select("doc_id", "gzipped", F.md5("payload").alias("body"))
+    return zipped.unionAll(plain)
 
 
 @named("sink_bodies", f"SELECT {EVENT_LINE} AS lp FROM events")

@@ -63,16 +63,16 @@ def q_param_count(t: Tables) -> DataFrame:
 @named(
     "q_param_types",
     """SELECT event_id, 'click,view' AS kinds, '$t' AS quoted, true AS flag, NULL::INTEGER AS none
-       FROM events WHERE event_type IN ('click', 'view') AND value > 12.5 AND event_id < 5000""",
+       FROM events WHERE event_type IN ('click', 'view') AND value > 12.5 AND value < 90""",
 )
 def q_param_types(t: Tables) -> DataFrame:
     """Lists, numbers, booleans and NULL; a marker inside quotes stays text."""
     text = """SELECT "event_id", array_join($kinds, ',') AS kinds, '$t' AS quoted, $flag AS flag,
               CAST($none AS INT) AS "none" -- not a $marker
               FROM events WHERE array_contains($kinds, event_type) AND value > $low
-              AND event_id < $top"""
+              AND value < $top"""
     first = [("top", 1), ("kinds", ["click", "view"]), ("low", 12.5)]
-    return _sql(t, text, [*first, ("flag", True), ("none", None), ("top", 5000)])
+    return _sql(t, text, [*first, ("flag", True), ("none", None), ("top", 90)])
 
 
 @named(

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslines.model import RESPONSES, RetryPolicy, WriteOptions
+from tslines.operators.batches import compresses
 from tslines.operators.outcomes import (
     RETRY_STATUS,
     RETRY_TRANSPORT,
@@ -27,7 +28,7 @@ from tslines.operators.outcomes import (
     is_partial,
 )
 from tslines.session import scratch_path, sql_conf
-from tslines.sources.sinks import pack_bodies
+from tslines.sources.sinks import zip_bytes
 
 
 class Reply(NamedTuple):
@@ -60,8 +61,12 @@ def _transient(reply: Reply) -> bool:
     return reply.status in RETRY_STATUS
 
 
-def _attempts(payload: bytes, gzipped: bool, send: Sender, policy: RetryPolicy) -> list[Reply]:
-    """Send one body until it is through, refused, or out of retries or time."""
+def _attempts(body: str, gzipped: bool, send: Sender, policy: RetryPolicy) -> list[Reply]:
+    """Send one body until it is through, refused, or out of retries or time.
+
+    The body is compressed once, here, so that only text moves between Spark and Python.
+    """
+    payload = zip_bytes(body) if gzipped else body.encode()
     start, replies = time.monotonic(), []
     while True:
         reply = Reply(*send(payload, gzipped))
@@ -107,15 +112,15 @@ def deliver(
                 for row in frame.itertuples(index=False):
                     if len(waiting) >= inflight:
                         yield table(*waiting.popleft())
-                    work = pool.submit(_attempts, row.payload, row.gzipped, send, policy)
+                    work = pool.submit(_attempts, row.body, row.gzipped, send, policy)
                     waiting.append((row.batch_id, work))
             while waiting:
                 yield table(*waiting.popleft())
 
     spark = batches.sparkSession
     path = path or scratch_path(spark, "responses")
-    packed = pack_bodies(batches, options.gzip_threshold)
-    replies = packed.select("batch_id", "payload", "gzipped").mapInPandas(run, RESPONSES)
+    gzipped = compresses(F.col("body"), options.gzip_threshold).alias("gzipped")
+    replies = batches.select("batch_id", "body", gzipped).mapInPandas(run, RESPONSES)
     # Bodies are megabytes each: keep few of them in one Arrow transfer.
     small = {
         "spark.sql.execution.arrow.maxRecordsPerBatch": str(4 * inflight),

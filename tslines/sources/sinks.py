@@ -62,22 +62,26 @@ def _store(lines: DataFrame, path: str, options: WriteOptions, layout: str) -> N
 
 @F.pandas_udf(BinaryType())
 def gzip_body(bodies: pd.Series) -> pd.Series:
-    """Bodies as gzip streams, without a time stamp so that equal bodies stay equal."""
-    return bodies.map(lambda b: gzip.compress(b.encode(), mtime=0))
+    """Bodies as gzip streams; NULL stays NULL."""
+    return bodies.map(zip_bytes, na_action="ignore")
+
+
+def zip_bytes(body: str) -> bytes:
+    """One gzip stream, without a time stamp so that equal bodies stay equal."""
+    return gzip.compress(body.encode(), mtime=0)
 
 
 def pack_bodies(
     bodies: DataFrame, threshold: int | None = DEFAULT_GZIP_THRESHOLD
 ) -> DataFrame:
     """Add `payload`, the bytes to send, and `gzipped`, whether they are compressed."""
-    packed = compresses(F.col("body"), threshold)
+    marked = bodies.withColumn("gzipped", compresses(F.col("body"), threshold))
+    plain = F.encode("body", "UTF-8")
     if threshold is None:
-        return bodies.withColumn("payload", F.encode("body", "UTF-8")).withColumn("gzipped", packed)
-    # NULL in, NULL out would waste a Python call: only bodies over the threshold go there.
-    return bodies.withColumn("gzipped", packed).withColumn(
-        "payload",
-        F.when(F.col("gzipped"), gzip_body("body")).otherwise(F.encode("body", "UTF-8")),
-    )
+        return marked.withColumn("payload", plain)
+    # A Python function sees every row, so short bodies are sent to it as NULL.
+    zipped = gzip_body(F.when(F.col("gzipped"), F.col("body")))
+    return marked.withColumn("payload", F.coalesce(zipped, plain))
 
 
 def write_measurement(
