@@ -80,7 +80,8 @@ def main() -> None:
         telemetry(spark, rows, cores).write.parquet(path)
         frame = spark.read.parquet(path)
         bench(f"encode_wide_{label}", rows, lambda: encode_frame(frame, "m", ["host"], "time"), repeat)
-    bench("encode_lineitem", n_lines, lambda: encode_frame(lineitem, "lineitem", LINE_TAGS, "l_shipdate", "ms"))
+    bench("encode_lineitem", n_lines, lambda: encode_frame(
+        lineitem, "lineitem", LINE_TAGS, "l_shipdate", "ms"))
     bench("encode_events", n_events, lambda: encode_frame(events, "events", EVENT_TAGS, "ts"))
     bench("encode_points", t.orders.count(), lambda: encode_points(order_points(t)))
 

@@ -41,7 +41,8 @@ def classify_query(error_kind: Column) -> Column:
 def retry_after_seconds(text: Column) -> Column:
     """Seconds form of Retry-After; NULL for dates and anything else."""
     trimmed = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    return F.when(trimmed.rlike(r"^\+?[0-9]+$"), F.regexp_replace(trimmed, r"^\+", "").try_cast("bigint"))
+    digits = F.regexp_replace(trimmed, r"^\+", "")
+    return F.when(trimmed.rlike(r"^\+?[0-9]+$"), digits.try_cast("bigint"))
 
 
 def _variant(body: Column) -> Column:
