@@ -5,7 +5,7 @@ from __future__ import annotations
 ORACLES: dict[str, str] = {}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
-LINES = r"list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]'))"
+LINES = r"list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]'))"
 
 ORACLES["op3_exact_dedup"] = """
 SELECT doc_id,
@@ -52,7 +52,7 @@ WITH docs AS (
 ), counts AS (
   SELECT d.doc_id,
          len(words)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(words, w -> length(w))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          len(lines)::BIGINT AS n_lines,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
