@@ -128,9 +128,10 @@ def ordered(rules: tuple[Rule, ...], cost: dict[str, float], sets: dict[tuple[st
 
 
 def cascade(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The order of the rules for `df`. The sample only steers the order."""
-    whole = df.select(whole_text(text).alias("text")).limit(sample_rows)
-    sample = staged(whole.select("text", words(F.col("text")).alias("words")), "sample")
+    """The order of the rules for `df`, from about `sample_rows` rows drawn evenly from all of
+    it, which are all that leaves the tasks. The sample only steers the order."""
+    drawn = df.select(whole_text(text).alias("text")).sample(min(1.0, sample_rows / max(df.count(), 1)), seed=6)
+    sample = staged(drawn.repartition(1).select("text", words(F.col("text")).alias("words")), "sample")
     return ordered(rules, *estimate(sample, rules))
 
 
