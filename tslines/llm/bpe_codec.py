@@ -24,15 +24,15 @@ from tslines.llm.bpe_automaton import byte_letters
 from tslines.llm.common import whole_text
 
 #: Stretches without a blank whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 STRETCHES = re.compile(r"[^ \n]+")
 
 # How the tokenizer parts words, for text in ASCII.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\x0b\f\ra-z0-9]+")
 
 
-class Codec:
-    """A word-level BPE file made ready for one worker."""
+class Encoder:
+    """A word-level BPE file made ready for encoding in one worker."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -49,11 +49,7 @@ class Codec:
         self.last = Tokenizer.from_str(json.dumps(bare))
         self.inner = Tokenizer.from_str(json.dumps(bare | {"model": spec["model"] | {"end_of_word_suffix": None}}))
         self.letter = {b: c for c, b in byte_letters().items()}
-        vocab = spec["model"]["vocab"]
-        self.joined = self._side_by_side(vocab)
-        names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.specials.items()}
-        # ids without a token decode to nothing, as null
-        self.names = pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
+        self.joined = self._side_by_side(spec["model"]["vocab"])
         self._forget()
 
     def _side_by_side(self, vocab: dict[str, int]) -> frozenset[str]:
@@ -118,16 +114,28 @@ class Codec:
         rows = ends[np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)]
         return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(self.ids[place], pa.int32()))
 
-    def decode(self, ids: pa.ListArray) -> pa.Array:
-        # the file names no decoder, so tokens are spelled as in the vocabulary, blanks between
-        tokens = pa.ListArray.from_arrays(ids.offsets, self.names.take(ids.values))
-        return pc.binary_join(tokens, " ")
 
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker."""
+    return Encoder(path)
 
-@functools.lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    """One codec for all tasks of a worker."""
-    return Codec(path)
+
+@functools.lru_cache(maxsize=1)
+def token_names(path: str) -> pa.Array:
+    """Every id's token as the vocabulary spells it; null where an id has none."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
+
+
+def spell(ids: pa.ListArray, names: pa.Array) -> pa.Array:
+    """The text of each list of ids. The file names no decoder, so tokens stand as in the
+    vocabulary with blanks between."""
+    tokens = names.take(ids.flatten())
+    sizes = pc.list_value_length(ids).to_numpy()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), tokens), " ")
 
 
 def _kept(df: DataFrame, keep: list[str]) -> list[Column]:
@@ -152,7 +160,7 @@ def encode(df: DataFrame, path: str, keep: list[str], text: str = "text") -> Dat
     """
 
     def run(batches: Iterator) -> Iterator:
-        tool = codec(path)
+        tool = encoder(path)
         for batch in batches:
             if batch.num_rows:
                 ids = tool.encode(batch.column(len(keep)).to_pylist())
@@ -166,14 +174,11 @@ def decode(df: DataFrame, path: str, keep: list[str], ids: str = "ids") -> DataF
     """The columns `keep` and `decoded`, the text of each row's ids. Null or no ids: empty."""
 
     def run(batches: Iterator) -> Iterator:
-        tool = codec(path)
+        names = token_names(path)
         for batch in batches:
             if batch.num_rows:
-                lists = batch.column(len(keep))
-                lists = pa.ListArray.from_arrays(lists.offsets, lists.values) if lists.offset == 0 else pa.array(lists.to_pylist(), lists.type)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[: len(keep)], tool.decode(lists)], [*batch.schema.names[: len(keep)], "decoded"]
-                )
+                texts = spell(batch.column(len(keep)), names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], texts], [*batch.schema.names[: len(keep)], "decoded"])
 
     rows = df.select(*_kept(df, keep), F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
     return _named(rows.mapInArrow(run, f"{_fields(df, keep)}decoded string"), keep, "decoded")

@@ -18,8 +18,8 @@ SPACE_CHARS = " \t\n\x0b\f\r"
 
 #: Rows and bytes handed to a Python worker at once; texts may be long.
 BATCH_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "400",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 
