@@ -10,109 +10,168 @@ worker merges each of them once and copies ids for the rest with array operation
 from __future__ import annotations
 
 import functools
+import itertools
 import json
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tslines.llm.bpe_automaton import byte_letters
 from tslines.llm.common import whole_text
 
-#: Stretches without a blank whose ids a worker remembers.
+#: Stretches without white space whose ids a worker remembers.
 REMEMBERED = 200_000
-STRETCHES = re.compile(r"[^ \n]+")
-
-# How the tokenizer parts words, for text in ASCII.
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\x0b\f\ra-z0-9]+")
+# all white space as Unicode has it, which the tokenizer drops
+STRETCHES = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+# Libraries know the classes of newer characters differently; those from here on are left
+# to the tokenizer's own library.
+UNSURE = re.compile("[\u0500-\U0010ffff]")
+#: More than the letters that spell bytes.
+LETTERS = 512
 
 
 class Encoder:
-    """A word-level BPE file made ready for encoding in one worker."""
+    """A word-level BPE file made ready for encoding in one worker.
+
+    Stretches are numbered as they are met; `starts` and `ids` hold the ids of each number.
+    """
 
     def __init__(self, path: str):
+        # a task has one core; the library would else start threads, each with memory of its own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
-        whole = Tokenizer.from_str(json.dumps(spec))
-        self.normalizer, self.pre_tokenizer = whole.normalizer, whole.pre_tokenizer
-        self.suffix = spec["model"]["end_of_word_suffix"] or ""
+        model = spec["model"]
         # the merges alone, once for the end of a word and once for what stands before it
         bare = spec | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
         self.last = Tokenizer.from_str(json.dumps(bare))
-        self.inner = Tokenizer.from_str(json.dumps(bare | {"model": spec["model"] | {"end_of_word_suffix": None}}))
-        self.letter = {b: c for c, b in byte_letters().items()}
-        self.joined = self._side_by_side(spec["model"]["vocab"])
+        self.inner = Tokenizer.from_str(json.dumps(bare | {"model": model | {"end_of_word_suffix": None}}))
+        # how texts are prepared, without a vocabulary
+        empty = {"type": "BPE", "vocab": {}, "merges": []}
+        before = Tokenizer.from_str(json.dumps(bare | {"normalizer": spec["normalizer"], "pre_tokenizer": spec["pre_tokenizer"], "model": empty}))
+        self.normalizer, self.pre_tokenizer = before.normalizer, before.pre_tokenizer
+        words = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.words = regex.compile(words + "| ")
+        self.letters = {b: c for c, b in byte_letters().items() if b != ord("\n")}
+        self.joined = self._side_by_side(model["vocab"], model["end_of_word_suffix"] or "")
         self._forget()
 
-    def _side_by_side(self, vocab: dict[str, int]) -> frozenset[str]:
-        """All pairs of letters that some token holds side by side; any other pair is a cut."""
-        plain = (t.removesuffix(self.suffix) if self.suffix else t for t in vocab)
-        return frozenset(t[i : i + 2] for t in plain for i in range(len(t) - 1))
-
-    def _fragments(self, word: str) -> list[str]:
-        """A word parted at its certain cuts."""
-        cuts = [i + 1 for i in range(len(word) - 1) if word[i : i + 2] not in self.joined]
-        return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)], strict=True)] if cuts else [word]
+    @staticmethod
+    def _side_by_side(vocab: dict[str, int], suffix: str) -> np.ndarray:
+        """Whether some token holds two letters side by side; any other pair is a certain cut."""
+        table = np.zeros((LETTERS, LETTERS), bool)
+        for token in vocab:
+            codes = list(map(ord, token.removesuffix(suffix) if suffix else token))
+            table[codes[:-1], codes[1:]] = True
+        return table
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
-    def _words(self, stretch: str) -> list[str]:
-        """The words of a stretch in the vocabulary's letters."""
-        if stretch.isascii():
-            return [w if w.isalnum() else "".join(self.letter[ord(c)] for c in w) for w in ASCII_WORDS.findall(stretch.lower())]
-        return [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(stretch))]
+    def _remember(self, stretches: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.number.update(zip(stretches, range(len(self.number), len(self.number) + len(stretches)), strict=True))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes, dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+
+    def _fragments(self, words: list[str]) -> list[list[str]]:
+        """Every word parted at its certain cuts."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        sizes = np.array([len(w) for w in words])
+        ends = np.cumsum(sizes)
+        cut = ~self.joined[codes[:-1], codes[1:]]
+        cut[ends[:-1] - 1] = False
+        parts = [[w] for w in words]
+        at = np.flatnonzero(cut) + 1
+        owners, firsts = np.unique(np.searchsorted(ends, at, side="right"), return_index=True)
+        begins = ends[owners] - sizes[owners]
+        for i, begin, places in zip(owners.tolist(), begins.tolist(), np.split(at, firsts[1:]) if len(at) else [], strict=True):
+            inside = (places - begin).tolist()
+            word = words[i]
+            parts[i] = [word[a:b] for a, b in zip([0, *inside], [*inside, len(word)], strict=True)]
+        return parts
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of distinct words: distinct fragments are merged once each."""
+        parts = self._fragments(words)
+        ends, inners = dict.fromkeys(p[-1] for p in parts), dict.fromkeys(f for p in parts for f in p[:-1])
+        for tool, found in ((self.last, ends), (self.inner, inners)):
+            names = list(found)
+            found.update(zip(names, (e.ids for e in tool.encode_batch_fast(names, add_special_tokens=False)), strict=True))
+        lists = [ends[p[-1]] if len(p) == 1 else [i for f in p[:-1] for i in inners[f]] + ends[p[-1]] for p in parts]
+        return np.array([len(x) for x in lists]), np.fromiter(itertools.chain.from_iterable(lists), np.int32)
 
     def _learn(self, stretches: list[str]) -> None:
-        """Encode stretches not seen yet: cut words to fragments, merge distinct fragments once."""
-        plans: list[list] = []
-        ends: dict[str, list[int]] = {}
-        inners: dict[str, list[int]] = {}
-        for stretch in stretches:
-            plan: list = []
-            parts = self.special.split(stretch) if self.special and "<|" in stretch else [stretch]
-            for part in parts:
-                if part in self.specials:
-                    plan.append([self.specials[part]])
-                    continue
-                for word in self._words(part):
-                    *before, end = self._fragments(word)
-                    plan += [inners.setdefault(f, []) for f in before]
-                    plan.append(ends.setdefault(end, []))
-            plans.append(plan)
-        for tool, found in ((self.last, ends), (self.inner, inners)):
-            for ids, got in zip(found.values(), tool.encode_batch_fast(list(found), add_special_tokens=False), strict=True):
-                ids.extend(got.ids)
-        flat = [[i for ids in plan for i in ids] for plan in plans]
-        for stretch in stretches:
-            self.number[stretch] = len(self.number)
-        more = np.cumsum([len(f) for f in flat], dtype=np.int64) + self.starts[-1]
-        self.starts = np.concatenate([self.starts, more])
-        self.ids = np.concatenate([self.ids, np.array([i for f in flat for i in f], np.int32)])
+        """Encode stretches not met yet, all of them together."""
+        special = [s for s in stretches if "<|" in s and self.special and self.special.search(s)]
+        if special:
+            # special strings stand for themselves, what lies between them is learned first
+            parts = [[p for p in self.special.split(s) if p] for s in special]
+            plain = [s for s in stretches if s not in set(special)]
+            between = (p for found in parts for p in found if p not in self.specials)
+            self._learn([p for p in dict.fromkeys([*plain, *between]) if p not in self.number])
+            ids = [[i for p in found for i in ([self.specials[p]] if p in self.specials else self._known(p))] for found in parts]
+            self._remember(special, np.array([len(i) for i in ids]), np.array([i for x in ids for i in x]))
+            return
+        if not stretches:
+            return
+        # nothing reaches across a blank, so all are prepared as one text
+        text = self.normalizer.normalize_str(" ".join(stretches))
+        pieces = self._words(text)
+        blank = np.fromiter((p == " " for p in pieces), bool, len(pieces))
+        owner = np.cumsum(blank)[~blank]
+        words = "\n".join(p for p in pieces if p != " ").encode().decode("latin-1").translate(self.letters).split("\n")
+        words = words if len(owner) else []
+        number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        sizes, ids = self._encode_words(list(number)) if words else (np.zeros(0, np.int64), np.zeros(0, np.int32))
+        which = np.fromiter(map(number.__getitem__, words), np.int64)
+        taken = _gather(np.concatenate([[0], np.cumsum(sizes)]), ids, which)
+        self._remember(stretches, np.bincount(owner, sizes[which], len(stretches)).astype(np.int64), taken)
+
+    def _words(self, text: str) -> list[str]:
+        """The words of a prepared text and the blanks between its stretches."""
+        if not UNSURE.search(text):
+            return self.words.findall(text)
+        out: list[str] = []
+        for stretch in text.split(" "):
+            if UNSURE.search(stretch):
+                out += [stretch[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(stretch)]
+            else:
+                out += self.words.findall(stretch)
+            out.append(" ")
+        return out[:-1]
+
+    def _known(self, stretch: str) -> list[int]:
+        at = self.number[stretch]
+        return self.ids[self.starts[at] : self.starts[at + 1]].tolist()
 
     def encode(self, texts: list[str]) -> pa.ListArray:
         found = [STRETCHES.findall(t) for t in texts]
         if len(self.number) > REMEMBERED:
             self._forget()
-        new = dict.fromkeys(s for f in found for s in f if s not in self.number)
-        if new:
-            self._learn(list(new))
-        number = self.number
-        which = np.fromiter((number[s] for f in found for s in f), np.int64)
-        sizes = self.starts[which + 1] - self.starts[which]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        place = np.arange(ends[-1]) + np.repeat(self.starts[which] - ends[:-1], sizes)
+        self._learn([s for s in dict.fromkeys(itertools.chain.from_iterable(found)) if s not in self.number])
+        which = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(found)), np.int64)
+        ends = np.concatenate([[0], np.cumsum(self.starts[which + 1] - self.starts[which])])
         rows = ends[np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)]
-        return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(self.ids[place], pa.int32()))
+        return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(_gather(self.starts, self.ids, which), pa.int32()))
+
+
+def _gather(starts: np.ndarray, ids: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The ids of numbers, one number after the other."""
+    sizes = starts[which + 1] - starts[which]
+    ends = np.cumsum(sizes)
+    return ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[which] - (ends - sizes), sizes)]
 
 
 @functools.lru_cache(maxsize=1)
@@ -146,13 +205,10 @@ def _fields(df: DataFrame, keep: list[str]) -> str:
     return "".join(f"k{n} {df.schema[c].dataType.simpleString()}, " for n, c in enumerate(keep))
 
 
-def _named(df: DataFrame, keep: list[str], last: str) -> DataFrame:
-    return df.toDF(*keep, last)
-
-
-def encode(df: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
+def encode(df: DataFrame, path: str, keep: list[str], text: str = "text", decoded: bool = False) -> DataFrame:
     """The columns `keep` and `ids`, the token ids of each whole text, special strings inside
-    texts as the library takes them.
+    texts as the library takes them; with `decoded` also the text that the ids decode to,
+    made in the same pass.
 
     No shuffle. A null or empty text, or one of white space, has no ids. Rows are
     independent, so repeated rows and any ids are as they come; columns outside `keep` are
@@ -164,10 +220,13 @@ def encode(df: DataFrame, path: str, keep: list[str], text: str = "text") -> Dat
         for batch in batches:
             if batch.num_rows:
                 ids = tool.encode(batch.column(len(keep)).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], ids], [*batch.schema.names[: len(keep)], "ids"])
+                made = [ids, spell(ids, token_names(path))] if decoded else [ids]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], [*batch.schema.names[: len(keep)], *outputs])
 
+    outputs = ["ids", "decoded"] if decoded else ["ids"]
     rows = df.select(*_kept(df, keep), whole_text(text).alias("text"))
-    return _named(rows.mapInArrow(run, f"{_fields(df, keep)}ids array<int>"), keep, "ids")
+    schema = _fields(df, keep) + ", ".join(["ids array<int>", "decoded string"][: len(outputs)])
+    return rows.mapInArrow(run, schema).toDF(*keep, *outputs)
 
 
 def decode(df: DataFrame, path: str, keep: list[str], ids: str = "ids") -> DataFrame:
@@ -181,4 +240,4 @@ def decode(df: DataFrame, path: str, keep: list[str], ids: str = "ids") -> DataF
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], texts], [*batch.schema.names[: len(keep)], "decoded"])
 
     rows = df.select(*_kept(df, keep), F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
-    return _named(rows.mapInArrow(run, f"{_fields(df, keep)}decoded string"), keep, "decoded")
+    return rows.mapInArrow(run, f"{_fields(df, keep)}decoded string").toDF(*keep, "decoded")

@@ -99,16 +99,13 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = tokenizer_path("word_bpe_49k.json")
-    ids = bpe_codec.encode(table(spark, folder, "documents"), path, ["doc_id"])
-    digests = ids.select(
+    coded = bpe_codec.encode(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), ["doc_id"], decoded=True)
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    texts = bpe_codec.decode(digests, path, ["doc_id", "n_tokens", "ids_sha256"])
-    return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,6 +11,7 @@ between places run through the counting transducer of `bpe_automaton`.
 from __future__ import annotations
 
 import functools
+import json
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -21,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tslines.llm.bpe_automaton import Transducer, Vocabulary
+from tslines.llm.bpe_automaton import Transducer, Vocabulary, byte_letters
 from tslines.llm.common import Memo, text_batches, whole_text
 
 CHUNK_CHARS = 1 << 16
@@ -33,9 +34,22 @@ REMEMBERED = 400_000
 PIECES = re.compile(r"[ \n]*[^ \n]+(?:(?<=\s)[ \n]+[^ \n]*)*|[ \n]+")
 
 # How byte-level tokenizers part a text before merging.
+# Libraries know the classes of newer characters differently; texts with one from here on
+# are parted by the tokenizer's own library.
+UNSURE = re.compile("[\u0500-\U0010ffff]")
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
+def pre_tokenizer(path: str):
+    """The part of a tokenizer file that parts texts before merging."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    empty = {"type": "BPE", "vocab": {}, "merges": []}
+    return Tokenizer.from_str(json.dumps(spec | {"model": empty, "added_tokens": [], "post_processor": None})).pre_tokenizer
+
+
 class StateMap(NamedTuple):
     """What a chunk does to any state. Without a sure place, `tail` is None and `head` all."""
 
@@ -51,10 +65,15 @@ class Counter:
         vocabulary = Vocabulary(path)
         self.transducer = Transducer(vocabulary)
         self.specials = re.compile("|".join(map(re.escape, vocabulary.specials))) if vocabulary.specials else None
+        self.pre_tokenizer = pre_tokenizer(path)
+        self.bytes_of = {ord(c): b for c, b in byte_letters().items()}
         self.known = Memo(self._piece, REMEMBERED)
         self.known_pre = Memo(lambda p: self.transducer.count(p.encode()), REMEMBERED)
 
     def _plain(self, text: str) -> int:
+        if UNSURE.search(text):
+            parts = (w for w, _ in self.pre_tokenizer.pre_tokenize_str(text))
+            return sum(self.transducer.count(w.translate(self.bytes_of).encode("latin-1")) for w in parts)
         return sum(map(self.known_pre.__getitem__, PRE_TOKENS.findall(text)))
 
     def _piece(self, piece: str) -> int:
