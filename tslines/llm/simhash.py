@@ -80,7 +80,8 @@ def _signed(mask: int) -> int:
 
 
 def _close(one: np.ndarray, others: np.ndarray, radius: int) -> np.ndarray:
-    return np.bitwise_count(one ^ others) <= radius
+    # counted as unsigned: of a negative number numpy counts the bits of its absolute value
+    return np.bitwise_count((one ^ others).view(np.uint64)) <= radius
 
 
 def spanning_links(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
