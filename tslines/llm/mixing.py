@@ -24,7 +24,7 @@ LIMIT = 3
 #: Sources whose parameters are broadcast, 100 bytes each; more are joined.
 MAX_BROADCAST_SOURCES = 100_000
 #: Bins of the rounding line; the line is off by a bin's share of the source at most.
-BINS = 1 << 14
+BINS = 1 << 12
 STEPS = 60
 
 
@@ -77,7 +77,7 @@ def tilts(histogram: DataFrame, wanted: DataFrame, limit: int = LIMIT, steps: in
     tilt takes, halved into a bracket where they leave it. Sources whose target is their
     limit need no tilt, all their rates are the limit; they, and empty ones, get null."""
     size, n = F.col("size"), F.col("n")
-    typical = histogram.groupBy("source").agg((F.sum(size * size * n) / F.sum(size * n)).alias("typical"))
+    typical = histogram.groupBy("source").agg(F.try_divide(F.sum(size * size * n), F.sum(size * n)).alias("typical"))
     typical = typical.select("source", F.when(F.col("typical") > 0, F.col("typical")).alias("typical"))
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     joined = wanted.join(typical, same(wanted, typical)).select(wanted["source"], "source_size", "target", "typical")

@@ -101,7 +101,7 @@ class Patterns:
             moved = now << np.uint64(1)
             moved[:, 1:] |= now[:, :-1] >> np.uint64(63)
             state[on:] = moved & self.takes[at] | now & self.loops[at]
-        ends = np.array(self.last)
+        ends = np.array(self.last, np.int64)
         return (state[:, ends // 64] >> (ends % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
