@@ -127,14 +127,14 @@ def test_files_whole_and_by_line_number_the_same(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
     try:
         whole = read_lp(spark, str(tmp_path)).select("batch_id", "line", "lp", "reject")
-        by_line = read_lp(spark, str(tmp_path), max_whole_file=10).select(*whole.columns)
+        by_line = read_lp(spark, str(tmp_path), layout="lines").select(*whole.columns)
         assert read_numbered_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 2
         assert whole.count() == by_line.count() == 40_005
         assert whole.exceptAll(by_line).isEmpty()
         bad = whole.where("reject is not null").orderBy("batch_id").collect()
         assert [(r.batch_id, r.line) for r in bad] == [(0, 4), (1, 40_001)]
         with pytest.raises(ValueError, match="multiline"):
-            read_lp(spark, str(tmp_path), multiline=True, max_whole_file=10)
+            read_lp(spark, str(tmp_path), multiline=True, layout="lines")
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -242,3 +242,16 @@ def test_stored_bodies_read_back(spark, tmp_path):
     local_bodies(encode_points(df), 30).write.parquet(str(tmp_path / "b"))
     back = parse_bodies(spark.read.parquet(str(tmp_path / "b")))
     assert sorted(r.fields[0].value.i for r in back.collect()) == list(range(100))
+
+
+def test_carriage_returns_mean_the_same_in_both_layouts(spark, tmp_path):
+    (tmp_path / "a.lp").write_bytes(b'm v=1i\r\nm s="a\rb" 30\r\n\r\n# x\r\nbad\r\nm v=2i\r')
+    rows = [
+        [(r.line, r.lp, r.reject, r.fields) for r in read_lp(spark, str(tmp_path), layout=k).orderBy("line").collect()]
+        for k in ("bodies", "lines")
+    ]
+    assert rows[0] == rows[1]
+    assert [(n, reject) for n, _, reject, _ in rows[0]] == [(1, None), (2, None), (5, "cannot be parsed"), (6, None)]
+    assert plain(rows[0][1][3]) == {"s": "a\rb"}
+    with pytest.raises(ValueError, match="too large"):
+        read_lp(spark, str(tmp_path), max_whole_file=3)

@@ -67,11 +67,11 @@ def greedy(rows):
     return types, ok
 
 
-@pytest.mark.parametrize("local", [True, False])
+@pytest.mark.parametrize("sent", [True, False])
 @pytest.mark.parametrize("seed", range(3))
-def test_learned_types_match_line_by_line_reading(spark, monkeypatch, local, seed):
-    if not local:
-        monkeypatch.setattr(ingest, "MAX_LOCAL_SIGNATURES", 0)
+def test_learned_types_match_line_by_line_reading(spark, monkeypatch, sent, seed):
+    if not sent:
+        monkeypatch.setattr(ingest, "MAX_BROADCAST_TYPES", 0)
     rng = random.Random(seed)
     sample = {"i": 1, "f": 1.5, "s": "x", "b": True}
     rows, pts = [], []
@@ -89,10 +89,10 @@ def test_learned_types_match_line_by_line_reading(spark, monkeypatch, local, see
     assert got == ok
 
 
-@pytest.mark.parametrize("local", [True, False])
-def test_stored_types_come_first(spark, monkeypatch, local):
-    if not local:
-        monkeypatch.setattr(ingest, "MAX_LOCAL_SIGNATURES", 0)
+@pytest.mark.parametrize("sent", [True, False])
+def test_stored_types_come_first(spark, monkeypatch, sent):
+    if not sent:
+        monkeypatch.setattr(ingest, "MAX_BROADCAST_TYPES", 0)
     df = points(spark, point("m", fields={"v": 1}, seq=(0, 1)), point("m", fields={"v": 1.5, "w": 2}, seq=(0, 2)))
     known = spark.createDataFrame([("m", "v", "f")], "measurement string, key string, type string")
     assert {(r.key, r.type) for r in learn_types(df, known).collect()} == {("v", "f"), ("w", "i")}
@@ -168,3 +168,36 @@ def test_end_to_end(spark, tmp_path):
     assert row == {"time_ns": 17, "location": "k", "temp": 15.5, "index": 80, "uindex": 800,
                    "valid": True, "testId": 17, "text": "a1"}
     assert spark.read.parquet(str(tmp_path / "r")).first().message == "invalid value of field temp"
+
+
+def test_own_clash_is_refused_and_stores_nothing(spark, monkeypatch):
+    text = "m,a=x a=1\nm a=2\nm,a=y b=1"
+    for bound in (50_000, 0):
+        monkeypatch.setattr(ingest, "MAX_BROADCAST_TYPES", bound)
+        judged = judge(parse_bodies(bodies_from_text(spark, [text])))
+        assert [(r.line, r.message) for r in rejects(judged).orderBy("line").collect()] == [
+            (1, "name is both tag and field"), (3, "type conflict on a"),
+        ]
+
+
+def test_a_long_chain_of_conflicts_is_one_pass(spark):
+    # each point clashes with the one before it, so every second one is accepted
+    pts = [point("m", fields={f"k{n}": 1, f"k{n + 1}": "x"}, seq=(0, n)) for n in range(400)]
+    types = {r.key: r.type for r in learn_types(points(spark, *pts)).collect()}
+    want, _ = greedy([((0, n), {f"k{n}": "i", f"k{n + 1}": "s"}) for n in range(400)])
+    assert types == want
+
+
+def test_untagged_points_are_one_series(spark):
+    rows = points(spark, point("m", {}, {"v": 1}, 5, (0, 0)), point("m", {}, {"v": 2}, 5, (0, 1)))
+    bare = rows.withColumn("tags", F.when(F.col("seq.line") == 0, F.col("tags")))
+    assert [r.fields[0].value.i for r in last_write_wins_points(bare).collect()] == [2]
+
+
+def test_many_types_are_not_joined_on_measurement_alone(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "MAX_BROADCAST_TYPES", 0)
+    parsed = parse_bodies(bodies_from_text(spark, ["m v=1i\nbad"]))
+    types = learn_types(parsed.where("reject is null"))
+    plan = ingest._with_types(parsed, types)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert "__part" in join

@@ -82,6 +82,9 @@ def test_line_errors_and_summary(spark):
     assert [tuple(r) for r in outcomes.partial_summary(errors).collect()] == [
         (1, 2, "partial write: 2 line(s) rejected; first error: invalid field value")
     ]
+    bare = spark.createDataFrame([*rows, (4, 0, 400, None, None, '{"error":"partial write of line protocol occurred","data":[]}')], RESPONSES)
+    assert sorted(tuple(r)[:2] for r in outcomes.partial_summary(errors, responses=bare).collect()) == [(1, 2), (4, 0)]
+    assert "unknown" in outcomes.partial_summary(errors, responses=bare).where("batch_id = 4").first().summary
 
 
 def test_backoff_never_exceeds_the_cap(spark):

@@ -1,6 +1,6 @@
 import pytest
 
-from tslines.session import prepare, scratch_path, scratch_root, small_or_none, sql_conf, staged
+from tslines.session import is_small, prepare, scratch_path, scratch_root, sql_conf, staged
 
 
 class FakeSession:
@@ -46,6 +46,6 @@ def test_settings_are_applied_and_put_back(spark):
     assert spark.conf.get("my.own", None) is None
 
 
-def test_small_or_none(spark):
-    assert len(small_or_none(spark.range(3), 3)) == 3
-    assert small_or_none(spark.range(4), 3) is None
+def test_is_small(spark):
+    assert is_small(spark.range(3), 3)
+    assert not is_small(spark.range(4), 3)

@@ -3,6 +3,7 @@ import datetime as dt
 from helpers import lines_of
 from pyspark.sql import functions as F
 
+from tslines.operators.decode import explode_lines
 from tslines.operators.encode import encode_frame
 from tslines.streaming import streams
 
@@ -79,4 +80,4 @@ def test_compaction_keeps_the_current_state(spark, tmp_path):
 
 def test_numbering_lines_of_a_stream_matches_batch(spark):
     df = spark.createDataFrame([("f", "a\n\nb")], "source string, body string")
-    assert lines_of(streams.number_lines(df).orderBy(F.col("line"))) == ["a", "b"]
+    assert lines_of(explode_lines(df, key="source").orderBy(F.col("line"))) == ["a", "b"]

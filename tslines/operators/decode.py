@@ -158,6 +158,7 @@ def parse_lines(lines: DataFrame, precision: Precision | str = Precision.NS) ->
     reject = (
         F.when(F.col("__name").isNull(), F.lit("cannot be parsed"))
         .when(_repeats(F.col("__tags")), F.lit("tag given twice"))
+        .when(_in_both(F.col("__tags"), F.col("__fields")), F.lit("name is both tag and field"))
         .when(F.size(bad) > 0, F.concat(F.lit("invalid value of field "), F.get(bad, F.lit(0))["key"]))
         .when(F.col("__time").isNotNull() & time.isNull(), F.lit("time out of range"))
     )
@@ -181,6 +182,11 @@ def _repeats(entries: Column) -> Column:
     return F.size(F.array_distinct(keys)) < F.size(keys)
 
 
+def _in_both(tags: Column, fields: Column) -> Column:
+    names = [F.transform(c, lambda e: e["key"]) for c in (tags, fields)]
+    return F.when(F.size(tags) > 0, F.arrays_overlap(*names)).otherwise(F.lit(False))
+
+
 def _last_fields(fields: Column) -> Column:
     """A field given twice in a line keeps its first place and its last value."""
     keys = F.array_distinct(F.transform(fields, lambda f: f["key"]))
@@ -197,25 +203,36 @@ def _last_fields(fields: Column) -> Column:
 def split_body(body: Column, multiline: bool = False) -> Column:
     """Lines of a body as an array; place in the array + 1 is the line number.
 
-    The plain split cuts at every line break. `multiline=True` keeps a break inside a
-    quoted string field, which is exact for text written by this library.
+    The plain split cuts at every line feed; one carriage return before it, or at the end of
+    the body, goes with it. `multiline=True` keeps a break inside a quoted string field. A
+    break inside a name or tag value cannot be told from the end of a line by either.
     """
     if not multiline:
-        return F.split(body, "\n")
+        return F.split(F.regexp_replace(body, r"\r\z", ""), "\r?\n")
     pieces = F.regexp_extract_all(body, F.lit(LOGICAL_LINE), F.lit(0))
-    return F.transform(pieces, lambda p: F.regexp_replace(p, r"\n\z", ""))
+    return F.transform(pieces, lambda p: F.regexp_replace(p, r"\r?\n\z|\r\z", ""))
+
+
+def end_of_line(lp: Column) -> Column:
+    """A line cut at line feeds only, without the carriage return that went before."""
+    return F.regexp_replace(lp, r"\r\z", "")
+
+
+def has_point(lp: Column) -> Column:
+    """Whether a line is neither blank nor a comment."""
+    return (F.trim(lp) != "") & ~lp.startswith("#")
 
 
-def explode_lines(bodies: DataFrame, multiline: bool = False) -> DataFrame:
-    """Bodies `(batch_id, body)` to `(batch_id, line, lp)`, lines numbered from 1.
+def explode_lines(bodies: DataFrame, multiline: bool = False, key: str = "batch_id") -> DataFrame:
+    """Bodies `(key, body)` to `(key, line, lp)`, lines numbered from 1.
 
     Blank lines and comment lines count in the numbering but yield no row.
     """
     exploded = bodies.select(
-        "batch_id", F.posexplode(split_body(F.col("body"), multiline)).alias("line", "lp")
+        key, F.posexplode(split_body(F.col("body"), multiline)).alias("line", "lp")
     )
-    return exploded.where((F.trim("lp") != "") & ~F.col("lp").startswith("#")).select(
-        "batch_id", (F.col("line") + 1).cast("bigint").alias("line"), "lp"
+    return exploded.where(has_point(F.col("lp"))).select(
+        key, (F.col("line") + 1).cast("bigint").alias("line"), "lp"
     )
 
 

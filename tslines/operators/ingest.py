@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tslines.model import REJECTS
 from tslines.operators.decode import value_type
-from tslines.session import small_or_none, staged
+from tslines.session import is_small, staged
 
 TAG_TYPE = "tag"
-# Up to this many distinct signatures are decided on the driver, more by joins.
-MAX_LOCAL_SIGNATURES = 10_000
 # A type table up to this many rows is sent to every task; a larger one is joined by key.
 MAX_BROADCAST_TYPES = 50_000
 MAX_BROADCAST_BATCHES = 100_000
+# Parts of a measurement's lines when its types are joined by key.
+SALTS = 64
 
 # Lines per batch that fit into the packed write order below.
 _LINE_SPAN = 10**12
@@ -56,18 +59,17 @@ def learn_types(points: DataFrame, known: DataFrame | None = None) -> DataFrame:
     aggregation, and the rule runs over those. Names seen with one type only cannot
     conflict; a table without conflicts needs no further step.
 
-    `known` holds types stored earlier: (measurement, key, type).
+    A point that uses one name as tag and as field is never accepted. `known` holds types
+    stored earlier: (measurement, key, type).
     Returns (measurement, key, type, place), where `place` is the first position the name
     was seen at, a hint for `decode.to_measurement`.
     """
     first = points.groupBy("measurement", _signature(points).alias("sig")).agg(
         F.min(_packed_order()).alias("first")
     )
+    keys = F.transform("sig", lambda u: u["key"])
+    first = first.where(F.size(F.array_distinct(keys)) == F.size(keys))
     first = staged(first.withColumn("id", F.monotonically_increasing_id()), "signatures")
-    few = small_or_none(first, MAX_LOCAL_SIGNATURES)
-    stored = None if known is None else small_or_none(known, MAX_BROADCAST_TYPES)
-    if few is not None and (known is None or stored is not None):
-        return _learn_locally(points.sparkSession, few, stored or [])
     uses = first.select(
         "id", "measurement", "first", F.posexplode("sig").alias("place", "use")
     ).select("id", "measurement", "first", "use.key", "use.type", "place")
@@ -81,91 +83,44 @@ def learn_types(points: DataFrame, known: DataFrame | None = None) -> DataFrame:
             F.lit(None).cast("int").alias("place"),
         )
         uses = uses.unionByName(stored)
-    refused = _refused(uses)
-    if refused is not None:
-        uses = uses.join(refused, "id", "left_anti")
-    return uses.groupBy("measurement", "key").agg(
+    kept = uses.join(_refused(uses), "id", "left_anti")
+    return kept.groupBy("measurement", "key").agg(
         F.min("type").alias("type"), F.min("place").alias("place")
     )
 
 
-def _learn_locally(spark: SparkSession, signatures: list, known: list) -> DataFrame:
-    """The rule of `learn_types` over a short list: accept in write order what fits."""
-    types = {(r["measurement"], r["key"]): (r["type"], None) for r in known}
-    for row in sorted(signatures, key=lambda r: r["first"]):
-        uses = {(row["measurement"], u["key"]): u["type"] for u in row["sig"]}
-        if all(types.get(k, (t,))[0] == t for k, t in uses.items()):
-            for place, (k, t) in enumerate(uses.items()):
-                types.setdefault(k, (t, place))
-    rows = [(*k, t, place) for k, (t, place) in types.items()]
-    return spark.createDataFrame(
-        rows, "measurement string, key string, type string, place int"
-    )
-
-
-def _refused(uses: DataFrame) -> DataFrame | None:
-    """Ids of the signatures that are refused, or None when nothing conflicts.
+def _refused(uses: DataFrame) -> DataFrame:
+    """Ids of the signatures that are refused.
 
-    Rounds over the undecided signatures: one is accepted when no other undecided or
-    accepted signature used one of its names earlier with another type, and refused when an
-    accepted one did. Every round decides at least the earliest signature left, and each
-    round's table is written out, so plans stay short.
+    Only names used with several types matter. What signatures use of them goes past in
+    write order, one measurement after the other, and a task keeps the types stored so far
+    for the disputed names of one measurement. One pass, whatever the chains of conflicts.
     """
     by_key = uses.groupBy("measurement", "key").agg(F.count_distinct("type").alias("n"))
     disputed = by_key.where("n > 1").select("measurement", "key")
-    open_uses = staged(uses.join(disputed, ["measurement", "key"], "left_semi"), "disputed")
-    if open_uses.isEmpty():
-        return None
-    refused = None
-    while True:
-        # First use of every type of a name, earliest first (there are six types at most).
-        head = (
-            open_uses.groupBy("measurement", "key", "type")
-            .agg(F.min("first").alias("since"))
-            .groupBy("measurement", "key")
-            .agg(F.array_sort(F.collect_list(F.struct("since", "type"))).alias("seen"))
-            .select(
-                "measurement",
-                "key",
-                F.col("seen")[0]["type"].alias("head_type"),
-                F.col("seen")[1]["since"].alias("rival_since"),
-            )
-        )
-        unrivalled = (F.col("type") == F.col("head_type")) & (
-            F.col("first") < F.col("rival_since")
-        )
-        clear = (
-            open_uses.join(head, ["measurement", "key"])
-            .groupBy("id")
-            .agg(F.bool_and(unrivalled).alias("clear"))
-        )
-        accepted = clear.where("clear").select("id")
-        settled = (
-            open_uses.join(accepted, "id", "left_semi")
-            .groupBy("measurement", "key")
-            .agg(F.min("type").alias("settled_type"))
-        )
-        # A name settled by its earliest use refuses every other type for good.
-        losers = (
-            open_uses.join(settled, ["measurement", "key"])
-            .where(F.col("type") != F.col("settled_type"))
-            .select("id")
-            .distinct()
-        )
-        losers = staged(losers, "refused")
-        refused = losers if refused is None else refused.unionByName(losers)
-        left = open_uses.join(losers, "id", "left_anti")
-        left_disputes = (
-            left.groupBy("measurement", "key")
-            .agg(F.count_distinct("type").alias("n"))
-            .where("n > 1")
-            .select("measurement", "key")
-        )
-        open_uses = staged(
-            left.join(left_disputes, ["measurement", "key"], "left_semi"), "disputed"
-        )
-        if open_uses.isEmpty():
-            return refused
+    open_uses = uses.join(disputed, ["measurement", "key"], "left_semi")
+    # stored types come first, each as a signature of its own
+    own = F.when(F.col("id") < 0, F.col("key"))
+    rows = open_uses.groupBy("measurement", "first", "id", own.alias("own")).agg(
+        F.collect_list(F.struct("key", "type")).alias("sig")
+    )
+    in_order = rows.repartition("measurement").sortWithinPartitions("measurement", "first")
+    return in_order.select("measurement", "id", "sig").mapInArrow(_refuse_in_order, "id bigint")
+
+
+def _refuse_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    measurement, types = None, {}
+    for batch in batches:
+        refused = []
+        for row in batch.to_pylist():
+            if row["measurement"] != measurement:
+                measurement, types = row["measurement"], {}
+            uses = {u["key"]: u["type"] for u in row["sig"]}
+            if all(types.get(k, t) == t for k, t in uses.items()):
+                types.update(uses)
+            else:
+                refused.append(row["id"])
+        yield pa.RecordBatch.from_arrays([pa.array(refused, pa.int64())], ["id"])
 
 
 def _type_maps(types: DataFrame) -> DataFrame:
@@ -177,7 +132,18 @@ def _type_maps(types: DataFrame) -> DataFrame:
 
 def _sized(side: DataFrame, checked: DataFrame, bound: int) -> DataFrame:
     """`side` marked for broadcast when `checked` has at most `bound` rows."""
-    return F.broadcast(side) if small_or_none(checked, bound) is not None else side
+    return F.broadcast(side) if is_small(checked, bound) else side
+
+
+def _with_types(parsed: DataFrame, types: DataFrame) -> DataFrame:
+    """Lines with the types of their measurement. Many types are joined by measurement and a
+    part of its lines, so that one measurement, or all lines without one, spread out."""
+    expected = _type_maps(types)
+    if is_small(types, MAX_BROADCAST_TYPES):
+        return parsed.join(F.broadcast(expected), "measurement", "left")
+    part = F.pmod(F.xxhash64("line", "lp"), F.lit(SALTS)).cast("int")
+    copies = expected.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return parsed.withColumn("__part", part).join(copies, ["measurement", "__part"], "left")
 
 
 def judge(
@@ -192,8 +158,7 @@ def judge(
     """
     if types is None:
         types = staged(learn_types(parsed.where(F.col("reject").isNull())), "types")
-    expected = _sized(_type_maps(types), types.select("key"), MAX_BROADCAST_TYPES)
-    joined = parsed.join(expected, "measurement", "left")
+    joined = _with_types(parsed, types)
 
     def clashes(key: Column, kind: Column) -> Column:
         return F.coalesce(F.try_element_at("__types", key) != kind, F.lit(False))
@@ -280,7 +245,7 @@ def last_write_wins_points(points: DataFrame) -> DataFrame:
     """
     fields = points.select(
         "measurement",
-        F.array_sort(F.map_entries("tags")).alias("series"),
+        F.array_sort(F.map_entries(F.coalesce("tags", F.create_map().cast("map<string,string>")))).alias("series"),
         "time_ns",
         "seq",
         F.posexplode("fields").alias("place", "field"),

@@ -103,17 +103,23 @@ def line_errors(responses: DataFrame, keep: list[str] = ("batch_id",)) -> DataFr
     ).where("line is not null and message is not null")
 
 
-def partial_summary(line_errors: DataFrame, keep: list[str] = ("batch_id",)) -> DataFrame:
-    """One text per batch: how many lines were rejected, and the first reason."""
-    return line_errors.groupBy(*keep).agg(
-        F.count("*").alias("n_rejected"),
-        F.concat(
-            F.lit("partial write: "),
-            F.count("*").cast("string"),
-            F.lit(" line(s) rejected; first error: "),
-            F.min_by("message", "place"),
-        ).alias("summary"),
+def partial_summary(
+    line_errors: DataFrame, keep: list[str] = ("batch_id",), responses: DataFrame | None = None
+) -> DataFrame:
+    """One text per batch: how many lines were rejected, and the first reason.
+
+    With `responses`, partial writes that list no line have a row too.
+    """
+    counted = line_errors.groupBy(*keep).agg(
+        F.count("*").alias("n_rejected"), F.min_by("message", "place").alias("__first")
     )
+    if responses is not None:
+        partial = responses.where(~F.col("status").between(200, 299) & is_partial(F.col("body")))
+        counted = partial.select(*keep).distinct().join(counted, list(keep), "left")
+    n = F.coalesce("n_rejected", F.lit(0).cast("bigint"))
+    reason = F.coalesce("__first", F.lit("unknown"))
+    summary = F.concat(F.lit("partial write: "), n.cast("string"), F.lit(" line(s) rejected; first error: "), reason)
+    return counted.select(*keep, n.alias("n_rejected"), summary.alias("summary"))
 
 
 def backoff_ceiling_ms(attempt: Column, policy: RetryPolicy = RetryPolicy()) -> Column:

@@ -98,7 +98,8 @@ def del_line_errors(t: Tables) -> DataFrame:
         WHERE event_type = 'purchase' AND status <> 204""",
 )
 def del_summary(t: Tables) -> DataFrame:
-    return outcomes.partial_summary(outcomes.line_errors(responses(t)))
+    answers = responses(t)
+    return outcomes.partial_summary(outcomes.line_errors(answers), responses=answers)
 
 
 @named(

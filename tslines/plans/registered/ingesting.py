@@ -202,3 +202,26 @@ def ing_assigned_time(t: Tables) -> DataFrame:
     time = F.when(F.col("value") < 50, F.unix_micros(F.col("ts").cast("timestamp")) * 1000)
     rows = t.events.select("event_id", time.alias("time_ns"))
     return assign_time(rows, 1_700_000_000_000_000_000)
+
+
+@named(
+    "ing_own_clash",
+    """SELECT event_id, CASE event_type WHEN 'click' THEN 'name is both tag and field'
+       WHEN 'view' THEN 'type conflict on a' END AS reject FROM events
+       WHERE (SELECT min(event_id) FROM events WHERE event_type NOT IN ('click', 'view'))
+             < (SELECT min(event_id) FROM events WHERE event_type = 'view')
+       UNION ALL SELECT event_id, CASE WHEN event_type = 'click' THEN 'name is both tag and field'
+       WHEN event_type <> 'view' THEN 'type conflict on a' END FROM events
+       WHERE (SELECT min(event_id) FROM events WHERE event_type NOT IN ('click', 'view'))
+             > (SELECT min(event_id) FROM events WHERE event_type = 'view')""",
+)
+def ing_own_clash(t: Tables) -> DataFrame:
+    """Lines that use a name as tag and field are refused and store no type."""
+    lp = """CASE event_type WHEN 'click' THEN concat('m,a=x a=', event_id)
+            WHEN 'view' THEN concat('m,a=y b=', event_id) ELSE concat('m a=', event_id) END"""
+    lines = t.events.select(
+        F.lit(0).cast("bigint").alias("batch_id"), F.col("event_id").cast("bigint").alias("line"), F.expr(lp).alias("lp")
+    )
+    order = F.struct(F.col("batch_id").alias("batch"), F.col("line").alias("line"))
+    judged = judge(parse_lines(lines).withColumn("seq", order))
+    return judged.select(F.col("line").alias("event_id"), "reject")

@@ -88,14 +88,15 @@ def q_param_map(t: Tables) -> DataFrame:
 
 @named(
     "q_relative_range",
-    f"""SELECT event_id, value FROM events WHERE ts >= {NOW} - INTERVAL 10 HOUR
-        AND event_type = 'click'""",
+    """SELECT event_id, value FROM events WHERE event_type = 'click'
+       AND ts >= (SELECT max(ts) FROM events) - INTERVAL 10 HOUR""",
 )
 def q_relative_range(t: Tables) -> DataFrame:
-    """The documented relative range, with the present as a parameter."""
+    """The documented relative range, with the last event as the present."""
     text = """SELECT event_id, value FROM events WHERE time >= $now - interval '10 hour'
               AND "event_type" = $kind ORDER BY time"""
-    now = datetime.fromtimestamp(NOW_NS // 10**9, UTC)
+    last = event_table(t).agg(F.max("time_ns").alias("ns")).first()["ns"]
+    now = datetime.fromtimestamp(last // 10**9, UTC).replace(microsecond=last // 1000 % 10**6)
     return _sql(t, text, {"now": now, "kind": "click"})
 
 

@@ -45,10 +45,28 @@ def lp_roundtrip_by_line(t: Tables) -> DataFrame:
     """The same through the reader for files too large to be read whole."""
     path = scratch_path(t.spark, "lp")
     write_lines(event_lines(t), path)
-    parsed = read_lp(t.spark, path, max_whole_file=0)
+    parsed = read_lp(t.spark, path, layout="lines")
     return to_measurement(parsed, "events", EVENT_TAGS, _EVENT_FIELDS).drop("time")
 
 
+@named(
+    "lp_crlf",
+    """SELECT layout, event_id AS v, 'a' || chr(13) || 'b' AS s, event_type AS k, NULL::VARCHAR AS reject
+       FROM events, (VALUES ('bodies'), ('lines')) AS l(layout)""",
+)
+def lp_crlf(t: Tables) -> DataFrame:
+    """Lines that end in carriage return and line feed, with a lone return in a string."""
+    lp = "concat('m,k=', event_type, ' v=', event_id, 'i,s=\"a\\rb\" ', event_id, '\\r')"
+    path = scratch_path(t.spark, "lp")
+    write_lines(t.events.select(F.expr(lp).alias("lp")), path)
+
+    def read(layout: str) -> DataFrame:
+        wide = to_measurement(read_lp(t.spark, path, layout=layout), "m", ["k"], {"v": "i", "s": "s"})
+        return wide.select(F.lit(layout).alias("layout"), "v", "s", "k", F.lit(None).cast("string").alias("reject"))
+
+    return read("bodies").unionByName(read("lines"))
+
+
 @named("lp_roundtrip_quick", f"SELECT {_EVENT_COLUMNS} FROM events")
 def lp_roundtrip_quick(t: Tables) -> DataFrame:
     """Lines with strings through the reader for known columns."""
@@ -58,17 +76,17 @@ def lp_roundtrip_quick(t: Tables) -> DataFrame:
 
 @named(
     "lp_roundtrip_quick_numbers",
-    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_extendedprice, l_tax,
-       l_returnflag, l_linestatus, epoch_us(l_shipdate) * 1000 AS time_ns, NULL::VARCHAR AS reject
+    """SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       CAST(l_partkey AS BIGINT) AS l_partkey, CAST(l_suppkey AS BIGINT) AS l_suppkey,
+       l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, epoch_us(l_shipdate) * 1000 AS time_ns, NULL::VARCHAR AS reject
        FROM lineitem""",
 )
 def lp_roundtrip_quick_numbers(t: Tables) -> DataFrame:
     """Lines of plain numbers, which need no pattern at all."""
-    cells = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_tax"]
     tags = ["l_returnflag", "l_linestatus"]
-    frame = t.lineitem.select(*tags, *cells, "l_shipdate")
-    usual = encode_frame(frame, "lineitem", tags, "l_shipdate")
-    fields = {"l_orderkey": "i", "l_linenumber": "i", "l_extendedprice": "f", "l_tax": "f"}
+    whole = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    usual = encode_frame(t.lineitem, "lineitem", tags, "l_shipdate")
+    fields = dict.fromkeys(whole, "i") | dict.fromkeys(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "f")
     return parse_measurement(usual, "lineitem", tags, fields).drop("lp")
 
 
@@ -109,14 +127,14 @@ def lp_roundtrip_documents(t: Tables) -> DataFrame:
 @named(
     "lp_roundtrip_learned",
     """SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       CAST(l_partkey AS BIGINT) AS l_partkey, CAST(l_suppkey AS BIGINT) AS l_suppkey,
        l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
        epoch_us(l_shipdate) // 1000000 * 1000000000 AS time_ns FROM lineitem""",
 )
 def lp_roundtrip_learned(t: Tables) -> DataFrame:
     """Columns and types of the wide table taken from the text itself; time in seconds."""
     path = scratch_path(t.spark, "lp")
-    frame = t.lineitem.drop("l_partkey", "l_suppkey")
-    lines = encode_frame(frame, "lineitem", ["l_returnflag", "l_linestatus"], "l_shipdate", "s")
+    lines = encode_frame(t.lineitem, "lineitem", ["l_returnflag", "l_linestatus"], "l_shipdate", "s")
     write_lines(lines, path)
     parsed = read_lp(t.spark, path, "s")
     tags, fields = wide_schema(learn_types(parsed), "lineitem")

@@ -126,10 +126,6 @@ def is_utc(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.session.timeZone") in {"UTC", "Etc/UTC", "GMT", "Z"}
 
 
-def small_or_none(df, max_rows: int):
-    """The rows of `df` if there are at most `max_rows`, else None.
-
-    The check reads one row past the bound, so the driver never holds more than that.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
+def is_small(df, max_rows: int) -> bool:
+    """Whether `df` has at most `max_rows` rows; stops counting one row past the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows

@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 from tslines.functions.literals import UNSIGNED
 from tslines.model import POINTS, Precision
 from tslines.operators.batches import number_rows
-from tslines.operators.decode import explode_lines, parse_lines
-from tslines.session import small_or_none, staged
+from tslines.operators.decode import end_of_line, explode_lines, has_point, parse_lines
+from tslines.session import is_small, staged
 
-# Files up to this size are read whole, one file being one body. Request bodies are
-# 10 MB by default, so larger files are concatenations and are read line by line.
+# Files up to this size can be read whole, one file being one body. Request bodies are
+# 10 MB by default, so larger files are concatenations, to be read line by line.
 MAX_WHOLE_FILE = 64 * 1024 * 1024
 MAX_BROADCAST_FILES = 200_000
 
@@ -63,7 +63,7 @@ def _numbered_files(spark: SparkSession, path: str) -> DataFrame:
 def _with_file_number(df: DataFrame, files: DataFrame) -> DataFrame:
     """Add `batch_id` by file; a file that came after the listing fails the job."""
     side = files
-    if small_or_none(files.select("batch_id"), MAX_BROADCAST_FILES) is not None:
+    if is_small(files, MAX_BROADCAST_FILES):
         side = F.broadcast(side)
     unlisted = F.raise_error(F.concat(F.lit("file added while reading: "), "__file"))
     number = F.coalesce("batch_id", unlisted.cast("bigint"))
@@ -87,11 +87,11 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     number of the first line of every block. No sort and no shuffle of the lines.
     """
     files = _numbered_files(spark, path)
-    lines = spark.read.text(path).select(
+    lines = spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__id"),
-        F.col("value").alias("lp"),
+        end_of_line(F.col("value")).alias("lp"),
     )
     stored = staged(_with_file_number(lines, files), "lines")
     blocks = stored.groupBy("batch_id", "__block").agg(
@@ -109,7 +109,7 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         ),
         "blocks",
     )
-    if small_or_none(starts.select("batch_id"), MAX_BROADCAST_FILES) is not None:
+    if is_small(starts, MAX_BROADCAST_FILES):
         starts = F.broadcast(starts)
     return stored.join(starts, ["batch_id", "__block"]).select(
         "batch_id", (F.col("__start") + F.col("__id") - F.col("__first") + 1).alias("line"), "lp"
@@ -121,22 +121,26 @@ def read_lp(
     path: str,
     precision: Precision | str = Precision.NS,
     multiline: bool = False,
+    layout: str = "bodies",
     max_whole_file: int = MAX_WHOLE_FILE,
 ) -> DataFrame:
     """Parsed lines of line-protocol files; columns as `decode.parse_bodies` gives.
 
-    One file is one batch. Files are read whole unless one of them is larger than
-    `max_whole_file`; then all are read line by line with the same numbering, which
-    cannot keep line breaks inside strings.
+    One file is one batch. `layout='bodies'` reads files whole and fails on one larger than
+    `max_whole_file`; `layout='lines'` reads files of any size line by line, which cannot
+    keep line breaks inside strings. Both cut, number and judge plain lines alike.
     """
-    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n"))
-    largest = sizes.first()["n"] or 0
-    if largest <= max_whole_file:
+    if layout == "bodies":
+        sizes = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n"))
+        largest = sizes.first()["n"] or 0
+        if largest > max_whole_file:
+            raise ValueError(f"a file of {largest} bytes is too large to be read whole; use layout='lines'")
         lines = explode_lines(read_bodies(spark, path), multiline)
+    elif layout != "lines":
+        raise ValueError(f"layout must be 'bodies' or 'lines', not {layout!r}")
     elif multiline:
-        raise ValueError(f"a file of {largest} bytes cannot be read whole for multiline text")
+        raise ValueError("multiline text can only be read with layout='bodies'")
     else:
-        numbered = read_numbered_lines(spark, path)
-        lines = numbered.where((F.trim("lp") != "") & ~F.col("lp").startswith("#"))
+        lines = read_numbered_lines(spark, path).where(has_point(F.col("lp")))
     order = F.struct(F.col("batch_id").alias("batch"), F.col("line").alias("line"))
     return parse_lines(lines, precision).withColumn("seq", order)

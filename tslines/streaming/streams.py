@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tslines.model import Precision
-from tslines.operators.decode import split_body, parse_lines
+from tslines.operators.decode import explode_lines, parse_lines
 from tslines.operators.ingest import judge, last_write_wins
 from tslines.session import scratch_path
 from tslines.sources.sinks import write_measurement
@@ -40,16 +40,6 @@ def read_bodies_stream(
     )
 
 
-def number_lines(bodies: DataFrame, multiline: bool = False) -> DataFrame:
-    """Bodies `(source, body)` to `(source, line, lp)`, numbered from 1 in each body."""
-    exploded = bodies.select(
-        "source", F.posexplode(split_body(F.col("body"), multiline)).alias("line", "lp")
-    )
-    return exploded.where((F.trim("lp") != "") & ~F.col("lp").startswith("#")).select(
-        "source", (F.col("line") + 1).cast("bigint").alias("line"), "lp"
-    )
-
-
 def ingest_stream(
     bodies: DataFrame,
     types: DataFrame,
@@ -68,7 +58,7 @@ def ingest_stream(
     """
 
     def write(epoch: DataFrame, epoch_id: int) -> None:
-        lines = number_lines(epoch, multiline).withColumn("batch_id", F.lit(epoch_id))
+        lines = explode_lines(epoch, multiline, "source").withColumn("batch_id", F.lit(epoch_id))
         judged = judge(parse_lines(lines, precision), types).withColumn(
             "seq", F.struct(F.lit(epoch_id).alias("epoch"), "source", "line")
         )
