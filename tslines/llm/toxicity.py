@@ -2,7 +2,7 @@
 
 Fitting counts tokens in labelled documents and gives every token the log-odds of toxic
 against other text. Priors are Dirichlet, chained: a word's counts are smoothed by its
-six-letter beginning, that by its four-letter beginning, that by the share of all tokens, so
+five-letter beginning, that by its four-letter beginning, that by the share of all tokens, so
 words never seen lean on what they begin like. Scoring scans a text once for all its maximal
 scoring segments. How high a segment of clean text gets by chance follows an extreme-value
 law, whose two parameters are fitted on other labelled documents; segments beyond it are the
@@ -28,11 +28,15 @@ from tslines.session import staged
 #: The size of the model: counts are kept in so many cells for each length of beginning.
 CELLS = 1 << 18
 #: Whole words, then beginnings of so many letters.
-LENGTHS = (0, 6, 4)
+LENGTHS = (0, 5, 4)
 #: Labelled documents used for fitting, at most; the rest of them would add little.
 MAX_FIT_DOCS = 40_000
 #: Strength of each prior in tokens, and what every token costs a segment.
-CONCENTRATION, DRIFT = 8.0, 0.5
+CONCENTRATION, DRIFT = 4.0, 2.0
+#: Shares are kept this far from none and all, so that scores stay finite.
+LEAST_SHARE = 1e-6
+#: Of five documents to fit on, one is for the extreme-value law and the curve.
+FIFTHS_HELD = 1
 #: A passage is significant if chance gives fewer than so many as good in a text.
 E_VALUE = 0.05
 
@@ -94,7 +98,8 @@ class Model:
     def score(self, word: str) -> float:
         share = self.share
         for cell in reversed(cells(word)):
-            share = (self.toxic[cell] + CONCENTRATION * share) / (self.all[cell] + CONCENTRATION)
+            share = (float(self.toxic[cell]) + CONCENTRATION * share) / (float(self.all[cell]) + CONCENTRATION)
+        share = min(max(share, LEAST_SHARE), 1 - LEAST_SHARE)
         return math.log(share / (1 - share)) - math.log(self.share / (1 - self.share)) - DRIFT
 
     def evidence(self, score: float, size: int) -> float:
@@ -127,7 +132,7 @@ def fitting_rows(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str
     chosen = known.groupBy("id").agg(F.max("label").alias("label")).where(usable).orderBy(F.xxhash64("id"), "id").limit(most)
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text).alias("text"))
     picked = rows.join(F.broadcast(chosen), "id")
-    part = F.pmod(F.xxhash64(F.col("id"), F.lit("part")), F.lit(2)).cast("int")
+    part = (F.pmod(F.xxhash64(F.col("id"), F.lit("part")), F.lit(5)) < FIFTHS_HELD).cast("int")
     return staged(picked.select("text", "label", part.alias("part")), "labelled")
 
 
