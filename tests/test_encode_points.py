@@ -158,6 +158,15 @@ def test_line_breaks_are_kept_or_refused(spark):
         check_newlines(lines, "error").collect()
 
 
+def test_line_breaks_in_tags_and_comment_names_are_refused(spark):
+    for bad in (point("m", {"h": "a\nb"}, {"v": 1}), point("#m", fields={"v": 1}), point("a\nb", fields={"v": 1})):
+        with pytest.raises(PySparkException, match="line break inside a name|starts with #"):
+            check_newlines(encode_points(points(spark, bad))).collect()
+        assert lines_of(check_newlines(encode_points(points(spark, bad)), "keep"))
+    with pytest.raises(ValueError):
+        check_newlines(encode_points(points(spark)), "sometimes")
+
+
 def test_precision_names():
     for name in ("nanosecond", "ns"):
         assert Precision.parse(name) is Precision.NS

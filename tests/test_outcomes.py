@@ -152,6 +152,18 @@ def test_failfast_raises_after_the_job(spark):
         send_one(spark, Reply(204), mode="sometimes")
 
 
+def test_stops_after_the_first_failure(spark):
+    rows = [(n, 1, f"m v={n}i") for n in range(4)]
+    df = spark.createDataFrame(rows, "batch_id bigint, n_points int, body string").coalesce(1)
+    one = WriteOptions(max_inflight=1)
+    out = deliver(df, Script(Reply(204), Reply(401, body="who")), options=one, mode="stop")
+    got = {r.batch_id: (r.attempt, r.status, r.error_kind) for r in out.collect()}
+    assert got == {0: (0, 204, None), 1: (0, 401, None), 2: (None, None, "not sent"), 3: (None, None, "not sent")}
+    assert {r.batch_id: r.attempts for r in failures(out).collect()} == {1: 1, 2: 0, 3: 0}
+    with pytest.raises(DeliveryFailed, match="batch 1 failed"):
+        raise_on_failure(out)
+
+
 class Recorder:
     def __init__(self, folder):
         self.folder = folder

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tslines.functions import literals, text, times
 from tslines.model import Precision, WriteOptions
+from tslines.operators.decode import split_body
 from tslines.session import is_utc
 
 # Above this many fields the parts are joined through one array expression, which Spark
@@ -201,17 +201,38 @@ def encode_points(
     )
 
 
-def check_newlines(lines: DataFrame, on_newline: str = "keep") -> DataFrame:
-    """Lines as they are, or failing on a line break inside a value.
+def line_fault(lp: Column, on_newline: str = "names") -> Column:
+    """Why plain readers could not read a line back, or NULL.
 
-    Line protocol leaves such breaks as they are; readers that split plainly on line
-    breaks cannot read them back.
+    `on_newline='names'` minds line breaks in names and tag values, which no reader can tell
+    from the end of a line, and a leading `#`, which makes the line a comment; breaks inside
+    string fields pass. `'error'` minds any line break. `'keep'` minds nothing.
     """
+    if on_newline == "keep":
+        return F.lit(None).cast("string")
+    if on_newline not in ("names", "error"):
+        raise ValueError(f"on_newline must be 'keep', 'names' or 'error', not {on_newline!r}")
+    broken = F.contains(lp, F.lit("\n"))
+    if on_newline == "names":
+        broken &= F.get(split_body(lp, multiline=True), F.lit(0)) != lp
+    return F.when(lp.startswith("#"), F.lit("name starts with #")).when(
+        broken, F.lit("line break inside a " + ("name or tag" if on_newline == "names" else "value"))
+    )
+
+
+def check_newlines(lines: DataFrame, on_newline: str = "names") -> DataFrame:
+    """Lines as they are, or failing on one that `line_fault` minds."""
     if on_newline == "keep":
         return lines
-    if on_newline != "error":
-        raise ValueError(f"on_newline must be 'keep' or 'error', not {on_newline!r}")
-    broken = F.contains("lp", F.lit("\n"))
-    return lines.withColumn(
-        "lp", F.when(broken, F.raise_error(F.lit("line break inside a value"))).otherwise(F.col("lp"))
+    fault = line_fault(F.col("lp"), on_newline)
+    return lines.withColumn("lp", F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(F.col("lp")))
+
+
+def split_faulty(lines: DataFrame, on_newline: str = "names") -> DataFrame:
+    """Lines with a column `reject`; `lp` is NULL where it is set."""
+    fault = line_fault(F.col("lp"), on_newline)
+    kept = [F.col(f"`{c}`") for c in lines.columns if c not in ("lp", "reject")]
+    before = [F.col("reject")] if "reject" in lines.columns else []
+    return lines.select(
+        *kept, F.when(fault.isNull(), F.col("lp")).alias("lp"), F.coalesce(*before, fault).alias("reject")
     )

@@ -157,6 +157,8 @@ def judge(
     whole batch.
     """
     if types is None:
+        # learning reads the lines once more, so they are parsed into a table first
+        parsed = staged(parsed, "parsed")
         types = staged(learn_types(parsed.where(F.col("reject").isNull())), "types")
     joined = _with_types(parsed, types)
 
@@ -194,9 +196,10 @@ def accepted(judged: DataFrame) -> DataFrame:
     return judged.where(F.col("reject").isNull()).drop("reject")
 
 
-def rejects(judged: DataFrame) -> DataFrame:
-    """Rejected lines with number, reason and text."""
+def rejects(judged: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Rejected lines with number, reason and text, next to the columns in `keep`."""
     return judged.where(F.col("reject").isNotNull()).select(
+        *keep,
         F.col("batch_id").cast(REJECTS["batch_id"].dataType).alias("batch_id"),
         F.col("line").cast("bigint").alias("line"),
         F.col("reject").alias("message"),

@@ -134,10 +134,13 @@ def backoff_ms(attempt: Column, policy: RetryPolicy = RetryPolicy()) -> Column:
 
 
 def final_attempts(responses: DataFrame) -> DataFrame:
-    """Last attempt of every batch with its class and the number of attempts made."""
-    order = F.col("attempt")
+    """Last attempt of every batch with its class and the number of attempts made.
+
+    A batch that was never sent has one row without an attempt number, and 0 attempts.
+    """
+    order = F.coalesce("attempt", F.lit(-1))
     return responses.groupBy("batch_id").agg(
-        F.count("*").alias("attempts"),
+        F.count("attempt").alias("attempts"),
         F.max_by("status", order).alias("status"),
         F.max_by("error_kind", order).alias("error_kind"),
         F.max_by("body", order).alias("body"),

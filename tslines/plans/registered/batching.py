@@ -5,10 +5,12 @@ from __future__ import annotations
 import gzip
 
 import pandas as pd
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from tslines.model import WriteOptions
 from tslines.operators.batches import (
     assign_batches,
     compresses,
@@ -17,6 +19,7 @@ from tslines.operators.batches import (
     local_bodies,
 )
 from tslines.operators.decode import split_body
+from tslines.operators.points import points_from_frame
 from tslines.plans.registered.encoding import _BLANKED, _BLANKED_LINE, _blanked
 from tslines.plans.registered.registry import (
     EVENT_LINE,
@@ -32,6 +35,7 @@ from tslines.sources.sinks import (
     write_frame,
     write_lines,
     write_measurement,
+    write_points,
 )
 
 _NUMBERED = "(row_number() OVER (ORDER BY event_id) - 1) // {size} AS batch_id"
@@ -167,3 +171,61 @@ def layout_tag_order(t: Tables) -> DataFrame:
     return stored.where("event_type = 'click' and user_id = 46").select(
         "event_id", "value", "time_ns"
     )
+
+
+@named(
+    "batch_default",
+    """SELECT CAST(count(*) AS BIGINT) AS n_lines, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS n_batches,
+       least(count(*), 5000)::BIGINT AS fullest FROM lineitem""",
+)
+def batch_default(t: Tables) -> DataFrame:
+    """Without a size, batches hold 5,000 rows."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    sizes = assign_batches(t.lineitem.select(*keys), keys).groupBy("batch_id").agg(F.count("*").alias("n"))
+    return sizes.agg(F.sum("n").alias("n_lines"), F.count("*").alias("n_batches"), F.max("n").alias("fullest"))
+
+
+@named(
+    "batch_failure",
+    """SELECT CAST(count(*) AS BIGINT) AS n, 'point ''e'' has no fields; it needs at least one' AS reason,
+       false AS stored FROM events""",
+)
+def batch_failure(t: Tables) -> DataFrame:
+    """One point that cannot be encoded fails the write, and no table is left behind."""
+    value = F.when(F.col("value") < (F.lit(50)), F.col("value")).alias("value")
+    points = points_from_frame(t.events.select(value), "e", {}, fields=["value"])
+    path = scratch_path(t.spark, "bodies")
+    try:
+        write_points(points, path)
+        reason = None
+    except SparkRuntimeException as failure:
+        reason = failure.getMessageParameters().get("errorMessage")
+    marks = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        stored = not marks.load(f"{path}/_SUCCESS").isEmpty()
+    except AnalysisException:
+        stored = False
+    return t.events.agg(F.count("*").alias("n"), F.lit(reason).alias("reason"), F.lit(stored).alias("stored"))
+
+
+@named(
+    "sink_smallest",
+    """SELECT CAST(count(*) AS BIGINT) AS n_bodies, 1 AS fullest, 4 AS inflight, 1024 AS threshold,
+       'batch_size must be a whole number of at least 0, not -1' AS refused FROM events""",
+)
+def sink_smallest(t: Tables) -> DataFrame:
+    """Defaults of the options, 0 as the smallest batch size, and a size that is refused."""
+    try:
+        WriteOptions(batch_size=-1)
+        refused = None
+    except ValueError as refusal:
+        refused = str(refusal)
+    path = scratch_path(t.spark, "bodies")
+    write_frame(t.events, path, "events", EVENT_TAGS, "ts", WriteOptions(batch_size=0))
+    return t.spark.read.parquet(path).agg(
+        F.count("*").alias("n_bodies"),
+        F.max("n_points").alias("fullest"),
+        F.lit(WriteOptions().max_inflight).alias("inflight"),
+        F.lit(WriteOptions().gzip_threshold).alias("threshold"),
+        F.lit(refused).alias("refused"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+import time
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -10,8 +12,8 @@ from pyspark.sql import functions as F
 from tslines.model import RetryPolicy, WriteOptions
 from tslines.operators import outcomes
 from tslines.operators.batches import assign_batches, join_bodies
-from tslines.plans.registered.registry import EVENT_LINE, Tables, event_lines, named
-from tslines.sources.delivery import Reply, deliver, failures
+from tslines.plans.registered.registry import EVENT_LINE, EVENT_TAGS, Tables, event_lines, named
+from tslines.sources.delivery import Reply, deliver, deliver_frame, failures
 
 # Every event stands for one write attempt with some outcome.
 _STATUS = """CASE WHEN value < 5 THEN 429 WHEN value < 10 THEN 503 WHEN value < 15 THEN 404
@@ -193,3 +195,93 @@ def del_failures(t: Tables) -> DataFrame:
 def del_exhausted(t: Tables) -> DataFrame:
     policy = RetryPolicy(max_retries=2)
     return outcomes.exhausted(_delivered(t), policy).select("batch_id", "attempts")
+
+
+# Bodies dealt to eight writers by number, in order for each.
+_WRITERS = 8
+
+
+def _dealt(t: Tables) -> DataFrame:
+    lines = event_lines(t, keep=["event_id"])
+    bodies = join_bodies(assign_batches(lines, ["event_id"], 20))
+    writer = (F.col("batch_id") % _WRITERS).cast("int")
+    return bodies.repartitionById(_WRITERS, writer).sortWithinPartitions("batch_id")
+
+
+@named(
+    "del_failfast",
+    f"""WITH b AS (SELECT batch_id, n, n % 5 = 0 OR n % 4 = 3 AS bad FROM {_BODIES}),
+        f AS (SELECT batch_id % {_WRITERS} AS writer, min(batch_id) AS first FROM b WHERE bad GROUP BY 1)
+        SELECT batch_id, CASE WHEN first IS NULL OR batch_id < first THEN 'through'
+        WHEN batch_id = first THEN 'failed' ELSE 'not sent' END AS state
+        FROM b LEFT JOIN f ON batch_id % {_WRITERS} = writer""",
+)
+def del_failfast(t: Tables) -> DataFrame:
+    """A writer sends nothing after its first body that does not get through."""
+    policy = RetryPolicy(max_retries=2, base_delay_ms=0)
+    options = WriteOptions(gzip_threshold=None, max_inflight=1)
+    replies = deliver(_dealt(t), ScriptedSender(), policy, options, mode="stop")
+    state = F.when(F.col("attempts") == 0, "not sent").when(F.col("outcome") == "ok", "through")
+    return outcomes.final_attempts(replies).select("batch_id", state.otherwise("failed").alias("state"))
+
+
+class CountingSender:
+    """Answers with the number of bodies it took before, and how many are on their way."""
+
+    def __init__(self):
+        self.taken, self.active = 0, 0
+
+    def __call__(self, payload: bytes, gzipped: bool) -> Reply:
+        place, self.taken, self.active = self.taken, self.taken + 1, self.active + 1
+        try:
+            time.sleep(0.001)
+            return Reply(204, body=f"{place} {self.active}")
+        finally:
+            self.active -= 1
+
+
+@named(
+    "del_in_order",
+    f"SELECT batch_id, CAST(batch_id // {_WRITERS} AS BIGINT) AS place, true AS alone FROM {_BODIES}",
+)
+def del_in_order(t: Tables) -> DataFrame:
+    """With one body on its way at a time, a writer sends its bodies in order."""
+    options = WriteOptions(gzip_threshold=None, max_inflight=1)
+    said = F.split("body", " ")
+    return deliver(_dealt(t), CountingSender(), options=options).select(
+        "batch_id", said[0].cast("bigint").alias("place"), (said[1] == "1").alias("alone")
+    )
+
+
+@named("del_inflight", f"SELECT batch_id, true AS within FROM {_BODIES}")
+def del_inflight(t: Tables) -> DataFrame:
+    """Never more bodies on their way at once than allowed."""
+    replies = deliver(_dealt(t), CountingSender(), options=WriteOptions(max_inflight=3))
+    return replies.select("batch_id", F.split("body", " ")[1].cast("int").between(1, 3).alias("within"))
+
+
+class SizeSender:
+    """Answers with the lines and bytes it was given."""
+
+    def __call__(self, payload: bytes, gzipped: bool) -> Reply:
+        text = gzip.decompress(payload) if gzipped else payload
+        return Reply(204, body=f"{text.count(chr(10).encode()) + 1} {len(text)}")
+
+
+@named(
+    "del_one_call",
+    f"""SELECT CAST(count(*) AS BIGINT) AS n_lines,
+        CAST(sum(octet_length(encode({EVENT_LINE}))) AS BIGINT) AS n_bytes, true AS sized FROM events""",
+)
+def del_one_call(t: Tables) -> DataFrame:
+    """From a frame to the server's replies: every line arrives in one body."""
+    options = WriteOptions(batch_size=50)
+    replies = deliver_frame(t.events, SizeSender(), "events", EVENT_TAGS, "ts", options)
+    said = F.split("body", " ")
+    lines, size = said[0].cast("bigint"), said[1].cast("bigint")
+    return replies.agg(
+        F.sum(lines).alias("n_lines"),
+        # line breaks part the lines of a body and are no part of them
+        (F.sum(size) - F.sum(lines - 1)).alias("n_bytes"),
+        (F.max(lines) <= options.batch_size).alias("sized"),
+    )

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tslines.functions import literals, text, times
-from tslines.model import WriteOptions
-from tslines.operators.encode import encode_frame, encode_points
+from tslines.model import PRECISION_NAMES, Precision, WriteOptions
+from tslines.operators.batches import local_bodies
+from tslines.operators.encode import encode_frame, encode_points, split_faulty
 from tslines.operators.points import points_from_frame, union_value, with_field, with_tag, with_time
 from tslines.plans.registered.registry import (
     EVENT_LINE,
+    EVENT_TAGS,
     Tables,
     event_lines,
     named,
@@ -19,6 +23,7 @@ from tslines.plans.registered.registry import (
     sql_ns,
     sql_quoted,
 )
+from tslines.sources.files import points_from_rows
 
 
 @named("enc_frame_events", f"SELECT event_id, {EVENT_LINE} AS lp FROM events")
@@ -311,15 +316,18 @@ def fn_time_range(t: Tables) -> DataFrame:
 @named(
     "fn_frame_time",
     """SELECT event_id, event_id AS whole, CAST(user_id AS BIGINT) AS narrow, event_id AS uns,
+       CAST(event_id - 9223372036854775808::HUGEINT AS BIGINT) AS wrapped,
        epoch_us(ts) * 1000 // 1000000 AS ms, NULL::BIGINT AS text FROM events""",
 )
 def fn_frame_time(t: Tables) -> DataFrame:
-    """A time column by its type: whole numbers as they are, datetimes scaled, text none."""
+    """A time column by its type: whole numbers as they are, unsigned ones wrapped beyond 64
+    bits with a sign, datetimes scaled, text none."""
     df = t.events.select(
         "event_id",
         F.col("event_id").alias("whole"),
         F.col("user_id").cast("int").alias("narrow"),
         F.col("event_id").cast("decimal(20,0)").alias("uns"),
+        (F.col("event_id").cast("decimal(19,0)") + F.lit(Decimal(2**63))).cast("decimal(20,0)").alias("wrapped"),
         F.col("ts").alias("ms"),
         F.col("event_type").alias("text"),
     )
@@ -329,4 +337,96 @@ def fn_frame_time(t: Tables) -> DataFrame:
         c = times.frame_time(F.col(name), kinds[name], "ms")
         return (F.lit(None).cast("bigint") if c is None else c).alias(name)
 
-    return df.select("event_id", *(time(c) for c in ("whole", "narrow", "uns", "ms", "text")))
+    return df.select("event_id", *(time(c) for c in ("whole", "narrow", "uns", "wrapped", "ms", "text")))
+
+
+_SPELLINGS = list(PRECISION_NAMES)
+
+
+@named(
+    "fn_precision",
+    f"""SELECT event_id, spelling, CASE WHEN spelling[1] = 'n' THEN 'nanosecond'
+        WHEN spelling[1] IN ('u', 'µ') OR spelling = 'microsecond' THEN 'microsecond'
+        WHEN spelling[1] = 'm' THEN 'millisecond' ELSE 'second' END AS wire_name,
+        ns // CASE WHEN spelling[1] = 'n' THEN 1
+        WHEN spelling[1] IN ('u', 'µ') OR spelling = 'microsecond' THEN 1000
+        WHEN spelling[1] = 'm' THEN 1000000 ELSE 1000000000 END AS scaled FROM
+        (SELECT event_id, epoch_us(ts) * 1000 AS ns,
+         {_SPELLINGS}[event_id % {len(_SPELLINGS)} + 1] AS spelling FROM events)""",
+)
+def fn_precision(t: Tables) -> DataFrame:
+    """Every spelling of a precision, its name on the wire and the time in it."""
+    names = F.array(*(F.lit(n) for n in _SPELLINGS))
+    df = t.events.select(
+        "event_id",
+        F.get(names, (F.col("event_id") % len(_SPELLINGS)).cast("int")).alias("spelling"),
+        times.datetime_nanos(F.col("ts")).alias("ns"),
+    )
+
+    def by_spelling(value) -> Column:
+        found = F.lit(None)
+        for name in _SPELLINGS:
+            found = F.when(F.col("spelling") == name, value(Precision.parse(name))).otherwise(found)
+        return found
+
+    return df.select(
+        "event_id",
+        "spelling",
+        by_spelling(lambda p: F.lit(p.wire_name)).alias("wire_name"),
+        by_spelling(lambda p: times.scale_time(F.col("ns"), p)).alias("scaled"),
+    )
+
+
+@named(
+    "src_points",
+    """SELECT 'nation,name=' || replace(n_name, ' ', '\\ ') || ' key=' || n_nationkey || 'i' AS lp FROM nation
+       UNION ALL SELECT 'customer,segment=' || replace(c_mktsegment, ' ', '\\ ') || ' c_custkey='
+       || c_custkey || 'i' FROM customer""",
+)
+def src_points(t: Tables) -> DataFrame:
+    """Points held by the caller, one per nation, together with points of a table."""
+    nothing = dict.fromkeys("fiusb")
+    held = points_from_rows(t.spark, (
+        ("nation", {"name": r.n_name}, [{"key": "key", "value": {**nothing, "i": r.n_nationkey}}], None, None)
+        for r in t.nation.toLocalIterator()
+    ))
+    customers = points_from_frame(t.customer, "customer", {"segment": F.col("c_mktsegment")}, fields=["c_custkey"])
+    return encode_points(held.unionByName(customers))
+
+
+@named(
+    "enc_empty",
+    """SELECT CAST(count(*) AS BIGINT) AS n_rows, 0::BIGINT AS n_lines, 0::BIGINT AS n_bodies FROM events""",
+)
+def enc_empty(t: Tables) -> DataFrame:
+    """An empty frame gives no line and no body."""
+    none = encode_frame(t.events.where("event_id < 0"), "events", EVENT_TAGS, "ts")
+    return (
+        t.events.agg(F.count("*").alias("n_rows"))
+        .withColumn("n_lines", F.lit(none.count()).cast("bigint"))
+        .withColumn("n_bodies", F.lit(local_bodies(none).count()).cast("bigint"))
+    )
+
+
+@named(
+    "enc_newline_reject",
+    """SELECT event_id, CASE WHEN kind NOT IN ('click', 'view') THEN name || ',kind=' || kind || ' text="a' || chr(10)
+       || 'b",id=' || event_id || 'i' WHEN kind = 'view' THEN name || ',kind=view id=' || event_id || 'i' END AS lp,
+       CASE WHEN kind = 'click' THEN CASE WHEN event_id % 2 = 0 THEN 'name starts with #'
+       ELSE 'line break inside a name or tag' END END AS reject FROM
+       (SELECT event_id, event_type AS kind, CASE WHEN event_type = 'click' AND event_id % 2 = 0
+        THEN '#m' ELSE 'm' END AS name FROM events)""",
+)
+def enc_newline_reject(t: Tables) -> DataFrame:
+    """Breaks inside string fields pass; those in tag values and comment names do not."""
+    click, even = F.col("event_type") == "click", F.col("event_id") % 2 == 0
+    df = t.events.select(
+        F.when(click & even, "#m").otherwise("m").alias("name"),
+        F.when(click & ~even, "cl\nick").otherwise(F.col("event_type")).alias("kind"),
+        F.when(~F.col("event_type").isin("click", "view"), "a\nb").alias("text"),
+        F.col("event_id").alias("id"),
+    )
+    seq = F.struct(F.col("id").alias("batch"), F.lit(0).cast("bigint").alias("line"))
+    points = points_from_frame(df, F.col("name"), ["kind"], fields=["text", "id"], seq=seq)
+    lines = split_faulty(encode_points(points, keep=["seq"]))
+    return lines.select(F.col("seq.batch").alias("event_id"), "lp", "reject")

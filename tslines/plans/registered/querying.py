@@ -5,12 +5,21 @@ from __future__ import annotations
 from datetime import UTC, datetime
 
 import pyarrow as pa
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslines.functions import views
 from tslines.operators.points import points_from_frame
-from tslines.operators.results import as_map, map_batches, normalize
+from tslines.operators.results import (
+    UnsupportedType,
+    as_map,
+    column_names,
+    iter_rows,
+    map_batches,
+    normalize,
+    num_rows,
+)
 from tslines.plans import queries as q
 from tslines.plans.registered.encoding import order_points
 from tslines.plans.registered.registry import Tables, named
@@ -45,7 +54,7 @@ def q_mean_range(t: Tables) -> DataFrame:
 
 @named(
     "q_show_measurements",
-    "SELECT unnest(['click', 'error', 'orders', 'purchase', 'signup', 'view']) AS measurement",
+    """SELECT event_type AS measurement FROM events UNION SELECT 'orders' FROM orders""",
 )
 def q_show_measurements(t: Tables) -> DataFrame:
     events = points_from_frame(t.events, F.col("event_type"), ["user_id"], fields=["value"])
@@ -280,3 +289,73 @@ def res_batches(t: Tables) -> DataFrame:
     return part.groupBy("l_returnflag").agg(
         F.sum("n").alias("n"), F.sum("quantity").alias("quantity")
     )
+
+
+@named(
+    "q_language",
+    """SELECT event_type, CAST(count(*) AS BIGINT) AS n,
+       'no text interface for ''influxql'': use mean_since, show_measurements and latest' AS refused
+       FROM events GROUP BY 1""",
+)
+def q_language(t: Tables) -> DataFrame:
+    """SQL text runs, text in another language is refused with a hint."""
+    text = "SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type"
+    counted = _sql(t, text)
+    try:
+        q.sql(t.spark, "SHOW MEASUREMENTS", language="influxql")
+        refused = None
+    except ValueError as refusal:
+        refused = str(refusal)
+    return counted.withColumn("refused", F.lit(refused))
+
+
+@named(
+    "res_columns",
+    """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS place, column_name AS name,
+       (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS n_rows FROM (DESCRIBE lineitem)""",
+)
+def res_columns(t: Tables) -> DataFrame:
+    """Column names in order, next to the number of rows."""
+    names = F.array(*(F.lit(c) for c in column_names(t.lineitem)))
+    n = num_rows(t.lineitem)
+    return t.spark.range(1).select(F.posexplode(names).alias("place", "name"), F.lit(n).cast("bigint").alias("n_rows"))
+
+
+@named(
+    "res_rows",
+    """SELECT l_returnflag AS flag, l_linestatus AS status, CAST(count(*) AS BIGINT) AS n,
+       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem GROUP BY 1, 2""",
+)
+def res_rows(t: Tables) -> DataFrame:
+    """A small result read row by row, its cells by place and by name."""
+    counted = t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
+    )
+    rows = [(r[0], r["l_linestatus"], r.n, r["quantity"]) for r in iter_rows(counted)]
+    return t.spark.createDataFrame(rows, "flag string, status string, n bigint, quantity bigint")
+
+
+@named(
+    "res_unsupported",
+    """SELECT CAST(count(*) AS BIGINT) AS n,
+       'unsupported data type in query result: date' AS strict, true AS late FROM orders""",
+)
+def res_unsupported(t: Tables) -> DataFrame:
+    """A type outside the value model fails when planning, or on its first value."""
+    df = t.orders.withColumn("day", F.to_date("o_orderdate"))
+
+    def message(work) -> str | None:
+        try:
+            work()
+        except UnsupportedType as refusal:
+            return str(refusal)
+        except SparkRuntimeException as failure:
+            return failure.getMessage() if hasattr(failure, "getMessage") else str(failure)
+        return None
+
+    strict = message(lambda: normalize(df, strict=True))
+    late = message(lambda: normalize(df).agg(F.count("day")).collect()) or ""
+    kept = normalize(df.drop("day"))
+    return kept.agg(
+        F.count("*").alias("n"), F.lit(strict).alias("strict"), F.lit("query result: date" in late).alias("late")
+    )

@@ -100,13 +100,29 @@ def stream_replays(t: Tables) -> DataFrame:
 
 @named("stream_upsert", f"{_CURRENT} FROM ({_WRITES}) GROUP BY ALL")
 def stream_upsert(t: Tables) -> DataFrame:
-    """Writes appended by a stream, merged by "last write wins" in a compaction job."""
-    source, table, out, checkpoint = streams.stream_paths(
-        t.spark, "writes", "table", "compact", "checkpoint"
+    """Lines by stream to points and to the current state, in two compactions, the second of
+    which reads the new epoch alone; that epoch runs twice."""
+    source, points, rejects, first, second, checkpoint = streams.stream_paths(
+        t.spark, "lp", "points", "rejects", "state", "state", "checkpoint"
     )
-    rows = writes(t)
-    rows.write.parquet(source)
-    stream = t.spark.readStream.schema(rows.schema).parquet(source)
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    streams.run_available(writer.option("path", table))
-    return streams.compact(t.spark, table, out, ["user_id"], ["value", "props"])
+    kinds = {"user_id": "tag", "seq": "i", "value": "f", "props": "s"}
+    types = t.spark.createDataFrame(
+        [("w", k, kind) for k, kind in kinds.items()], "measurement string, key string, type string"
+    )
+    lines = encode_frame(writes(t), "w", ["user_id"], "time_ns", keep=["user_id", "seq"])
+
+    def arrive(part: DataFrame, name: str) -> None:
+        # all writes of a series in one file, in order
+        ordered = part.repartition("user_id").sortWithinPartitions("seq")
+        write_lines(ordered, f"{source}/{name}")
+        bodies = streams.read_bodies_stream(t.spark, f"{source}/*")
+        streams.run_available(streams.ingest_stream(bodies, types, points, rejects, checkpoint))
+
+    arrive(lines.where("seq < 1000000000"), "a")
+    streams.compact_points(t.spark, points, first)
+    arrive(lines.where("seq >= 1000000000"), "b")
+    again = streams.read_bodies(t.spark, f"{source}/b")
+    streams.epoch_writer(types, points, rejects)(again, 1)
+    state = streams.compact_points(t.spark, points, second, first)
+    wide = to_measurement(state, "w", ["user_id"], {"value": "f", "props": "s"}).drop("time")
+    return wide.withColumn("user_id", F.col("user_id").cast("bigint"))

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslines.model import RESPONSES, RetryPolicy, WriteOptions
-from tslines.operators.batches import compresses
+from tslines.operators.batches import compresses, local_bodies
+from tslines.operators.encode import check_newlines, encode_frame, encode_points
 from tslines.operators.outcomes import (
     RETRY_STATUS,
     RETRY_TRANSPORT,
@@ -27,7 +28,7 @@ from tslines.operators.outcomes import (
     final_attempts,
     is_partial,
 )
-from tslines.session import scratch_path, sql_conf
+from tslines.session import scratch_path, sql_conf, staged
 from tslines.sources.sinks import zip_bytes
 
 
@@ -42,6 +43,8 @@ class Reply(NamedTuple):
 
 Sender = Callable[[bytes, bool], Reply]
 
+NOT_SENT = Reply(error_kind="not sent")
+
 
 class DeliveryFailed(RuntimeError):
     """At least one batch was not delivered."""
@@ -61,6 +64,10 @@ def _transient(reply: Reply) -> bool:
     return reply.status in RETRY_STATUS
 
 
+def _through(reply: Reply) -> bool:
+    return reply.error_kind is None and reply.status is not None and 200 <= reply.status < 300
+
+
 def _attempts(body: str, gzipped: bool, send: Sender, policy: RetryPolicy) -> list[Reply]:
     """Send one body until it is through, refused, or out of retries or time.
 
@@ -95,15 +102,22 @@ def deliver(
     scratch path by default) in the one job that sends, and read back; looking at the
     result sends nothing again. Spark may still re-run a lost task, which is safe as
     writes are idempotent. `max_inflight=1` keeps the bodies of a partition in order.
-    `mode='failfast'` raises after the job when a batch was not delivered.
+    `mode='failfast'`: a task whose body was refused or is out of retries sends no further
+    body, notes the rest as not sent (`attempt` NULL), and the call raises after the job.
+    `mode='stop'` stops in the same way and returns the replies instead.
     """
-    if mode not in ("report", "failfast"):
-        raise ValueError(f"mode must be 'report' or 'failfast', not {mode!r}")
-    inflight = options.max_inflight
+    if mode not in ("report", "failfast", "stop"):
+        raise ValueError(f"mode must be 'report', 'failfast' or 'stop', not {mode!r}")
+    inflight, stops = options.max_inflight, mode != "report"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        failed = False
+
         def table(batch_id, done) -> pd.DataFrame:
-            rows = [(batch_id, n, *reply) for n, reply in enumerate(done.result())]
+            nonlocal failed
+            replies = done.result()
+            failed |= not _through(replies[-1])
+            rows = [(batch_id, n, *reply) for n, reply in enumerate(replies)]
             return pd.DataFrame(rows, columns=RESPONSES.names)
 
         waiting: deque = deque()
@@ -112,6 +126,10 @@ def deliver(
                 for row in frame.itertuples(index=False):
                     if len(waiting) >= inflight:
                         yield table(*waiting.popleft())
+                    if stops and failed:
+                        rest = [(row.batch_id, None, *NOT_SENT)]
+                        yield pd.DataFrame(rest, columns=RESPONSES.names)
+                        continue
                     work = pool.submit(_attempts, row.body, row.gzipped, send, policy)
                     waiting.append((row.batch_id, work))
             while waiting:
@@ -134,6 +152,32 @@ def deliver(
     return stored
 
 
+def deliver_points(points: DataFrame, send: Sender, options: WriteOptions = WriteOptions(), **delivery) -> DataFrame:
+    """Points to the replies of their delivery in one call."""
+    return _deliver_lines(encode_points(points, options), send, options, **delivery)
+
+
+def deliver_frame(
+    df: DataFrame,
+    send: Sender,
+    measurement: str,
+    tags: list[str] = (),
+    timestamp_column: str | None = None,
+    options: WriteOptions = WriteOptions(),
+    encode: dict | None = None,
+    **delivery,
+) -> DataFrame:
+    """A frame to the replies of its delivery in one call; `encode` goes to `encode_frame`."""
+    lines = encode_frame(df, measurement, tags, timestamp_column, options.precision, **(encode or {}))
+    return _deliver_lines(lines, send, options, **delivery)
+
+
+def _deliver_lines(lines: DataFrame, send: Sender, options: WriteOptions, on_newline: str = "names", **delivery):
+    """Bodies are stored first: a retried task must send the very bodies whose replies count."""
+    bodies = staged(local_bodies(check_newlines(lines, on_newline), options.batch_size), "bodies")
+    return deliver(bodies, send, options=options, **delivery)
+
+
 def failures(responses: DataFrame) -> DataFrame:
     """Batches that were not delivered, with a message."""
     last = final_attempts(responses).where("outcome != 'ok'")
@@ -149,7 +193,8 @@ def failures(responses: DataFrame) -> DataFrame:
 
 def raise_on_failure(responses: DataFrame) -> None:
     """Raise for the first batch, by number, that was not delivered."""
-    first = failures(responses).orderBy("batch_id").limit(1).collect()
+    sent = failures(responses).where("attempts > 0")
+    first = sent.orderBy("batch_id").limit(1).collect()
     if first:
         row = first[0]
         raise DeliveryFailed(

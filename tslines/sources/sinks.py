@@ -11,7 +11,7 @@ from pyspark.sql.types import BinaryType
 
 from tslines.model import DEFAULT_GZIP_THRESHOLD, WriteOptions
 from tslines.operators.batches import compresses, local_bodies
-from tslines.operators.encode import encode_frame, encode_points
+from tslines.operators.encode import check_newlines, encode_frame, encode_points
 from tslines.operators.ingest import accepted, rejects
 from tslines.session import staged
 
@@ -26,14 +26,18 @@ def write_lines(
 
 
 def write_points(
-    points: DataFrame, path: str, options: WriteOptions = WriteOptions(), layout: str = "bodies"
+    points: DataFrame,
+    path: str,
+    options: WriteOptions = WriteOptions(),
+    layout: str = "bodies",
+    on_newline: str = "names",
 ) -> None:
-    """Encode points and store them.
+    """Encode points and store them; `on_newline` is explained at `encode.line_fault`.
 
     `layout='bodies'` writes a Parquet table of bodies, many to a file, each with at most
     `batch_size` lines; `layout='files'` writes text with one file per batch.
     """
-    _store(encode_points(points, options), path, options, layout)
+    _store(check_newlines(encode_points(points, options), on_newline), path, options, layout)
 
 
 def write_frame(
@@ -44,11 +48,12 @@ def write_frame(
     timestamp_column: str | None = None,
     options: WriteOptions = WriteOptions(),
     layout: str = "bodies",
+    on_newline: str = "names",
     **encode,
 ) -> None:
     """Encode a frame and store it; of the options only precision and batch size apply."""
     lines = encode_frame(df, measurement, tags, timestamp_column, options.precision, **encode)
-    _store(lines, path, options, layout)
+    _store(check_newlines(lines, on_newline), path, options, layout)
 
 
 def _store(lines: DataFrame, path: str, options: WriteOptions, layout: str) -> None:

@@ -7,13 +7,15 @@ compaction job from time to time.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tslines.model import Precision
 from tslines.operators.decode import explode_lines, parse_lines
-from tslines.operators.ingest import judge, last_write_wins
+from tslines.operators.ingest import judge, last_write_wins, last_write_wins_points, rejects
 from tslines.session import scratch_path
 from tslines.sources.sinks import write_measurement
 
@@ -40,27 +42,26 @@ def read_bodies_stream(
     )
 
 
-def ingest_stream(
-    bodies: DataFrame,
+def read_bodies(spark: SparkSession, path: str) -> DataFrame:
+    """Files present now, in the same columns."""
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("body"))
+
+
+def epoch_writer(
     types: DataFrame,
     points_path: str,
     rejects_path: str,
-    checkpoint: str,
     precision: Precision | str = Precision.NS,
     multiline: bool = False,
-) -> DataStreamWriter:
-    """Stream of bodies to accepted points and rejected lines.
-
-    `types` gives the stored type of every (measurement, key): "first seen" has no meaning
-    on an unbounded input. Every epoch writes its own folder and overwrites it on replay,
-    so an epoch that runs twice leaves one result. The write order is (epoch, source,
-    line).
-    """
+) -> Callable[[DataFrame, int], None]:
+    """What `ingest_stream` does with the bodies of one epoch."""
 
     def write(epoch: DataFrame, epoch_id: int) -> None:
-        lines = explode_lines(epoch, multiline, "source").withColumn("batch_id", F.lit(epoch_id))
+        number = F.lit(epoch_id).cast("bigint")
+        lines = explode_lines(epoch, multiline, "source").withColumn("batch_id", number)
         judged = judge(parse_lines(lines, precision), types).withColumn(
-            "seq", F.struct(F.lit(epoch_id).alias("epoch"), "source", "line")
+            "seq", F.struct(number.alias("epoch"), "source", "line")
         )
         judged.persist()
         try:
@@ -68,12 +69,31 @@ def ingest_stream(
             good.select("measurement", "tags", "fields", "time_ns", "seq").write.mode(
                 "overwrite"
             ).parquet(f"{points_path}/epoch={epoch_id}")
-            judged.where(F.col("reject").isNotNull()).select(
-                "source", "line", F.col("reject").alias("message"), F.col("lp").alias("original_line")
-            ).write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch_id}")
+            bad = rejects(judged, ["source"])
+            bad.write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch_id}")
         finally:
             judged.unpersist()
 
+    return write
+
+
+def ingest_stream(
+    bodies: DataFrame,
+    types: DataFrame,
+    points_path: str,
+    rejects_path: str,
+    checkpoint: str,
+    precision: Precision | str = Precision.NS,
+    multiline: bool = False,
+) -> DataStreamWriter:
+    """Stream of bodies to accepted points and rejected lines.
+
+    `types` gives the stored type of every (measurement, key): "first seen" has no meaning
+    on an unbounded input. Every epoch writes its own folder and overwrites it on replay,
+    so an epoch that runs twice leaves one result. The write order is (epoch, source,
+    line); in the table of rejects the epoch is the batch, next to the source.
+    """
+    write = epoch_writer(types, points_path, rejects_path, precision, multiline)
     return bodies.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
@@ -105,6 +125,36 @@ def compact(
     return spark.read.parquet(out)
 
 
+def current_points(points: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Current state in long form of points that `ingest_stream` wrote.
+
+    `state` is an earlier result over all epochs before these: every write in it is older
+    than any of theirs, so one merge of both is the state over all of them.
+    """
+    columns = ["measurement", "tags", "fields", "time_ns", "seq"]
+    rows = points.select(*columns)
+    return last_write_wins_points(rows if state is None else rows.unionByName(state.select(*columns)))
+
+
+def compact_points(
+    spark: SparkSession, points_path: str, out: str, before: str | None = None
+) -> DataFrame:
+    """Write the current state to `out`, reading only epochs that `before` does not hold.
+
+    `before` is the `out` of the previous call. Epochs are folders, so older ones are pruned
+    from the scan. Returns the new state; it may be read while points keep arriving.
+    """
+    points = spark.read.parquet(points_path)
+    state = None
+    if before is not None:
+        state = spark.read.parquet(before)
+        done = state.agg(F.max("seq.epoch").alias("epoch")).first()["epoch"]
+        if done is not None:
+            points = points.where(F.col("epoch") > done)
+    current_points(points, state).write.parquet(out)
+    return spark.read.parquet(out)
+
+
 def run_available(writer: DataStreamWriter) -> None:
     """Run a stream over everything present, then stop."""
     query = writer.trigger(availableNow=True).start()
