@@ -6,6 +6,8 @@ plain alternation, which a long string field would turn into a stack overflow.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _VALUE = rf'(?:{_STRING}|[^,= "]++)'
 _FIELD = rf"{_NAME}={_VALUE}"
 LINE = rf"(?s)^({_MEASUREMENT})((?:,{_NAME}={_KEY})*+) ({_FIELD}(?:,{_FIELD})*+)(?: (-?[0-9]+))?$"
+# A line without quotes, escapes and equals signs in its name; the rest of LINE is as easy.
+_PLAIN_FIELD = r"[^,= ]++=[^,= ]++"
+PLAIN_LINE = (
+    rf"\A[^,= ]++(?:,[^,= ]++=[^,= ]*+)*+ {_PLAIN_FIELD}(?:,{_PLAIN_FIELD})*+(?: -?[0-9]++)?+\z"
+)
 TAG_PAIR = rf"(?s){_NAME}={_KEY}"
 FIELD_PAIR = rf"(?s){_NAME}={_VALUE}"
 LEADING_NAME = rf"(?s)^({_NAME})="
@@ -125,49 +132,83 @@ def _parts(lp: Column) -> Column:
     return F.when(F.contains(lp, F.lit(_NUL)), slow).otherwise(fast)
 
 
+def _flat(raw: Column, pattern: str, value: Callable[[Column], Column]) -> Column:
+    """Raw pair text as one array: key, value, key, value, and so on."""
+    cut = F.transform(_pairs(raw, pattern), _cut_pair)
+    return F.flatten(F.transform(cut, lambda p: F.array(text.unescape_key(p[0]), value(p[1]))))
+
+
+def _at(entries: Column, odd: int) -> Column:
+    """Every other element of an array, from the first or the second on."""
+    return F.filter(entries, lambda _, i: i.bitwiseAND(F.lit(1)) == odd)
+
+
 def parse_lines(lines: DataFrame, precision: Precision | str = Precision.NS) -> DataFrame:
     """Column `lp` to the canonical point columns plus `reject`, NULL for a good line.
 
     Other columns pass through. `reject` names the first thing wrong with the line; the
     point columns of a rejected line are NULL.
+
+    A line without quotes and escapes that follows the short pattern is cut at its spaces,
+    commas and equals signs; any other line is taken apart by the grammar. Both give the
+    name with the tags, and the fields, as flat arrays of keys and values in turn.
     """
     keep = [F.col(f"`{c}`") for c in lines.columns]
-    parts = lines.select(*keep, _parts(F.col("lp")).alias("__p"))
+    lp = F.col("lp")
+    plain = ~F.contains(lp, F.lit('"')) & ~F.contains(lp, F.lit("\\")) & lp.rlike(PLAIN_LINE)
+    by_space, comma, equals = F.split(lp, " "), F.lit(","), F.lit("=")
+    parts = lines.select(
+        *keep, F.coalesce(plain, F.lit(False)).alias("__plain")
+    ).select(*keep, "__plain", F.when(F.col("__plain"), by_space).otherwise(_parts(lp)).alias("__p"))
     part = [F.get("__p", F.lit(i)) for i in range(5)]
-    # Cutting the pairs is a transform of its own, which keeps the pieces; inside one
-    # lambda they would be cut again for each use.
-    raw = parts.select(
+    name_first = F.concat(
+        F.array(text.unescape_measurement(part[1])), _flat(part[2], TAG_PAIR, text.unescape_key)
+    )
+    is_plain = F.col("__plain")
+    flat = parts.select(
         *keep,
-        text.unescape_measurement(part[1]).alias("__name"),
-        F.transform(
-            F.transform(_pairs(part[2], TAG_PAIR), _cut_pair),
-            lambda t: F.struct(
-                text.unescape_key(t[0]).alias("key"), text.unescape_key(t[1]).alias("value")
-            ),
-        ).alias("__tags"),
+        F.when(is_plain, F.split(F.replace(part[0], equals, comma), ","))
+        .when(F.size("__p") == 5, name_first)
+        .alias("__head"),
+        F.when(is_plain, F.split(F.replace(part[1], equals, comma), ","))
+        .when(F.size("__p") == 5, _flat(part[3], FIELD_PAIR, lambda v: v))
+        .alias("__body"),
+        F.when(is_plain, part[2]).otherwise(F.nullif(part[4], F.lit(""))).alias("__time"),
+    )
+    sides = flat.select(
+        *keep,
+        F.get("__head", F.lit(0)).alias("__name"),
+        _at(F.col("__head"), 1).alias("__tag"),
+        F.slice(_at(F.col("__head"), 0), 2, F.size("__head")).alias("__tag_value"),
+        _at(F.col("__body"), 0).alias("__field"),
+        _at(F.col("__body"), 1).alias("__raw"),
+        "__time",
+    )
+    typed = sides.select(
+        "*",
         F.transform(
-            F.transform(_pairs(part[3], FIELD_PAIR), _cut_pair),
-            lambda f: F.struct(
-                text.unescape_key(f[0]).alias("key"), parse_value(f[1]).alias("value")
-            ),
+            "__field",
+            lambda k, i: F.struct(k.alias("key"), parse_value(F.get("__raw", i)).alias("value")),
         ).alias("__fields"),
-        F.nullif(part[4], F.lit("")).alias("__time"),
+        _repeats(F.col("__field")).alias("__twice"),
+        times.to_nanos(F.col("__time").try_cast("bigint"), precision).alias("__time_ns"),
     )
-    time = times.to_nanos(F.col("__time").try_cast("bigint"), precision)
-    bad = F.filter("__fields", lambda f: value_type(f["value"]).isNull())
+    bad = F.filter("__fields", lambda f: _no_value(f["value"]))
+    both = (F.size("__tag") > 0) & F.arrays_overlap("__tag", "__field")
     reject = (
         F.when(F.col("__name").isNull(), F.lit("cannot be parsed"))
-        .when(_repeats(F.col("__tags")), F.lit("tag given twice"))
-        .when(_in_both(F.col("__tags"), F.col("__fields")), F.lit("name is both tag and field"))
+        .when(_repeats(F.col("__tag")), F.lit("tag given twice"))
+        .when(both, F.lit("name is both tag and field"))
         .when(F.size(bad) > 0, F.concat(F.lit("invalid value of field "), F.get(bad, F.lit(0))["key"]))
-        .when(F.col("__time").isNotNull() & time.isNull(), F.lit("time out of range"))
+        .when(F.col("__time").isNotNull() & F.col("__time_ns").isNull(), F.lit("time out of range"))
     )
-    judged = raw.select("*", time.alias("__time_ns"), reject.alias("__reject"))
+    judged = typed.select("*", reject.alias("__reject"))
     good = F.col("__reject").isNull()
+    once = F.when(F.col("__twice"), _merged(F.col("__fields"))).otherwise(F.col("__fields"))
     point = F.struct(
         F.when(good, F.col("__name")).alias("measurement"),
-        F.when(good, F.map_from_entries("__tags")).alias("tags"),
-        F.when(good, _last_fields(F.col("__fields"))).alias("fields"),
+        F.when(good, F.map_from_arrays("__tag", "__tag_value")).alias("tags"),
+        F.when(good, once).alias("fields"),
         F.when(good, F.col("__time_ns")).alias("time_ns"),
         F.col("__reject").alias("reject"),
     )
@@ -177,27 +218,33 @@ def parse_lines(lines: DataFrame, precision: Precision | str = Precision.NS) ->
     return judged.select(*keep, F.inline(F.array(point)))
 
 
-def _repeats(entries: Column) -> Column:
-    keys = F.transform(entries, lambda e: e["key"])
+def _repeats(keys: Column) -> Column:
     return F.size(F.array_distinct(keys)) < F.size(keys)
 
 
-def _in_both(tags: Column, fields: Column) -> Column:
-    names = [F.transform(c, lambda e: e["key"]) for c in (tags, fields)]
-    return F.when(F.size(tags) > 0, F.arrays_overlap(*names)).otherwise(F.lit(False))
+def _no_value(value: Column) -> Column:
+    """Whether no member of a union value is set; stops at the first that is."""
+    empty = F.lit(True)
+    for member in reversed(VALUE.names):
+        empty = value[member].isNull() & empty
+    return empty
 
 
-def _last_fields(fields: Column) -> Column:
+def _merged(fields: Column) -> Column:
     """A field given twice in a line keeps its first place and its last value."""
     keys = F.array_distinct(F.transform(fields, lambda f: f["key"]))
-    merged = F.transform(
+    return F.transform(
         keys,
         lambda k: F.struct(
             k.alias("key"),
             F.element_at(F.filter(fields, lambda f: f["key"] == k), -1)["value"].alias("value"),
         ),
     )
-    return F.when(_repeats(fields), merged).otherwise(fields)
+
+
+def _last_fields(fields: Column) -> Column:
+    keys = F.transform(fields, lambda f: f["key"])
+    return F.when(_repeats(keys), _merged(fields)).otherwise(fields)
 
 
 def split_body(body: Column, multiline: bool = False) -> Column:
