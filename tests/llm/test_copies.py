@@ -9,7 +9,8 @@ import numpy as np
 import pandas as pd
 import xxhash
 
-from tslines.llm import exact_dedup, simhash
+import corpus_pipeline
+from tslines.llm import exact_dedup, similar, simhash
 
 
 def sha(text):
@@ -144,3 +145,64 @@ def test_components_of_long_chains(llm):
     got = {r.node: r.root for r in simhash.components(llm.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(order, 0), 1000: 1000, 1001: 1000, 1002: 1000}
     assert simhash.components(llm.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_similar(sets):
+    """Root of every text over pairs of similarity 0.8 or more, and the number of these pairs."""
+    root, pairs = list(range(len(sets))), 0
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                pairs += 1
+                root[find(i)] = find(j)
+    return [find(p) for p in range(len(sets))], pairs
+
+
+def similar_rows(rng):
+    """Texts with some of their words changed, so that pairs lie on both sides of 0.8."""
+    rows = []
+    for i in range(300):
+        if i % 3 == 0 or i > 240:
+            base = rows[0][1].split() if i > 240 else [rng.choice("abcdefghijklmnop") + str(rng.randint(0, 300)) for _ in range(rng.choice([12, 60, 250]))]
+        words = list(base)
+        for _ in range(rng.randint(0, max(1, len(words) // 25))):
+            words[rng.randrange(len(words))] = f"new{rng.randint(0, 50)}"
+        rows.append((1000 - i, " ".join(words)))
+    return rows
+
+
+def test_the_near_copy_stage_finds_all_similar_pairs(llm, docs, odd_rows):
+    rows = [*odd_rows, *similar_rows(random.Random(8))]
+    sets = [brute_shingles(t) for _, t in rows]
+    root, pairs = brute_similar(sets)
+    assert pairs > 300
+    ids = collections.defaultdict(list)
+    for (i, _), r in zip(rows, root, strict=True):
+        ids[r].append(i)
+    want = sorted(str(min((i for i in g if i is not None), default=None)) for g in ids.values())
+    df = docs(*rows).repartition(4)
+    kept = corpus_pipeline.near_duplicates(llm, df, "")
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == want
+    assert sorted(str(r.doc_id) for r in similar.drop_similar(df, tile=300).collect()) == want
+    assert similar.drop_similar(docs()).count() == 0
+
+
+def test_spanning_links_of_sets_reach_what_pairs_reach():
+    rows = similar_rows(random.Random(10))
+    sets = [similar.shingle_set(t) for _, t in rows]
+    want, _ = brute_similar([set(s.tolist()) for s in sets])
+    links = similar.spanning_links(list(range(len(sets))), sets)
+    assert len(links) == len(sets) - len(set(want))
+    assert all(want[a] == want[b] for a, b in links)

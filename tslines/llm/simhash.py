@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,21 +31,26 @@ TILE = 1 << 12
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def fingerprint(text: str, width: int = WIDTH, seed: int = SEED) -> int:
-    """The SimHash of a text's word shingles, unsigned; 0 without words."""
+def shingle_hashes(text: str, width: int = WIDTH, seed: int = SEED) -> bytes:
+    """The hashes of a text's word shingles, eight bytes each; a text of fewer words is one
+    shingle, one without words has none."""
     # bytes.split without arguments parts at exactly the white space of the contract
     words = text.encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return b""
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate([[0], ends[:-1]])
     n = max(1, len(words) - width + 1)
     digest = xxhash.xxh64_digest
     last = (ends[min(width, len(words)) - 1 :] - 1).tolist()
-    hashes = b"".join([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), last, strict=True)])
-    total = np.zeros(BITS, np.int64)
-    table = np.frombuffer(hashes, np.uint8).reshape(n, 8)
+    return b"".join([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), last, strict=True)])
+
+
+def fingerprint(text: str, width: int = WIDTH, seed: int = SEED) -> int:
+    """The SimHash of a text's word shingles, unsigned; 0 without words."""
+    table = np.frombuffer(shingle_hashes(text, width, seed), np.uint8).reshape(-1, 8)
+    total, n = np.zeros(BITS, np.int64), len(table)
     for at in range(0, n, 1 << 16):
         total += np.unpackbits(table[at : at + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
@@ -180,10 +185,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def _classes(rows: DataFrame, best: Column, radius: int, tile: int) -> DataFrame:
-    """(fp, best) per distinct fingerprint of `rows`: the least `best` of its component."""
-    prints = staged(rows.groupBy("fp").agg(F.min(best).alias("best")), "prints")
-    found = staged(links(prints, prints.count(), radius, tile), "links")
+def classes(rows: DataFrame, best: Column, links_of: Callable[[DataFrame], DataFrame], *more: Column) -> DataFrame:
+    """(fp, best) per distinct fingerprint of `rows`: the least `best` of its component.
+    `links_of` gets the fingerprints with their own `best` and the aggregates `more`."""
+    prints = staged(rows.groupBy("fp").agg(F.min(best).alias("best"), *more), "prints")
+    found = staged(links_of(prints), "links")
     roots = staged(components(found), "roots")
     rooted = prints.join(roots, prints["fp"] == roots["node"]).select("fp", "root", "best")
     least = rooted.groupBy("root").agg(F.min("best").alias("least"))
@@ -201,8 +207,9 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text", width
     """
     rows = staged(fingerprints(df, id_col, text, width), "fingerprints")
     # a struct orders by its first field, nulls last
-    classes = _classes(rows, F.struct(F.col("id").isNull().alias("none"), F.col("id")), radius, tile)
-    return rows.join(classes, "fp").select(
+    best = F.struct(F.col("id").isNull().alias("none"), F.col("id"))
+    found = classes(rows, best, lambda prints: links(prints, prints.count(), radius, tile))
+    return rows.join(found, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("best.id").alias("component_id"),
@@ -215,12 +222,25 @@ def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     Of rows with the smallest id the one whose text has the smallest SHA-256 stays, and one
     of them if texts are equal too. Texts move once, joined to the rows that stay.
     """
-    sha = F.unhex(F.sha2(whole_text(text), 256))
-    rows = staged(fingerprints(df, id_col, text, width, keep=[sha.alias("sha")]), "fingerprints")
-    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("sha"))
-    stays = _classes(rows, order, radius, tile).select(F.struct("best.id", "best.sha").alias("key")).distinct()
+    rows = staged(fingerprints(df, id_col, text, width, keep=[text_sha(text).alias("sha")]), "fingerprints")
+    found = classes(rows, by_id(), lambda prints: links(prints, prints.count(), radius, tile))
+    return keep_best(df, found, id_col, text)
+
+
+def text_sha(text: str) -> Column:
+    return F.unhex(F.sha2(whole_text(text), 256))
+
+
+def by_id() -> Column:
+    """Orders rows by id, nulls last, then by the text's digest."""
+    return F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("sha"))
+
+
+def keep_best(df: DataFrame, found: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The rows of `df` that are the `best` (id, sha) of their class, each once."""
+    stays = found.select(F.struct("best.id", "best.sha").alias("key")).distinct()
     others = F.to_json(F.struct(F.lit(0), *[c for c in df.columns if c not in (id_col, text)]))
-    key = F.struct(F.col(id_col).alias("id"), sha.alias("sha"))
+    key = F.struct(F.col(id_col).alias("id"), text_sha(text).alias("sha"))
     whole = df.select(F.struct("*").alias("row"), key.alias("key"), others.alias("others"))
     held = whole.join(stays, "key", "left_semi")
     return held.groupBy("key").agg(F.min_by("row", "others").alias("row")).select("row.*")
