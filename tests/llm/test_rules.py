@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -183,3 +184,33 @@ def test_toxicity_of_odd_rows(docs, odd_rows, llm):
     none = toxicity.fit(docs(), labels.limit(0), F.lit(True))
     assert len({r.score for r in toxicity.score(df, none).collect()}) == 1
     assert toxicity.score(docs(), model).count() == 0
+
+
+def test_toxic_words_share_no_counts_with_others(docs, llm):
+    # these two have the same checksum in its last 18 bits
+    seen = {}
+    for i in range(10**6):
+        word = f"{'abcdefghij'[i % 10]}word{i}"
+        bad = seen.setdefault(zlib.crc32(f"0:{word}".encode()) % (1 << 18), word)
+        if bad[0] != word[0]:
+            break
+    rows = [(i, " ".join([(bad if i % 2 else word)] * 40)) for i in range(60)]
+    labels = llm.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs(*rows), labels, F.lit(True))
+    assert model.score(bad) > 0 > model.score(word)
+
+
+def test_toxicity_counts_every_word_exactly(llm):
+    texts = [(f"w{i} w{i % 7} both", i % 2) for i in range(500)]
+    rows = llm.createDataFrame(texts, "text string, label int").repartition(3)
+    known, toxic, every, n_toxic, n_all = toxicity.count_keys(rows)
+    want = collections.defaultdict(lambda: [0, 0])
+    for text, label in texts:
+        for word in text.split():
+            for key in toxicity.keys(word):
+                want[key][0] += label
+                want[key][1] += 1
+    assert {k: [t, e] for k, t, e in zip(known.tolist(), toxic.tolist(), every.tolist(), strict=True)} == want
+    assert (n_toxic, n_all) == (750, 1500) and known.tolist() == sorted(want)
+    some = toxicity.count_keys(rows, most=20)
+    assert 0 < len(some[0]) <= 20 and some[3:] == (750, 1500)

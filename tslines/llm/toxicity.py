@@ -13,20 +13,24 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tslines.llm.common import WORD, Memo, text_batches, whole_text
 from tslines.session import staged
 
-#: The size of the model: counts are kept in so many cells for each length of beginning.
-CELLS = 1 << 18
+#: The size of the model: counts of so many words and beginnings, at most. Past it those with
+#: few tokens are left out, up to a bound that doubles, and lean on shorter beginnings.
+MAX_KEYS = 1 << 22
+#: Words whose counts a task gathers before it passes them on.
+GATHERED = 200_000
 #: Whole words, then beginnings of so many letters.
 LENGTHS = (0, 5, 4)
 #: Labelled documents used for fitting, at most; the rest of them would add little.
@@ -44,11 +48,10 @@ WORDS = re.compile(WORD)
 EDGES = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
 
-def cells(word: str) -> tuple[int, ...]:
-    """A word's cell for each length of beginning."""
+def keys(word: str) -> tuple[int, ...]:
+    """A word's 64-bit key for each length of beginning."""
     word = word.strip(EDGES) or word
-    keys = (f"{n}:{word[:n] if n else word}" for n in LENGTHS)
-    return tuple(level * CELLS + zlib.crc32(k.encode()) % CELLS for level, k in enumerate(keys))
+    return tuple(xxhash.xxh64_intdigest(f"{n}:{word[:n] if n else word}") - (1 << 63) for n in LENGTHS)
 
 
 def tokens(text: str) -> list[str]:
@@ -85,9 +88,10 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-odds per cell, the extreme-value law of clean text, and the final logistic curve."""
+    """Counts by sorted key, the extreme-value law of clean text, and the final logistic curve."""
 
     share: float
+    keys: np.ndarray
     toxic: np.ndarray
     all: np.ndarray
     decay: float
@@ -97,8 +101,10 @@ class Model:
 
     def score(self, word: str) -> float:
         share = self.share
-        for cell in reversed(cells(word)):
-            share = (float(self.toxic[cell]) + CONCENTRATION * share) / (float(self.all[cell]) + CONCENTRATION)
+        own = np.array(keys(word), np.int64)[::-1]
+        for key, at in zip(own.tolist(), np.searchsorted(self.keys, own).tolist(), strict=True):
+            if at < len(self.keys) and self.keys[at] == key:
+                share = (float(self.toxic[at]) + CONCENTRATION * share) / (float(self.all[at]) + CONCENTRATION)
         share = min(max(share, LEAST_SHARE), 1 - LEAST_SHARE)
         return math.log(share / (1 - share)) - math.log(self.share / (1 - self.share)) - DRIFT
 
@@ -136,27 +142,37 @@ def fitting_rows(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str
     return staged(picked.select("text", "label", part.alias("part")), "labelled")
 
 
-def count_cells(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens per cell in toxic documents and in all. The driver gets one row per cell."""
-    size = CELLS * len(LENGTHS)
+def count_keys(rows: DataFrame, most: int = MAX_KEYS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """Keys in order, their tokens in toxic documents and in all; both sums over all words.
+    Counted exactly; the driver gets at most `most` keys."""
+
+    def passed_on(counts: dict) -> pa.RecordBatch:
+        found = [(k, n == 0, toxic, clean + toxic) for word, (clean, toxic) in counts.items() for n, k in zip(LENGTHS, keys(word), strict=True)]
+        columns = list(zip(*found, strict=True)) or [()] * 4
+        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "whole", "toxic", "every"])
 
     def run(batches: Iterator) -> Iterator:
-        both, known = np.zeros((2, size), np.int64), Memo(cells, 200_000)
+        counts: dict[str, list[int]] = {}
         for batch, texts in text_batches(batches):
             for text, label in zip(texts, batch.column("label").to_pylist(), strict=True):
-                at = np.array([known[w] for w in tokens(text)], np.int64).ravel()
-                both[label] += np.bincount(at, minlength=size)
-        cell = np.flatnonzero(both.sum(axis=0))
-        for at in range(0, len(cell), 1 << 16):
-            some = cell[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(both[1, some]), pa.array(both.sum(axis=0)[some])], ["cell", "toxic", "every"])
-
-    found = rows.select("text", "label").mapInArrow(run, "cell long, toxic long, every long")
-    table = found.groupBy("cell").agg(F.sum("toxic").alias("toxic"), F.sum("every").alias("every")).toArrow()
-    toxic, every = np.zeros(size, np.float32), np.zeros(size, np.float32)
-    toxic[table["cell"].to_numpy()] = table["toxic"].to_numpy()
-    every[table["cell"].to_numpy()] = table["every"].to_numpy()
-    return toxic, every
+                for word, n in Counter(tokens(text)).items():
+                    counts.setdefault(word, [0, 0])[label] += n
+                if len(counts) >= GATHERED:
+                    yield passed_on(counts)
+                    counts = {}
+        yield passed_on(counts)
+
+    found = rows.select("text", "label").mapInArrow(run, "key long, whole boolean, toxic long, every long")
+    found = staged(found.groupBy("key", "whole").agg(F.sum("toxic").alias("toxic"), F.sum("every").alias("every")), "counts")
+    sums = found.where("whole").agg(F.sum("toxic"), F.sum("every")).first()
+    bound = 1
+    while found.where(F.col("every") >= bound).count() > most:
+        bound *= 2
+    table = found.where(F.col("every") >= bound).select("key", "toxic", "every").toArrow()
+    order = np.argsort(key := table["key"].to_numpy())
+    toxic, every = (table[c].to_numpy()[order].astype(np.float32) for c in ("toxic", "every"))
+    return key[order], toxic, every, sums[0] or 0, sums[1] or 0
 
 
 def extreme_value_law(model: Model, rows: DataFrame) -> Model:
@@ -186,7 +202,7 @@ def extreme_value_law(model: Model, rows: DataFrame) -> Model:
     decay = max(high if high < 4.0 else 1.0, 0.05)
     whole = seen.where("size > 0").agg(F.count("*").alias("docs"), F.sum(F.col("size") * F.exp(-F.lit(decay) * F.col("best"))).alias("mass")).first()
     rate = whole["docs"] / whole["mass"] if whole["docs"] else 1.0
-    return Model(model.share, model.toxic, model.all, decay, rate, 0.0, 0.0)
+    return Model(model.share, model.keys, model.toxic, model.all, decay, rate, 0.0, 0.0)
 
 
 def curve(model: Model, rows: DataFrame) -> Model:
@@ -208,17 +224,16 @@ def curve(model: Model, rows: DataFrame) -> Model:
         # a weak prior keeps the curve finite where classes part without a rest
         slope = design.T @ (n * (p - y)) + 0.1 * theta
         theta = theta - np.linalg.solve((design.T * (n * p * (1 - p))) @ design + 0.1 * np.eye(2), slope)
-    return Model(model.share, model.toxic, model.all, model.decay, model.rate, float(max(theta[1], 0.0)), float(theta[0]))
+    return Model(model.share, model.keys, model.toxic, model.all, model.decay, model.rate, float(max(theta[1], 0.0)), float(theta[0]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MAX_FIT_DOCS) -> Model:
     """Fit on labelled documents for which `usable`, a condition on `id`, holds; at most
     `most` of them. Without labels of both kinds every text gets the same score."""
     rows = fitting_rows(docs, labels, usable, id_col, text, label, most)
-    toxic, every = count_cells(rows.where("part = 0"))
-    total = max(float(every[:CELLS].sum()), 1.0)
-    share = min(max(float(toxic[:CELLS].sum()) / total, 1e-4), 1 - 1e-4)
-    model = Model(share, toxic, every, 1.0, 1.0, 0.0, 0.0)
+    known, toxic, every, n_toxic, n_all = count_keys(rows.where("part = 0"))
+    share = min(max(n_toxic / max(n_all, 1), 1e-4), 1 - 1e-4)
+    model = Model(share, known, toxic, every, 1.0, 1.0, 0.0, 0.0)
     held = rows.where("part = 1")
     return curve(extreme_value_law(model, held), held)
 
@@ -227,7 +242,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     """The id, `score` (0 to 1) and `passages` of every row: first and end word, score and
     evidence of each significant passage.
 
-    No shuffle; the model, whose size is fixed, is broadcast. Null counts as empty, and an
+    No shuffle; the model, whose size is bounded, is broadcast. Null counts as empty, and an
     empty text gets the score of a text without passages. Every row counts for itself;
     other columns are not read.
     """
