@@ -214,3 +214,9 @@ def test_toxicity_counts_every_word_exactly(llm):
     assert (n_toxic, n_all) == (750, 1500) and known.tolist() == sorted(want)
     some = toxicity.count_keys(rows, most=20)
     assert 0 < len(some[0]) <= 20 and some[3:] == (750, 1500)
+
+
+def test_mix_draws_a_fine_line(docs):
+    rows = [(i, "w", "ab"[i % 2]) for i in range(40_000)]
+    got = mixing.mix(docs(*rows, extra=False)).where("source = 'b'").agg(F.sum("copies").alias("n"), F.max("target").alias("target")).first()
+    assert abs(got.n - got.target) <= 2

@@ -23,8 +23,9 @@ WEIGHTS = (5, 2, 1)
 LIMIT = 3
 #: Sources whose parameters are broadcast, 100 bytes each; more are joined.
 MAX_BROADCAST_SOURCES = 100_000
-#: Bins of the rounding line; the line is off by a bin's share of the source at most.
-BINS = 1 << 12
+#: Bins of the rounding line, and parts of the one bin in which a source meets its target;
+#: the line is off by such a part's share of the source at most.
+BINS, FINE = 1 << 12, 1 << 5
 STEPS = 60
 
 
@@ -149,8 +150,9 @@ def _copies(rows: DataFrame, weights: tuple[int, ...], limit: int) -> DataFrame:
     low_bits = F.xxhash64("id", "size", "source").bitwiseAND(F.lit((1 << 52) - 1))
     draw = low_bits.cast("double") / float(1 << 52)
     # 0 is drawn first; documents at the limit or without words never get one more
-    line = F.when((F.col("size") == 0) | (base >= limit), F.lit(None)).otherwise(F.floor((draw - part + 1) * (BINS / 2)))
-    rated = rated.withColumns({"base": base, "bin": line.cast("long")})
+    line = F.when((F.col("size") == 0) | (base >= limit), F.lit(None)).otherwise(F.floor((draw - part + 1) * (BINS * FINE / 2)))
+    rated = rated.withColumns({"base": base, "fine": line.cast("long")})
+    rated = rated.withColumn("bin", F.floor(F.col("fine") / FINE))
     bins = rated.groupBy("source", "bin").agg(
         F.sum(F.col("base") * F.col("size")).alias("whole"), F.sum("size").alias("more"), F.max("target").alias("target")
     )
@@ -158,13 +160,24 @@ def _copies(rows: DataFrame, weights: tuple[int, ...], limit: int) -> DataFrame:
     upto = by_source.orderBy(F.col("bin").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     more = F.when(F.col("bin").isNotNull(), F.col("more")).otherwise(0)
     bins = bins.withColumns({"whole": F.sum("whole").over(by_source), "upto": F.sum(more).over(upto), "more": more})
-    # a bin belongs to the mix if its middle is not past the target
-    inside = (F.col("whole") + F.col("upto") - F.col("more") / 2 <= F.col("target")) & F.col("bin").isNotNull()
-    lines = bins.groupBy("source").agg(F.max(F.when(inside, F.col("bin"))).alias("line"))
-    lines = lines.select(F.col("source").alias("src"), "line")
+    # the first bin that goes past the target is looked at in parts
+    past = (F.col("whole") + F.col("upto") > F.col("target")) & F.col("bin").isNotNull()
+    crossed = F.min(F.when(past, F.struct("bin", (F.col("whole") + F.col("upto") - F.col("more")).alias("before"), "target")))
+    lines = bins.groupBy("source").agg(crossed.alias("at"), F.max("bin").alias("last"))
+    lines = lines.select(F.col("source").alias("src"), F.col("at.bin").alias("at"), F.col("at.before").alias("before"), F.col("at.target").alias("goal"), "last")
     lines = broadcast_if_small(staged(lines, "lines"), MAX_BROADCAST_SOURCES)
+    within = rated.join(lines, rated["source"].eqNullSafe(lines["src"]) & (rated["bin"] == lines["at"]))
+    parts = within.groupBy("source", "fine").agg(F.sum("size").alias("more"), F.max("before").alias("before"), F.max("goal").alias("goal"))
+    parts = parts.withColumn("upto", F.sum("more").over(by_source.orderBy("fine").rowsBetween(Window.unboundedPreceding, 0)))
+    # a part belongs to the mix if its middle is not past the target
+    inside = F.col("before") + F.col("upto") - F.col("more") / 2 <= F.col("goal")
+    met = parts.groupBy("source").agg(F.max(F.when(inside, F.col("fine"))).alias("met")).withColumnRenamed("source", "own")
+    lines = lines.join(met, lines["src"].eqNullSafe(met["own"]), "left")
+    # without a bin past the target all are in the mix; without a part, all before the bin
+    line = F.when(F.col("at").isNull(), (F.col("last") + 1) * FINE).otherwise(F.coalesce("met", F.col("at") * FINE - 1))
+    lines = broadcast_if_small(staged(lines.select("src", line.alias("line")), "line"), MAX_BROADCAST_SOURCES)
     drawn = rated.join(lines, rated["source"].eqNullSafe(lines["src"]))
-    copies = F.col("base") + F.when(F.col("bin") <= F.col("line"), 1).otherwise(0)
+    copies = F.col("base") + F.when(F.col("fine") <= F.col("line"), 1).otherwise(0)
     return drawn.select("id", "source", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"))
 
 
