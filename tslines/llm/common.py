@@ -101,3 +101,25 @@ def file_system(uri: str):
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(uri)
+
+
+def runs(batches: Iterator, keys: list[str]) -> Iterator:
+    """Arrow tables of rows with equal whole-number keys, from batches sorted by them."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = np.stack([batch.column(k).to_numpy() for k in keys], 1)
+        cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(at)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            key = at[a].tolist()
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

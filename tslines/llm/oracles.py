@@ -98,3 +98,43 @@ FROM (
   FROM pages
 )
 """
+
+ORACLES["op13_divergence"] = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS nth,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), words AS (
+  SELECT lang, source, nth, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT nth) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS n_all FROM kept GROUP BY ALL
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), filled AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, k.n,
+         sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), rated AS (
+  SELECT f.lang, source, term, c,
+         (1 + (1000000000::HUGEINT * (c + 5)) // (total + 5 * v)::HUGEINT)::BIGINT AS p,
+         (1 + (1000000000::HUGEINT * (n + 5)) // (n_all + 5 * v)::HUGEINT)::BIGINT AS q
+  FROM filled f JOIN langs l ON f.lang = l.lang
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM rated a JOIN rated b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM rated WHERE c > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= 50
+"""

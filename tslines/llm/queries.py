@@ -1,4 +1,4 @@
-"""The queries of the ten operators, each over its whole table, and their SQL."""
+"""The queries of the thirteen operators, each over its whole table, and their SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tslines.llm import bpe_codec, chat, exact_dedup, mixing, quality, simhash, token_counts, toxicity, url_filter, warc
+from tslines.llm import bpe_codec, chat, divergence, exact_dedup, mixing, quality, simhash, token_counts, toxicity, url_filter, warc
 from tslines.llm.common import ready, table, tokenizer_path
 from tslines.session import scratch_path
 
@@ -108,11 +108,15 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(ready(spark), folder)
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_toxicity, op3_exact_dedup, op4_simhash, op5_url_filter, op6_quality, op7_mixing, op8_chat, op9_warc, op10_bpe, pipeline)
+    for f in (op1_token_counts, op2_toxicity, op3_exact_dedup, op4_simhash, op5_url_filter, op6_quality, op7_mixing, op8_chat, op9_warc, op10_bpe, op13_divergence, pipeline)
 }
