@@ -138,3 +138,42 @@ WITH docs AS (
 SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
 FROM ranked QUALIFY part = 'pair' OR rank <= 50
 """
+
+ORACLES["op11_hard_negatives"] = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLES["op12_embedding_dedup"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), least AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY ALL
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM least
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tslines.llm import bpe_codec, chat, divergence, exact_dedup, mixing, quality, simhash, token_counts, toxicity, url_filter, warc
+from tslines.llm import bpe_codec, chat, divergence, embedding_dedup, exact_dedup, hard_negatives, mixing, quality, simhash, token_counts, toxicity, url_filter, warc
 from tslines.llm.common import ready, table, tokenizer_path
 from tslines.session import scratch_path
 
@@ -108,6 +108,14 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, folder, "embeddings"), shift=(7, 10))
+
+
+def op12_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergence(table(spark, folder, "documents"))
 
@@ -118,5 +126,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_toxicity, op3_exact_dedup, op4_simhash, op5_url_filter, op6_quality, op7_mixing, op8_chat, op9_warc, op10_bpe, op13_divergence, pipeline)
-}
+    for f in (
+        op1_token_counts, op2_toxicity, op3_exact_dedup, op4_simhash, op5_url_filter, op6_quality, op7_mixing, op8_chat, op9_warc,
+        op10_bpe, op11_hard_negatives, op12_embedding_dedup, op13_divergence, pipeline,
+    )
+}
