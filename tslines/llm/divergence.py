@@ -46,7 +46,7 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_LETTERS).split()
 
 
-def term_counts(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+def term_counts(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", most: int = HELD) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents, summed over the rows that a
     task holds at a time. A null term stands for the group itself."""
 
@@ -60,7 +60,7 @@ def term_counts(df: DataFrame, text: str = "text", lang: str = "lang", source: s
                 terms = terms_of(value.as_py())
                 n.update(terms)
                 docs.update(set(terms))
-            if sum(len(n) for n, _ in held.values()) > HELD:
+            if sum(len(n) for n, _ in held.values()) > most:
                 yield from _count_rows(held)
                 held = {}
         yield from _count_rows(held)
@@ -89,10 +89,10 @@ def rate(count: str, total: str = "total", terms: str = "terms") -> Column:
     return F.expr(f"1L + (cast({count} + {PRIOR} as decimal(20, 0)) * {SCALE}) div cast({whole} as decimal(20, 0))")
 
 
-def numbered(kept: DataFrame, count: int) -> DataFrame:
+def numbered(kept: DataFrame, count: int, size: int = BUCKET) -> DataFrame:
     """Kept terms (lang, term, n) with the place of their bit: bucket, word and bit. Terms of
     like counts share words, so words hold few levels."""
-    buckets = max(1, -(-count // BUCKET))
+    buckets = max(1, -(-count // size))
     bucket = F.pmod(F.xxhash64("lang", "term"), F.lit(buckets)).cast("int")
     order = Window.partitionBy("lang", "bucket").orderBy(F.desc("n"), "term")
     place = F.row_number().over(order) - 1
@@ -101,11 +101,11 @@ def numbered(kept: DataFrame, count: int) -> DataFrame:
     )
 
 
-def joint_sums(entries: DataFrame) -> DataFrame:
+def joint_sums(entries: DataFrame, size: int = BLOCK) -> DataFrame:
     """(lang, one, other, joint) with one < other, from entries (lang, bucket, word, sid, n_blocks, p,
     zero, bits): over the terms both have, the distance of the rates less what the marginal
     sums count for them."""
-    block = F.floor(F.col("sid") / BLOCK).cast("int")
+    block = F.floor(F.col("sid") / size).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda j: F.struct(F.least("block", j).alias("left"), F.greatest("block", j).alias("right")))
     dealt = entries.withColumn("block", block).select("*", F.inline(pairs))
     keys = ["lang_id", "left", "right", "bucket", "word"]
@@ -117,35 +117,36 @@ def joint_sums(entries: DataFrame) -> DataFrame:
             here = tuple(table.column(k)[0].as_py() for k in ("lang_id", "left", "right"))
             if here != at:
                 if at is not None:
-                    yield _sum_rows(at, total)
-                at, total = here, np.zeros((BLOCK, BLOCK), np.int64)
+                    yield _sum_rows(at, total, size)
+                at, total = here, np.zeros((size, size), np.int64)
             _add_word(total, here[1], here[2], *(table.column(c).to_numpy() for c in ("sid", "p", "zero", "bits")))
         if at is not None:
-            yield _sum_rows(at, total)
+            yield _sum_rows(at, total, size)
 
     given = dealt.select(*keys, "sid", "p", "zero", "bits")
     sums = given.mapInArrow(run, "lang_id int, one int, other int, joint long")
     return sums.groupBy("lang_id", "one", "other").agg(F.sum("joint").alias("joint"))
 
 
-def _sum_rows(at: tuple[int, int, int], total: np.ndarray) -> pa.RecordBatch:
+def _sum_rows(at: tuple[int, int, int], total: np.ndarray, size: int) -> pa.RecordBatch:
     lang, left, right = at
     if left == right:
         total = np.triu(total, 1)
     one, other = np.nonzero(total)
-    arrays = [np.full(len(one), lang, np.int32), (one + left * BLOCK).astype(np.int32), (other + right * BLOCK).astype(np.int32), total[one, other]]
+    arrays = [np.full(len(one), lang, np.int32), (one + left * size).astype(np.int32), (other + right * size).astype(np.int32), total[one, other]]
     return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["lang_id", "one", "other", "joint"])
 
 
 def _add_word(total: np.ndarray, left: int, right: int, sid: np.ndarray, p: np.ndarray, zero: np.ndarray, bits: np.ndarray) -> None:
     """Add the joint cells of one word of terms, for the sources of two blocks."""
-    rows = np.flatnonzero(sid // BLOCK == left)
-    cols = np.flatnonzero(sid // BLOCK == right)
+    size = len(total)
+    rows = np.flatnonzero(sid // size == left)
+    cols = np.flatnonzero(sid // size == right)
     if not len(rows) or not len(cols):
         return
     bits = bits.view(np.uint64)
     starts = np.flatnonzero(np.r_[True, np.diff(sid[cols]) != 0])
-    across = sid[cols][starts] % BLOCK
+    across = sid[cols][starts] % size
     step = max(1, (1 << 20) // len(cols))
     for a in range(0, len(rows), step):
         r = rows[a : a + step]
@@ -155,10 +156,20 @@ def _add_word(total: np.ndarray, left: int, right: int, sid: np.ndarray, p: np.n
         far = np.abs(p[x] - p[y]) - np.abs(p[x] - zero[y]) - np.abs(zero[x] - p[y]) + np.abs(zero[x] - zero[y])
         cells[i, j] *= far
         summed = np.add.reduceat(cells, starts, axis=1)
-        np.add.at(total, (sid[r][:, None] % BLOCK, across), summed)
-
-
-def divergence(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", least_docs: int = LEAST_DOCS, ranks: int = RANKS) -> DataFrame:
+        np.add.at(total, (sid[r][:, None] % size, across), summed)
+
+
+def divergence(
+    df: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    source: str = "source",
+    least_docs: int = LEAST_DOCS,
+    ranks: int = RANKS,
+    bucket: int = BUCKET,
+    block: int = BLOCK,
+    held: int = HELD,
+) -> DataFrame:
     """(lang, source, part, item, value, rank). Part `pair`: the distance of the group's term
     rates from those of each other source of its language, all ranks. Part `term`: the terms
     more frequent in the group than in its language, up to `ranks`.
@@ -169,12 +180,12 @@ def divergence(df: DataFrame, text: str = "text", lang: str = "lang", source: st
     Repeated rows count each. Ties go by the item's bytes. Empty tables give no rows. Other
     columns are not read, and texts of any length are counted whole.
     """
-    counts = term_counts(df, text, lang, source).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = term_counts(df, text, lang, source, held).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counts = staged(counts, "term-counts")
     terms = counts.where("term is not null")
     per_lang = terms.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     kept = staged(per_lang.where(F.col("docs") >= least_docs).drop("docs"), "kept")
-    placed = staged(numbered(kept, kept.count()), "placed")
+    placed = staged(numbered(kept, kept.count(), bucket), "placed")
     joined = terms.select("lang", "source", "term", "n").join(placed.withColumnRenamed("n", "n_lang"), ["lang", "term"])
     joined = staged(joined, "counted")
 
@@ -196,18 +207,18 @@ def divergence(df: DataFrame, text: str = "text", lang: str = "lang", source: st
     bit = F.expr("shiftleft(1L, bit)")
     levels = joined.groupBy("lang", "source", "bucket", "word", "n").agg(F.bit_or(bit).alias("bits"))
     entries = staged(levels.join(small, ["lang", "source"]).withColumn("p", rate("n")), "levels")
-    pairs = group_pairs(entries, groups, small)
+    pairs = group_pairs(entries, groups, small, block)
     ranked = pairs.withColumn("rank", F.row_number().over(best))
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return ranked.withColumn("part", F.lit("pair")).select(columns).unionByName(top.withColumn("part", F.lit("term")).select(columns))
 
 
-def group_pairs(entries: DataFrame, groups: DataFrame, small: DataFrame) -> DataFrame:
+def group_pairs(entries: DataFrame, groups: DataFrame, small: DataFrame, block: int = BLOCK) -> DataFrame:
     """(lang, source, item, value) of every ordered pair of a language's sources."""
     # languages by number, as tasks compare keys as numbers
     langs = broadcast_if_small(staged(groups.groupBy("lang").agg(F.count("*").alias("n")).select("lang", F.row_number().over(Window.orderBy("lang")).alias("lang_id")), "langs"), MAX_GROUPS)
-    cells = entries.join(langs, "lang").select("lang_id", "bucket", "word", "sid", F.ceil(F.col("n_sources") / BLOCK).cast("int").alias("n_blocks"), "p", "zero", "bits")
-    joint = joint_sums(cells)
+    cells = entries.join(langs, "lang").select("lang_id", "bucket", "word", "sid", F.ceil(F.col("n_sources") / block).cast("int").alias("n_blocks"), "p", "zero", "bits")
+    joint = joint_sums(cells, block)
 
     # the terms a group has, against the rate of zero of each other group
     hist = entries.groupBy("lang", "source", "sid", "p").agg(F.sum(F.bit_count("bits").cast("long")).alias("m"))

@@ -192,7 +192,7 @@ def _emit(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _searched(pairs: DataFrame, names: list[str], count: int, candidates) -> DataFrame:
+def _searched(pairs: DataFrame, names: list[str], count: int, held: int, candidates) -> DataFrame:
     """Best candidates of each key over all pairs of blocks; `candidates` gives those of one pair."""
 
     def run(batches: Iterator) -> Iterator:
@@ -201,9 +201,9 @@ def _searched(pairs: DataFrame, names: list[str], count: int, candidates) -> Dat
             for at in range(batch.num_rows):
                 for columns in candidates(batch, at):
                     best.add(*columns)
-                if best.held > HELD:
+                if best.held > held:
                     best.cut()
-                    if best.held > HELD / 2:
+                    if best.held > held / 2:
                         yield _emit(best.cut(), names)
                         best = _Best(count)
         if best.held:
@@ -223,6 +223,9 @@ def mine(
     positives: int = 5,
     negatives: int = 3,
     shift: tuple[int, int] | None = None,
+    block: int = BLOCK,
+    group: int = GROUP,
+    held: int = HELD,
 ) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) of each anchor
     and each of its first `positives` other rows of the same label: the first `negatives` rows of
@@ -237,9 +240,9 @@ def mine(
     """
     rows = vectors(df, id_col, vector, label, dimensions(df, vector), shift)
     anchors = rows.where(F.col("id") % every == 0)
-    groups = max(1, math.ceil(anchors.count() / GROUP))
+    groups = max(1, math.ceil(anchors.count() / group))
     anchors = anchors.withColumn("grp", F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("int"))
-    blocks = staged(row_blocks(rows), "blocks")
+    blocks = staged(row_blocks(rows, block), "blocks")
     score_kind = "array<struct<rank:int,id:long,score:long>>"
 
     def same(batch: pa.RecordBatch, at: int) -> Iterator[tuple]:
@@ -250,7 +253,7 @@ def mine(
         yield a_uid[i], ids[j], none[j], uid[j], scores[i, j]
 
     plain = staged(anchor_groups(anchors.withColumn("positives", F.lit(None).cast(score_kind))), "anchors")
-    near = _searched(paired(blocks, plain, groups), ["anchor", "id", "uid", "score"], positives, same)
+    near = _searched(paired(blocks, plain, groups), ["anchor", "id", "uid", "score"], positives, held, same)
     near = near.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("rank", "id", "score"))).alias("positives"))
     known = staged(near, "positives")
 
@@ -272,7 +275,7 @@ def mine(
             yield who, np.full(len(who), rank, np.int64), ids[j], none[j], uid[j], scores[has][i, j]
 
     full = staged(anchor_groups(anchors.join(known, F.col("uid") == F.col("anchor")).drop("anchor")), "anchors")
-    far = _searched(paired(blocks, full, groups), ["anchor", "nth", "id", "uid", "score"], negatives, different)
+    far = _searched(paired(blocks, full, groups), ["anchor", "nth", "id", "uid", "score"], negatives, held, different)
     named = anchors.select(F.col("uid").alias("anchor"), F.col("id").alias("anchor_id")).join(known, "anchor")
     named = named.select("anchor", "anchor_id", F.inline("positives")).withColumnsRenamed({"rank": "nth", "id": "positive_id", "score": "positive_score"})
     return far.join(named, ["anchor", "nth"]).select("anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
