@@ -255,7 +255,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding
     lone = rows.where("key is null").select(F.col("id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     if not count:
         return _result(lone, id_col)
-    k = cells or min(MAX_CELLS, math.ceil(math.sqrt(count / 2)))
+    k = cells or min(MAX_CELLS, math.ceil(math.sqrt(count) / 3))
     placed = staged(assigned(classes, centroids(classes, count, min(k, count)), threshold), "placed")
     home = placed.select(F.col("home").alias("cell"), "*", F.lit(True).alias("at_home"))
     away = placed.select(F.explode("visits").alias("cell"), "*", F.lit(False).alias("at_home"))
