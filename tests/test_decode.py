@@ -8,6 +8,7 @@ from tslines.model import WriteOptions
 from tslines.operators.batches import local_bodies
 from tslines.operators.decode import (
     parse_bodies,
+    parse_by_pattern,
     parse_lines,
     parse_measurement,
     to_measurement,
@@ -197,7 +198,7 @@ def test_quick_reader_agrees_with_the_general_one(spark, fields):
 
 def test_decoding_runs_without_python(spark):
     df = spark.createDataFrame([("m v=1i",)], "lp string")
-    plan = parse_lines(df)._jdf.queryExecution().executedPlan().toString()
+    plan = parse_by_pattern(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
 
 

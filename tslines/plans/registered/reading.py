@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tslines.operators.decode import (
     parse_bodies,
+    parse_by_pattern,
     parse_lines,
     parse_measurement,
     to_measurement,
@@ -67,6 +68,13 @@ def lp_crlf(t: Tables) -> DataFrame:
     return read("bodies").unionByName(read("lines"))
 
 
+@named("lp_roundtrip_by_pattern", f"SELECT {_EVENT_COLUMNS} FROM events")
+def lp_roundtrip_by_pattern(t: Tables) -> DataFrame:
+    """The reader that uses expressions alone."""
+    parsed = parse_by_pattern(event_lines(t))
+    return to_measurement(parsed, "events", EVENT_TAGS, _EVENT_FIELDS).drop("time")
+
+
 @named("lp_roundtrip_quick", f"SELECT {_EVENT_COLUMNS} FROM events")
 def lp_roundtrip_quick(t: Tables) -> DataFrame:
     """Lines with strings through the reader for known columns."""
