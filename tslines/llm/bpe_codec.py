@@ -14,7 +14,7 @@ import itertools
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from tslines.llm.bpe_automaton import byte_letters
 from tslines.llm.common import whole_text
 
-#: Stretches without white space whose ids a worker remembers.
+#: Stretches without white space, and words, whose ids a worker remembers before it lets go of
+#: those it has met once.
 REMEMBERED = 200_000
 # all white space as Unicode has it, which the tokenizer drops
 STRETCHES = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -37,11 +38,51 @@ UNSURE = re.compile("[\u0500-\U0010ffff]")
 LETTERS = 512
 
 
-class Encoder:
-    """A word-level BPE file made ready for encoding in one worker.
+class Known:
+    """Ids of texts met before. Texts are numbered as they come; `starts` and `ids` hold the ids of
+    each number, `hits` how often it was asked for of late."""
+
+    def __init__(self, limit: int = REMEMBERED):
+        self.limit, self.number = limit, {}
+        self.starts, self.ids, self.hits = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def add(self, texts: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.number.update(zip(texts, range(len(self.number), len(self.number) + len(texts)), strict=True))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes, dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+
+    def missing(self, texts: Iterable[str]) -> list[str]:
+        return list(dict.fromkeys(itertools.filterfalse(self.number.__contains__, texts)))
+
+    def numbers(self, texts: Iterable[str]) -> np.ndarray:
+        which = np.fromiter(map(self.number.__getitem__, texts), np.int64)
+        found = np.bincount(which, minlength=len(self.number))
+        found[: len(self.hits)] += self.hits
+        self.hits = found
+        return which
+
+    def trim(self) -> None:
+        """Past the limit, keep what was met more than once, or more often if that is still much."""
+        if len(self.number) <= self.limit:
+            return
+        hits = np.concatenate([self.hits, np.zeros(len(self.number) - len(self.hits), np.int64)])
+        least = 2
+        while (hits >= least).sum() > self.limit // 2:
+            least *= 2
+        kept = np.flatnonzero(hits >= least)
+        sizes = np.diff(self.starts)[kept]
+        self.ids = _gather(self.starts, self.ids, kept)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.number = {t: i for i, t in enumerate(itertools.compress(self.number, (hits >= least).tolist()))}
+        self.hits = hits[kept] // 2
+
+    def ids_of(self, text: str) -> list[int]:
+        at = self.number[text]
+        return self.ids[self.starts[at] : self.starts[at + 1]].tolist()
 
-    Stretches are numbered as they are met; `starts` and `ids` hold the ids of each number.
-    """
+
+class Encoder:
+    """A word-level BPE file made ready for encoding in one worker."""
 
     def __init__(self, path: str):
         # a task has one core; the library would else start threads, each with memory of its own
@@ -65,7 +106,7 @@ class Encoder:
         self.words = regex.compile(words + "| ")
         self.letters = {b: c for c, b in byte_letters().items() if b != ord("\n")}
         self.joined = self._side_by_side(model["vocab"], model["end_of_word_suffix"] or "")
-        self._forget()
+        self.stretches, self.known_words = Known(), Known()
 
     @staticmethod
     def _side_by_side(vocab: dict[str, int], suffix: str) -> np.ndarray:
@@ -76,41 +117,41 @@ class Encoder:
             table[codes[:-1], codes[1:]] = True
         return table
 
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
-
-    def _remember(self, stretches: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
-        self.number.update(zip(stretches, range(len(self.number), len(self.number) + len(stretches)), strict=True))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes, dtype=np.int64)])
-        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
-
-    def _fragments(self, words: list[str]) -> list[list[str]]:
-        """Every word parted at its certain cuts."""
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        sizes = np.array([len(w) for w in words])
-        ends = np.cumsum(sizes)
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of distinct words. Words are parted at their certain cuts, and equal
+        fragments are merged once."""
+        joined = "".join(words)
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        ends = np.cumsum([len(w) for w in words])
         cut = ~self.joined[codes[:-1], codes[1:]]
         cut[ends[:-1] - 1] = False
-        parts = [[w] for w in words]
         at = np.flatnonzero(cut) + 1
-        owners, firsts = np.unique(np.searchsorted(ends, at, side="right"), return_index=True)
-        begins = ends[owners] - sizes[owners]
-        for i, begin, places in zip(owners.tolist(), begins.tolist(), np.split(at, firsts[1:]) if len(at) else [], strict=True):
-            inside = (places - begin).tolist()
-            word = words[i]
-            parts[i] = [word[a:b] for a, b in zip([0, *inside], [*inside, len(word)], strict=True)]
-        return parts
-
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes and ids of distinct words: distinct fragments are merged once each."""
-        parts = self._fragments(words)
-        ends, inners = dict.fromkeys(p[-1] for p in parts), dict.fromkeys(f for p in parts for f in p[:-1])
-        for tool, found in ((self.last, ends), (self.inner, inners)):
-            names = list(found)
-            found.update(zip(names, (e.ids for e in tool.encode_batch_fast(names, add_special_tokens=False)), strict=True))
-        lists = [ends[p[-1]] if len(p) == 1 else [i for f in p[:-1] for i in inners[f]] + ends[p[-1]] for p in parts]
-        return np.array([len(x) for x in lists]), np.fromiter(itertools.chain.from_iterable(lists), np.int32)
+        owner = np.searchsorted(ends, at, side="right")
+        whole = np.ones(len(words), bool)
+        whole[owner] = False
+        parted = np.flatnonzero(~whole)
+        # the fragments of the words that have cuts, in their order
+        begin = np.sort(np.concatenate([np.where(parted > 0, ends[parted - 1], 0), at]))
+        end = np.sort(np.concatenate([at, ends[parted]]))
+        pieces = [joined[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        of = np.searchsorted(ends, begin, side="right")
+        closes = end == ends[of]
+        lasts = {w: i for i, w in enumerate(dict.fromkeys([*itertools.compress(words, whole.tolist()), *itertools.compress(pieces, closes.tolist())]))}
+        inners = {w: len(lasts) + i for i, w in enumerate(dict.fromkeys(itertools.compress(pieces, (~closes).tolist())))}
+        lists = [e.ids for tool, names in ((self.last, lasts), (self.inner, inners)) for e in tool.encode_batch_fast(list(names), add_special_tokens=False)]
+        starts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+        ids = np.fromiter(itertools.chain.from_iterable(lists), np.int32, starts[-1])
+        # every word's fragments by number, whole words being one
+        number = np.zeros(len(pieces), np.int64)
+        number[closes] = [lasts[w] for w in itertools.compress(pieces, closes.tolist())]
+        number[~closes] = [inners[w] for w in itertools.compress(pieces, (~closes).tolist())]
+        single = np.flatnonzero(whole)
+        every = np.concatenate([[lasts[words[i]] for i in single.tolist()], number]).astype(np.int64)
+        owners = np.concatenate([single, of])
+        order = np.argsort(owners, kind="stable")
+        every, owners = every[order], owners[order]
+        sizes = np.bincount(owners, np.diff(starts)[every], len(words)).astype(np.int64)
+        return sizes, _gather(starts, ids, every)
 
     def _learn(self, stretches: list[str]) -> None:
         """Encode stretches not met yet, all of them together."""
@@ -120,9 +161,9 @@ class Encoder:
             parts = [[p for p in self.special.split(s) if p] for s in special]
             plain = [s for s in stretches if s not in set(special)]
             between = (p for found in parts for p in found if p not in self.specials)
-            self._learn([p for p in dict.fromkeys([*plain, *between]) if p not in self.number])
-            ids = [[i for p in found for i in ([self.specials[p]] if p in self.specials else self._known(p))] for found in parts]
-            self._remember(special, np.array([len(i) for i in ids]), np.array([i for x in ids for i in x]))
+            self._learn(self.stretches.missing([*plain, *between]))
+            ids = [[i for p in found for i in ([self.specials[p]] if p in self.specials else self.stretches.ids_of(p))] for found in parts]
+            self.stretches.add(special, np.array([len(i) for i in ids]), np.array([i for x in ids for i in x]))
             return
         if not stretches:
             return
@@ -133,11 +174,13 @@ class Encoder:
         owner = np.cumsum(blank)[~blank]
         words = "\n".join(p for p in pieces if p != " ").encode().decode("latin-1").translate(self.letters).split("\n")
         words = words if len(owner) else []
-        number = {w: i for i, w in enumerate(dict.fromkeys(words))}
-        sizes, ids = self._encode_words(list(number)) if words else (np.zeros(0, np.int64), np.zeros(0, np.int32))
-        which = np.fromiter(map(number.__getitem__, words), np.int64)
-        taken = _gather(np.concatenate([[0], np.cumsum(sizes)]), ids, which)
-        self._remember(stretches, np.bincount(owner, sizes[which], len(stretches)).astype(np.int64), taken)
+        new = self.known_words.missing(words)
+        if new:
+            self.known_words.add(new, *self._encode_words(new))
+        which = self.known_words.numbers(words)
+        sizes = np.diff(self.known_words.starts)[which]
+        taken = _gather(self.known_words.starts, self.known_words.ids, which)
+        self.stretches.add(stretches, np.bincount(owner, sizes, len(stretches)).astype(np.int64), taken)
 
     def _words(self, text: str) -> list[str]:
         """The words of a prepared text and the blanks between its stretches."""
@@ -152,19 +195,16 @@ class Encoder:
             out.append(" ")
         return out[:-1]
 
-    def _known(self, stretch: str) -> list[int]:
-        at = self.number[stretch]
-        return self.ids[self.starts[at] : self.starts[at + 1]].tolist()
-
     def encode(self, texts: list[str]) -> pa.ListArray:
         found = [STRETCHES.findall(t) for t in texts]
-        if len(self.number) > REMEMBERED:
-            self._forget()
-        self._learn([s for s in dict.fromkeys(itertools.chain.from_iterable(found)) if s not in self.number])
-        which = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(found)), np.int64)
-        ends = np.concatenate([[0], np.cumsum(self.starts[which + 1] - self.starts[which])])
-        rows = ends[np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)]
-        return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(_gather(self.starts, self.ids, which), pa.int32()))
+        self.stretches.trim()
+        self.known_words.trim()
+        self._learn(self.stretches.missing(itertools.chain.from_iterable(found)))
+        which = self.stretches.numbers(itertools.chain.from_iterable(found))
+        starts = self.stretches.starts
+        ends = np.concatenate([[0], np.cumsum(starts[which + 1] - starts[which])])
+        rows = ends[np.concatenate([[0], np.cumsum([len(f) for f in found])])].astype(np.int64)
+        return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(_gather(starts, self.stretches.ids, which), pa.int32()))
 
 
 def _gather(starts: np.ndarray, ids: np.ndarray, which: np.ndarray) -> np.ndarray:
