@@ -201,3 +201,49 @@ def test_many_types_are_not_joined_on_measurement_alone(spark, monkeypatch):
     plan = ingest._with_types(parsed, types)._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
     assert "__part" in join
+
+
+def test_connected_parts(spark):
+    dice = random.Random(5)
+    pairs = [(dice.randint(0, 300), dice.randint(0, 300)) for _ in range(190)] + [(1000 + i, 1001 + i) for i in range(60)] + [(2000, 2000 - i) for i in range(40)]
+    got = {r.node: r.root for r in ingest.connected(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in linked}
+    assert ingest.connected(spark.createDataFrame([(1, 1)], "a long, b long")) is None
+
+
+def test_many_signatures_of_one_measurement_run_in_many_tasks(spark):
+    lines = "\n".join(f"m x{i}={v},y{i}={v}" for i in range(60) for v in ("1i", '"s"', "2i", "t"))
+    parsed = parse_bodies(bodies_from_text(spark, [lines]))
+    assert sorted(r.line for r in rejects(judge(parsed)).collect()) == [4 * i + k for i in range(60) for k in (2, 4)]
+
+
+def test_points_written_once_are_not_taken_apart(spark, tmp_path):
+    rows = [point("m", {"host": f"h{i % 7}"}, {f"field_{k}": float(i * k) for k in range(12)}, i, (0, i)) for i in range(20_000)]
+    rows += [point("m", {"host": f"h{i % 7}"}, {"field_3": -1.0}, i, (1, i)) for i in range(0, 20_000, 200)]
+    path = str(tmp_path / "points")
+    points(spark, *rows).write.parquet(path)
+    stored = spark.read.parquet(path)
+    current = last_write_wins_points(stored)
+    got = {r.time_ns: {f.key: f.value.f for f in r.fields} for r in current.collect()}
+    assert len(got) == 20_000 and got[400]["field_3"] == -1.0 and got[401]["field_3"] == 401 * 3.0 and len(got[400]) == 12
+    # no point is taken apart before the split, and the split joins whole points
+    plan = current._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and "Filter __again" in plan.replace("#", " ")
+
+
+def test_single_writes_keep_the_rules_of_merged_ones(spark):
+    twice = [("a", (1, "i")), ("b", (2, "i")), ("a", (3, "i"))]
+    cells = [{"key": k, "value": {m: (v[0] if m == v[1] else None) for m in "fiusb"}} for k, v in twice]
+    rows = [("m", {"t": "x", "s": "y"}, cells, 1, (0, 1)), ("m", None, cells, 1, (0, 2)), ("m", {"t": "x"}, [], 1, (0, 3)), ("m", {}, cells, None, (0, 4)), ("m", {}, cells[:1], None, (0, 5))]
+    got = {(tuple(sorted(r.tags.items())), r.time_ns): [(f.key, f.value.i) for f in r.fields] for r in last_write_wins_points(points(spark, *rows)).collect()}
+    assert got == {((("s", "y"), ("t", "x")), 1): [("a", 3), ("b", 2)], ((), 1): [("a", 3), ("b", 2)], ((), None): [("a", 1), ("b", 2)]}

@@ -200,7 +200,7 @@ def parse_by_pattern(lines: DataFrame, precision: Precision | str = Precision.NS
     point = F.struct(
         F.when(good, F.col("__name")).alias("measurement"),
         F.when(good, F.map_from_entries("__tags")).alias("tags"),
-        F.when(good, _last_fields(F.col("__fields"))).alias("fields"),
+        F.when(good, last_fields(F.col("__fields"))).alias("fields"),
         F.when(good, F.col("__time_ns")).alias("time_ns"),
         F.col("__reject").alias("reject"),
     )
@@ -217,7 +217,7 @@ def _in_both(tags: Column, fields: Column) -> Column:
     return F.when(F.size(tags) > 0, F.arrays_overlap(*names)).otherwise(F.lit(False))
 
 
-def _last_fields(fields: Column) -> Column:
+def last_fields(fields: Column) -> Column:
     """A field given twice in a line keeps its first place and its last value."""
     keys = F.array_distinct(F.transform(fields, lambda f: f["key"]))
     merged = F.transform(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tslines.model import REJECTS
-from tslines.operators.decode import value_type
+from tslines.operators.decode import last_fields, value_type
 from tslines.session import is_small, staged
 
 TAG_TYPE = "tag"
@@ -92,29 +92,60 @@ def learn_types(points: DataFrame, known: DataFrame | None = None) -> DataFrame:
 def _refused(uses: DataFrame) -> DataFrame:
     """Ids of the signatures that are refused.
 
-    Only names used with several types matter. What signatures use of them goes past in
-    write order, one measurement after the other, and a task keeps the types stored so far
-    for the disputed names of one measurement. One pass, whatever the chains of conflicts.
+    Only names used with several types matter. What signatures use of them goes past in write
+    order, and a task keeps the types stored so far for the names it has met. Signatures
+    that share no disputed name, not even over others, cannot touch each other: each
+    connected part of a measurement's disputed names goes past on its own.
     """
     by_key = uses.groupBy("measurement", "key").agg(F.count_distinct("type").alias("n"))
     disputed = by_key.where("n > 1").select("measurement", "key")
-    open_uses = uses.join(disputed, ["measurement", "key"], "left_semi")
+    node = F.xxhash64("measurement", "key").alias("node")
+    open_uses = staged(uses.join(disputed, ["measurement", "key"], "left_semi").withColumn("node", node), "disputed")
     # stored types come first, each as a signature of its own
     own = F.when(F.col("id") < 0, F.col("key"))
     rows = open_uses.groupBy("measurement", "first", "id", own.alias("own")).agg(
-        F.collect_list(F.struct("key", "type")).alias("sig")
+        F.collect_list(F.struct("key", "type")).alias("sig"), F.array_sort(F.collect_set("node")).alias("nodes")
     )
-    in_order = rows.repartition("measurement").sortWithinPartitions("measurement", "first")
-    return in_order.select("measurement", "id", "sig").mapInArrow(_refuse_in_order, "id bigint")
+    links = rows.where(F.size("nodes") > 1).select(F.col("nodes")[0].alias("a"), F.explode(F.slice("nodes", 2, 2**31 - 1)).alias("b"))
+    rows = rows.withColumn("node", F.col("nodes")[0])
+    parts = connected(links)
+    if parts is not None:
+        parts = _sized(parts, parts, MAX_BROADCAST_TYPES)
+        rows = rows.join(parts, "node", "left").withColumn("node", F.coalesce("root", "node"))
+    in_order = rows.repartition("measurement", "node").sortWithinPartitions("measurement", "node", "first")
+    return in_order.select("measurement", "node", "id", "sig").mapInArrow(_refuse_in_order, "id bigint")
+
+
+def connected(links: DataFrame) -> DataFrame | None:
+    """(node, root) of every node of the links (a, b), one root for each connected part; None
+    without links.
+
+    Nodes hang on their smallest neighbour, and links are drawn anew between what they hang
+    on, until none is left. Equal hashes of different names only join their parts.
+    """
+    links = staged(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "links")
+    total = None
+    while not links.isEmpty():
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hung = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("up")), "hung")
+        if total is None:
+            total = hung.select(F.col("a").alias("node"), F.col("up").alias("root"))
+        else:
+            moved = total.join(hung, F.col("root") == F.col("a"), "left")
+            total = staged(moved.select("node", F.coalesce("up", "root").alias("root")), "roots")
+        left = links.join(hung, "a").select("b", F.col("up").alias("one"))
+        ends = left.join(hung, F.col("b") == hung["a"]).select(F.least("one", "up").alias("a"), F.greatest("one", "up").alias("b"))
+        links = staged(ends.where("a != b").distinct(), "links")
+    return total
 
 
 def _refuse_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    measurement, types = None, {}
+    part, types = None, {}
     for batch in batches:
         refused = []
         for row in batch.to_pylist():
-            if row["measurement"] != measurement:
-                measurement, types = row["measurement"], {}
+            if (row["measurement"], row["node"]) != part:
+                part, types = (row["measurement"], row["node"]), {}
             uses = {u["key"]: u["type"] for u in row["sig"]}
             if all(types.get(k, t) == t for k, t in uses.items()):
                 types.update(uses)
@@ -240,19 +271,37 @@ def last_write_wins(
     return rows.groupBy(*(F.col(f"`{c}`") for c in [*series, time])).agg(*newest)
 
 
+def _series() -> Column:
+    """The tags in one order, as a key."""
+    tags = F.coalesce("tags", F.create_map().cast("map<string,string>"))
+    return F.array_sort(F.map_entries(tags))
+
+
 def last_write_wins_points(points: DataFrame) -> DataFrame:
     """The same rule on points in long form.
 
-    Merged per field first (with merging before the shuffle), then put together per point;
-    a group of the second step holds one row per field name.
+    Most points are written once. A first pass counts writes by a hash of series and time,
+    which shuffles a few bytes per point; the points of hashes seen once pass as they are.
+    The others, few or many, are merged field by field. Two series that share a hash only
+    take the longer way. The input is read twice, so it had better be a stored table.
     """
-    fields = points.select(
-        "measurement",
-        F.array_sort(F.map_entries(F.coalesce("tags", F.create_map().cast("map<string,string>")))).alias("series"),
-        "time_ns",
-        "seq",
-        F.posexplode("fields").alias("place", "field"),
+    written = points.where(F.size("fields") > 0).select(
+        "measurement", _series().alias("series"), "fields", "time_ns", "seq", F.xxhash64("measurement", _series(), "time_ns").alias("__hash")
     )
+    again = written.groupBy("__hash").agg(F.count("*").alias("n")).where("n > 1").select("__hash")
+    again = staged(again, "overwritten").withColumn("__again", F.lit(True))
+    again = _sized(again, again, MAX_BROADCAST_TYPES)
+    marked = written.join(again, "__hash", "left")
+    once = marked.where(F.col("__again").isNull())
+    merged = _merge_fields(marked.where("__again"))
+    kept = once.select("measurement", "series", last_fields(F.col("fields")).alias("fields"), "time_ns", "seq")
+    return kept.unionByName(merged).select("measurement", F.map_from_entries("series").alias("tags"), "fields", "time_ns", "seq")
+
+
+def _merge_fields(points: DataFrame) -> DataFrame:
+    """One point per (series, time), merged per field first (with merging before the shuffle),
+    then put together; a group of the second step holds one row per field name."""
+    fields = points.select("measurement", "series", "time_ns", "seq", F.posexplode("fields").alias("place", "field"))
     newest = fields.groupBy("measurement", "series", "time_ns", F.col("field.key").alias("key")).agg(
         F.max_by("field.value", F.struct("seq", "place")).alias("value"),
         F.min(F.struct("seq", "place")).alias("first"),
@@ -262,15 +311,8 @@ def last_write_wins_points(points: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("first", "key", "value"))).alias("fields"),
         F.max("seq").alias("seq"),
     )
-    return whole.select(
-        "measurement",
-        F.map_from_entries("series").alias("tags"),
-        F.transform(
-            "fields", lambda f: F.struct(f["key"].alias("key"), f["value"].alias("value"))
-        ).alias("fields"),
-        "time_ns",
-        "seq",
-    )
+    cells = F.transform("fields", lambda f: F.struct(f["key"].alias("key"), f["value"].alias("value")))
+    return whole.select("measurement", "series", cells.alias("fields"), "time_ns", "seq")
 
 
 def wide_schema(types: DataFrame, measurement: str) -> tuple[list[str], dict[str, str]]:

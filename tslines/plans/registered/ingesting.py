@@ -98,6 +98,27 @@ def ing_lww_points(t: Tables) -> DataFrame:
     )
 
 
+_RARE = "event_id % 50 = 0"
+
+
+@named(
+    "ing_lww_points_few",
+    f"""SELECT CAST(event_id AS VARCHAR) AS event, 'value' AS key, CASE WHEN {_RARE} AND value > 40
+            THEN value * 2 ELSE value END AS f, NULL::VARCHAR AS s FROM events
+        UNION ALL SELECT CAST(event_id AS VARCHAR), 'props', NULL, CASE WHEN {_RARE} THEN event_type ELSE props END FROM events""",
+)
+def ing_lww_points_few(t: Tables) -> DataFrame:
+    """One point in fifty is written again; the others go through without being taken apart."""
+    columns = ["event_id", "time_ns", "seq", "value", "props"]
+    first = t.events.withColumns({"time_ns": F.col("event_id"), "seq": F.lit(0).cast("bigint")}).select(columns)
+    raised = F.when(F.col("value") > 40, F.col("value") * 2)
+    again = t.events.where(_RARE.replace("=", "==")).select("event_id", F.col("event_id").alias("time_ns"), F.lit(1).cast("bigint").alias("seq"), raised.alias("value"), F.col("event_type").alias("props"))
+    seq = F.struct(F.col("seq").alias("batch"), F.col("event_id").cast("bigint").alias("line"))
+    points = points_from_frame(first.unionByName(again), "events", ["event_id"], F.col("time_ns"), ["value", "props"], seq=seq)
+    cells = last_write_wins_points(points).select(F.element_at("tags", "event_id").alias("event"), F.explode("fields").alias("c"))
+    return cells.select("event", F.col("c.key").alias("key"), F.col("c.value.f").alias("f"), F.col("c.value.s").alias("s"))
+
+
 # Lines in batches. Error events write `value` as text, the others as a number.
 _TEXT_LINES = """event_id // {size} AS batch_id, event_id % {size} + 1 AS line,
     'ev,user=' || user_id || ' value=' || CASE WHEN event_type = 'error'
@@ -225,3 +246,24 @@ def ing_own_clash(t: Tables) -> DataFrame:
     order = F.struct(F.col("batch_id").alias("batch"), F.col("line").alias("line"))
     judged = judge(parse_lines(lines).withColumn("seq", order))
     return judged.select(F.col("line").alias("event_id"), "reject")
+
+
+_PARTS = """SELECT event_id, user_id % 40 AS part, CASE event_type WHEN 'error' THEN 's' WHEN 'view' THEN 'i' ELSE 'f' END AS kind FROM events"""
+
+
+@named(
+    "ing_conflict_parts",
+    f"""SELECT event_id, CASE WHEN kind <> arg_min(kind, event_id) OVER (PARTITION BY part)
+            THEN 'type conflict on x' || part END AS reject FROM ({_PARTS})""",
+)
+def ing_conflict_parts(t: Tables) -> DataFrame:
+    """One measurement whose disputed names fall into parts that are judged apart: each line
+    uses both names of its part."""
+    value = """CASE event_type WHEN 'error' THEN '"t"' WHEN 'view' THEN '1i' ELSE '1.5' END"""
+    lp = f"concat('m x', user_id % 40, '=', {value}, ',y', user_id % 40, '=', {value})"
+    lines = t.events.select(
+        F.lit(0).cast("bigint").alias("batch_id"), F.col("event_id").cast("bigint").alias("line"), F.expr(lp).alias("lp")
+    )
+    order = F.struct(F.col("batch_id").alias("batch"), F.col("line").alias("line"))
+    judged = judge(parse_lines(lines).withColumn("seq", order))
+    return judged.select(F.col("line").alias("event_id"), "reject")

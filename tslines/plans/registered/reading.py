@@ -132,6 +132,16 @@ def lp_roundtrip_documents(t: Tables) -> DataFrame:
     return wide.select("doc_id", "text", "lang", "source", "n_chars")
 
 
+@named("lp_roundtrip_documents_in_blocks", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def lp_roundtrip_documents_in_blocks(t: Tables) -> DataFrame:
+    """Whole texts with line breaks through files that are read in blocks, not whole."""
+    path = scratch_path(t.spark, "lp")
+    write_lines(encode_frame(t.documents, "documents", ["lang", "source"]), path)
+    parsed = read_lp(t.spark, path, multiline=True, layout="lines")
+    wide = to_measurement(parsed, "documents", ["lang", "source"], {"doc_id": "i", "text": "s", "n_chars": "i"})
+    return wide.select("doc_id", "text", "lang", "source", "n_chars")
+
+
 @named(
     "lp_roundtrip_learned",
     """SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,

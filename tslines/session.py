@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -82,7 +83,8 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    # "local-cluster" has executors of their own
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     if sc.applicationId not in _local_scratch:
         _local_scratch[sc.applicationId] = tempfile.mkdtemp(prefix="tslines-")

@@ -13,6 +13,7 @@ from tslines.model import POINTS, Precision
 from tslines.operators.batches import number_rows
 from tslines.operators.decode import end_of_line, explode_lines, has_point, parse_lines
 from tslines.session import is_small, staged
+from tslines.sources.logical import read_logical_lines
 
 # Files up to this size can be read whole, one file being one body. Request bodies are
 # 10 MB by default, so larger files are concatenations, to be read line by line.
@@ -127,8 +128,8 @@ def read_lp(
     """Parsed lines of line-protocol files; columns as `decode.parse_bodies` gives.
 
     One file is one batch. `layout='bodies'` reads files whole and fails on one larger than
-    `max_whole_file`; `layout='lines'` reads files of any size line by line, which cannot
-    keep line breaks inside strings. Both cut, number and judge plain lines alike.
+    `max_whole_file`; `layout='lines'` reads files of any size in blocks. Both cut, number
+    and judge lines alike, with `multiline` also those with breaks inside of strings.
     """
     if layout == "bodies":
         sizes = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n"))
@@ -139,7 +140,8 @@ def read_lp(
     elif layout != "lines":
         raise ValueError(f"layout must be 'bodies' or 'lines', not {layout!r}")
     elif multiline:
-        raise ValueError("multiline text can only be read with layout='bodies'")
+        named = read_logical_lines(spark, path).withColumnRenamed("file", "__file")
+        lines = _with_file_number(named, _numbered_files(spark, path)).where(has_point(F.col("lp")))
     else:
         lines = read_numbered_lines(spark, path).where(has_point(F.col("lp")))
     order = F.struct(F.col("batch_id").alias("batch"), F.col("line").alias("line"))
