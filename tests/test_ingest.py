@@ -238,7 +238,7 @@ def test_points_written_once_are_not_taken_apart(spark, tmp_path):
     assert len(got) == 20_000 and got[400]["field_3"] == -1.0 and got[401]["field_3"] == 401 * 3.0 and len(got[400]) == 12
     # no point is taken apart before the split, and the split joins whole points
     plan = current._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Generate") == 1 and "Filter __again" in plan.replace("#", " ")
+    assert plan.count("Generate") == 1
 
 
 def test_single_writes_keep_the_rules_of_merged_ones(spark):
