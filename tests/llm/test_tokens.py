@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -80,11 +81,25 @@ def test_bpe_agrees_with_the_library(texts):
 
 def test_fragments_never_part_a_token():
     tool = bpe_codec.Encoder(WORDS)
-    words = ["hello", "zqxj", "Ã©Ã©", "a"]
-    parts = tool._fragments(words)
-    assert ["".join(p) for p in parts] == words
-    assert all(tool.joined[ord(a), ord(b)] for p in parts for f in p for a, b in zip(f, f[1:], strict=False))
-
+    words = ["hello", "zqxj", "Ã©Ã©", "a", "qqzzxx", "helloqxhello", "jqjqjq"]
+    sizes, ids = tool._encode_words(words)
+    want = [e.ids for e in tool.last.encode_batch_fast(words, add_special_tokens=False)]
+    assert sizes.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+    # some of these words do have certain cuts
+    codes = [list(map(ord, w)) for w in words]
+    assert any((~tool.joined[c[:-1], c[1:]]).any() for c in codes)
+
+
+def test_known_keeps_what_comes_again():
+    known = bpe_codec.Known(limit=4)
+    for batch in (["a", "b", "c"], ["a", "b", "d", "e"], ["a", "f", "g"], ["h", "a"]):
+        known.trim()
+        new = known.missing(batch)
+        known.add(new, np.array([len(x) + 1 for x in new], np.int64), np.array([ord(x[0]) for x in new for _ in range(len(x) + 1)], np.int32))
+        known.numbers(batch)
+        assert all(known.ids_of(x) == [ord(x)] * 2 for x in batch)
+    assert "a" in known.number and "c" not in known.number
 
 def test_encode_and_decode(docs, odd_rows):
     library = Tokenizer.from_file(WORDS)
