@@ -22,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tslines.llm.common import broadcast_if_small, runs
+from tslines.llm.common import runs
 from tslines.llm.simhash import components
 from tslines.session import staged
 
