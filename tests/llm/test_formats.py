@@ -1,6 +1,7 @@
 """Chat formatting, WARC bundles, the pipeline and the queries."""
 
 import hashlib
+import time
 
 import pytest
 import zstandard
@@ -42,6 +43,22 @@ def test_chat_round_trip(llm):
         assert r.formatted.count(chat.START) == r.formatted.count(chat.END) == merged
 
 
+def test_chat_of_very_many_turns(llm):
+    # roles alternate in pairs, so turns merge; texts of one to some code points
+    turns = F.struct(F.col("id").alias("turn"), F.when(F.col("id") % 4 < 2, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é<"), F.col("id").cast("string")).alias("text"))
+    took = {}
+    for n in (10_000, 100_000):
+        df = llm.range(n).select(F.lit(1).cast("long").alias("conv_id"), turns.alias("t")).select("conv_id", "t.*")
+        start = time.perf_counter()
+        r = read_back(chat.format_chats(df))[0]
+        took[n] = time.perf_counter() - start
+        assert [(t.role, t.text) for t in r.turns] == [("user" if i % 4 < 2 else "assistant", f"é<{i}") for i in range(n)]
+        assert r.learned == [f"é<{i}" for i in range(n) if i % 4 >= 2]
+        assert r.formatted.count(chat.START) == n // 2
+    # ten times the turns: with the square of them it would be a hundred times
+    assert took[100_000] < 40 * took[10_000]
+
+
 def test_chat_of_nulls_and_ties(llm):
     schema = "conv_id long, turn long, role string, text string"
     rows = [(1, None, None, None), (1, 1, "user", "b"), (1, 1, "assistant", "a"), (1, 1, "user", "b")]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tslines.llm.common import whole_text
+from tslines.llm.common import let, whole_text
 
 # The template. A turn is START role SEP part (PART part)* END; parts are the texts of
 # neighbouring turns of one role.
@@ -36,17 +36,35 @@ def unescape(text: Column) -> Column:
     return text
 
 
+#: Steps of a running sum over an array: more than an array can hold.
+DOUBLINGS = [1 << k for k in range(31)]
+#: Code points of the pieces a formatted text is cut into for reading spans from it.
+CUT = 1024
+
+
 def _merged(turns: Column) -> Column:
-    """Neighbouring structs (role, parts) of one role as one."""
-    empty = F.array().cast("array<struct<role:string,parts:array<string>>>")
+    """Neighbouring structs (role, text) of one role as one struct (role, parts). A run goes
+    from its first place to the next one's, so every turn is copied once."""
+
+    def run(starts: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(starts, k + 1), F.size(turns))
+        part = lambda s, k: F.slice(turns, s + 1, end(k) - s)
+        return F.transform(starts, lambda s, k: F.struct(F.get(turns, s)["role"].alias("role"), F.transform(part(s, k), lambda t: t["text"]).alias("parts")))
+
+    places = F.transform(turns, lambda t, i: i)
+    return let(F.filter(places, lambda i: (i == 0) | (F.get(turns, i)["role"] != F.get(turns, i - 1)["role"])), run)
 
-    def add(done: Column, turn: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(last["role"].alias("role"), F.concat(last["parts"], turn["parts"]).alias("parts"))
-        same = (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["role"] == turn["role"])
-        return F.when(same, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(turn)))
 
-    return F.aggregate(turns, empty, add)
+def _running_sums(numbers: Column) -> Column:
+    """Sums of the first, the first two, and so on, by doubling: after a step every place
+    holds the sum of twice as many numbers up to it, so n numbers take n log n."""
+
+    def step(sums: Column, width: Column) -> Column:
+        before = F.slice(F.concat(F.array_repeat(F.lit(0).cast("long"), width), sums), F.lit(1), F.size(sums))
+        return F.zip_with(sums, before, lambda a, b: a + b)
+
+    widths = F.filter(F.array(*map(F.lit, DOUBLINGS)), lambda w: w < F.size(numbers))
+    return F.aggregate(widths, numbers, step)
 
 
 def format_chats(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -56,31 +74,34 @@ def format_chats(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     Turns are sorted by number, nulls first; equal numbers by role, then text; repeated rows
     are turns of their own. A null text or role is empty. Rows with a null conversation id
     are one conversation. An empty table gives no rows; other columns are not read. One
-    shuffle, by conversation, each of which becomes one row as it has to.
+    shuffle, by conversation, each of which becomes one row as it has to; its turns take
+    n log n steps.
     """
     rows = df.select(F.col(conv).alias("conv"), F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), whole_text(text).alias("text")).alias("t"))
     sorted_ = rows.groupBy("conv").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    coded = F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), F.array(escape(t["text"])).alias("parts")))
-    merged = sorted_.select("conv", _merged(coded).alias("turns"))
-    # every piece with whether it is learned; marks and texts in the order of the output
-    piece = lambda s, learned: F.struct(s.alias("s"), learned.alias("learned"))
-    no = F.lit(False)
-
-    def pieces(t: Column) -> Column:
-        inside = F.transform(t["parts"], lambda p, i: F.array(piece(F.when(i > 0, F.lit(PART)).otherwise(F.lit("")), no), piece(p, t["role"] == LEARNED)))
-        return F.concat(F.array(piece(F.concat(F.lit(START), t["role"], F.lit(SEP)), no)), F.flatten(inside), F.array(piece(F.lit(END), no)))
-
-    laid = merged.select("conv", F.flatten(F.transform("turns", pieces)).alias("pieces"))
-    walk = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["s"])).cast("long").alias("at"),
-            F.when(p["learned"], F.concat(a["spans"], F.array(F.struct(a["at"].alias("start"), F.length(p["s"]).cast("long").alias("length"))))).otherwise(a["spans"]).alias("spans"),
-        ),
-    )
-    whole = F.array_join(F.transform("pieces", lambda p: p["s"]), "")
-    return laid.select(F.col("conv").alias(conv), whole.alias("formatted"), walk["spans"].alias("loss_spans"))
+    coded = F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text")))
+
+    def pieces(turns: Column) -> Column:
+        # every text with the marks before it and whether it is learned
+        def lead(t: Column, k: Column, i: Column) -> Column:
+            opened = F.concat(F.when(k > 0, F.lit(END)).otherwise(F.lit("")), F.lit(START), t["role"], F.lit(SEP))
+            return F.when(i > 0, F.lit(PART)).otherwise(opened)
+
+        def of_turn(t: Column, k: Column) -> Column:
+            return F.transform(t["parts"], lambda p, i: F.struct(lead(t, k, i).alias("lead"), p.alias("text"), (t["role"] == LEARNED).alias("learned")))
+
+        return F.flatten(F.transform(turns, of_turn))
+
+    def laid(p: Column) -> Column:
+        whole = F.concat(F.array_join(F.transform(p, lambda x: F.concat(x["lead"], x["text"])), ""), F.lit(END))
+        ends = _running_sums(F.transform(p, lambda x: (F.length(x["lead"]) + F.length(x["text"])).cast("long")))
+        length = lambda x: F.length(x["text"]).cast("long")
+        span = lambda x, e: F.when(x["learned"], F.struct((e - length(x)).alias("start"), length(x).alias("length")))
+        spans = F.filter(F.zip_with(p, ends, span), lambda s: s.isNotNull())
+        return F.struct(whole.alias("formatted"), spans.alias("loss_spans"))
+
+    done = sorted_.select("conv", let(let(let(coded, _merged), pieces), laid).alias("done"))
+    return done.select(F.col("conv").alias(conv), "done.formatted", "done.loss_spans")
 
 
 def read_turns(formatted: Column) -> Column:
@@ -103,5 +124,16 @@ def _literal(mark: str) -> str:
 
 
 def learned_texts(formatted: Column, spans: Column) -> Column:
-    """The unescaped texts under the loss mask."""
-    return F.transform(spans, lambda s: unescape(formatted.substr(s["start"].cast("int") + 1, s["length"].cast("int"))))
+    """The unescaped texts under the loss mask. The text is cut into pieces of `CUT` code
+    points first, so that a span is not looked for from the beginning of the whole text."""
+
+    def read(pieces: Column) -> Column:
+        def text(s: Column) -> Column:
+            first = F.floor(s["start"] / CUT).cast("int")
+            last = F.floor((s["start"] + s["length"]) / CUT).cast("int")
+            near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+            return unescape(near.substr((s["start"] - first * CUT).cast("int") + 1, s["length"].cast("int")))
+
+        return F.transform(spans, text)
+
+    return let(F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)), read)

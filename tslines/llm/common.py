@@ -54,6 +54,11 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACES}]+", -1))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute `value` once and use it several times, also inside the functions of arrays."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
