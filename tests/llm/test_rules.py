@@ -92,6 +92,23 @@ def test_rules_are_ordered_by_rejection_per_cost():
     assert [r.name for r in chain] == ["b", "a", "c"]
 
 
+def test_the_cascade_splits_words_once(docs):
+    df = docs(*[(i, f"some words of text {i} " * 9) for i in range(40)])
+    plan = quality.passing(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bsplit\(\w*trim\(", plan)) == 1
+
+
+def test_costs_are_those_of_the_rules(llm):
+    # both reject the same rows; one hashes every word many times over
+    dear = quality.Rule("dear", lambda c: F.expr("aggregate(transform(words, w -> length(sha2(repeat(w, 40), 512))), 0, (a, b) -> a + b)") % 2 == 0)
+    cheap = quality.Rule("cheap", lambda c: F.size("words") > 0)
+    sample = llm.range(300).select(F.lit("text").alias("text"), F.array_repeat(F.col("id").cast("string"), 200).alias("words"))
+    for rules in ((dear, cheap), (cheap, dear)):
+        cost, sets = quality.estimate(sample, rules)
+        assert cost["dear"] > 3 * cost["cheap"] and sum(sets.values()) == 300
+        assert [r.name for r in quality.ordered(rules, cost, sets)] == ["cheap", "dear"]
+
+
 def brute_targets(sizes):
     names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}

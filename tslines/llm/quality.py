@@ -9,20 +9,27 @@ changes the time, never the verdict.
 
 from __future__ import annotations
 
+import statistics
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tslines.llm.common import SPACES, whole_text, words
+from tslines.llm.common import SPACES, let, whole_text, words
 from tslines.session import staged
 
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
 #: Rows of the sample that costs and rejections are estimated on.
 SAMPLE_ROWS = 2000
+#: How long all rules together should run on the repeated sample, so that the start of a job
+#: does not count as a rule's cost, and how often it is repeated at most.
+TIMED_SECONDS, MOST_COPIES = 0.3, 4096
+#: Rows of the sample that are timed.
+TIMED_ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -65,15 +72,10 @@ def n_repeat_words(words: Column) -> Column:
     def repeated(eights: Column) -> Column:
         placed = F.array_sort(F.transform(eights, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
         none = F.size(F.array_distinct(eights)) == F.size(eights)
-        return F.when(none, F.lit(0)).otherwise(_let(placed, lambda s: _let(places(s), covered)))
+        return F.when(none, F.lit(0)).otherwise(let(placed, lambda s: let(places(s), covered)))
 
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(_let(_let(hashes, windows), repeated)).cast("long")
-
-
-def _let(value: Column, use) -> Column:
-    """Compute `value` once and use it several times."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+    return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(let(let(hashes, windows), repeated)).cast("long")
 
 
 #: Every count from the text and its words.
@@ -82,7 +84,7 @@ COUNTS: dict[str, Callable[[Column, Column], Column]] = {
     "word_chars": lambda text, words: F.length(F.array_join(words, "")).cast("long"),
     "n_symbols": lambda text, words: F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
     "n_lines": lambda text, words: F.size(_lines(text)).cast("long"),
-    "n_dup_lines": lambda text, words: (F.size(_lines(text)) - F.size(F.array_distinct(_lines(text)))).cast("long"),
+    "n_dup_lines": lambda text, words: let(_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
     "n_repeat_words": lambda text, words: n_repeat_words(words),
 }
 
@@ -95,22 +97,40 @@ RULES = (
 )
 
 
-def _made(text: str = "text", words: str = "words") -> Callable[[str], Column]:
-    """Counts as expressions over the columns that hold a text and its words."""
-    return lambda name: COUNTS[name](F.col(text), F.col(words))
+def _made(text: Column, words: Column) -> Callable[[str], Column]:
+    """Counts as expressions over a text and its words."""
+    return lambda name: COUNTS[name](text, words)
 
 
-def estimate(sample: DataFrame, rules: tuple[Rule, ...]) -> tuple[dict[str, float], dict[tuple[str, ...], int]]:
+def estimate(sample: DataFrame, rules: tuple[Rule, ...], seconds: float = TIMED_SECONDS) -> tuple[dict[str, float], dict[tuple[str, ...], int]]:
     """Seconds each rule takes on the sample (`text`, `words`), and the number of rows by the
-    set of rules that reject them: at most two to the number of rules rows reach the driver."""
-    cost = {}
-    for rule in rules:
-        job = sample.agg(F.count_if(rule.rejects(_made())))
-        job.collect()  # compiles
-        start = time.perf_counter()
-        job.collect()
-        cost[rule.name] = max(time.perf_counter() - start, 1e-6)
-    flags = [rule.rejects(_made()).alias(rule.name) for rule in rules]
+    set of rules that reject them: at most two to the number of rules rows reach the driver.
+
+    Rejections are counted on the whole sample. `TIMED_ROWS` of it are repeated until all rules together take `seconds` longer than a job that
+    only reads it; a rule's cost is the median of three runs, less such a job's median.
+    Words are split in the sample, as the cascade splits them once for all rules.
+    """
+    count = _made(F.col("text"), F.col("words"))
+
+    def timed(condition: Column, copies: int, runs: int = 3) -> float:
+        repeated = sample.limit(TIMED_ROWS).select(F.explode(F.sequence(F.lit(1), F.lit(copies))), "text", "words")
+        took = []
+        for _ in range(runs):
+            # a new query each time: the same one would keep what its shuffle wrote
+            start = time.perf_counter()
+            repeated.agg(F.count_if(condition)).collect()
+            took.append(time.perf_counter() - start)
+        return statistics.median(took)
+
+    nothing = (F.size("words") < 0) | (F.length("text") < 0)
+    every = reduce(lambda a, b: a + b, [rule.rejects(count).cast("int") for rule in rules]) < 0
+    timed(every, 1, 1), timed(nothing, 1, 1)  # compile
+    copies = 1
+    while copies < MOST_COPIES and timed(every, copies, 1) - timed(nothing, copies, 1) < seconds:
+        copies *= 4
+    idle = timed(nothing, copies)
+    cost = {rule.name: max(timed(rule.rejects(count), copies) - idle, 1e-6) / copies for rule in rules}
+    flags = [rule.rejects(count).alias(rule.name) for rule in rules]
     sets = sample.select(*flags).groupBy(*[r.name for r in rules]).count().collect()
     return cost, {tuple(r.name for r in rules if row[r.name]): row["count"] for row in sets}
 
@@ -148,9 +168,10 @@ def passing(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     is rejected for its few words. Rows are independent, so ties, repeated rows and ids do
     not matter; an empty table stays empty. No shuffle and no Python."""
     chain = cascade(df, text, rules)
-    held = df.select(F.struct("*").alias("row"), whole_text(text).alias("text"))
-    held = held.select("row", "text", words(F.col("text")).alias("words"))
-    return held.where(~rejected(chain, _made())).select("row.*")
+    whole = whole_text(text)
+    # words are bound inside the condition: as a column of their own they would be put into
+    # every rule when the filter moves below the projection
+    return df.where(~let(words(whole), lambda w: rejected(chain, _made(whole, w))))
 
 
 def quality(df: DataFrame, id_col: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -159,7 +180,7 @@ def quality(df: DataFrame, id_col: str = "doc_id", text: str = "text", rules: tu
     chain = cascade(df, text, rules)
     whole = df.select(F.col(id_col).alias("id"), whole_text(text).alias("text"))
     whole = whole.select("id", "text", words(F.col("text")).alias("words"))
-    counted = whole.select("id", *[_made()(name).alias(name) for name in COUNTS])
+    counted = whole.select("id", *[_made(F.col("text"), F.col("words"))(name).alias(name) for name in COUNTS])
     base = [rule for rule in chain if rule.base]
     verdicts = {"base_failed": rejected(base, F.col) if base else F.lit(False), "kept": ~rejected(chain, F.col)}
     return counted.withColumns(verdicts).withColumnRenamed("id", id_col)
