@@ -1,6 +1,7 @@
 """URL rules, quality rules, mixing, toxicity."""
 
 import collections
+import math
 import random
 import re
 import zlib
@@ -229,8 +230,68 @@ def test_toxicity_counts_every_word_exactly(llm):
                 want[key][1] += 1
     assert {k: [t, e] for k, t, e in zip(known.tolist(), toxic.tolist(), every.tolist(), strict=True)} == want
     assert (n_toxic, n_all) == (750, 1500) and known.tolist() == sorted(want)
-    some = toxicity.count_keys(rows, most=20)
-    assert 0 < len(some[0]) <= 20 and some[3:] == (750, 1500)
+    assert toxicity.count_keys(rows, most=len(known)) is not None and toxicity.count_keys(rows, most=len(known) - 1) is None
+
+
+def brute_score(model, text):
+    """Score and passages by the definition, word by word."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+    at = {k: (float(t), float(e)) for k, t, e in zip(model.keys.tolist(), model.toxic.tolist(), model.all.tolist(), strict=True)}
+    odds = []
+    for word in words:
+        share = model.share
+        for key in reversed(toxicity.keys(word)):
+            if key in at:
+                share = (at[key][0] + toxicity.CONCENTRATION * share) / (at[key][1] + toxicity.CONCENTRATION)
+        odds.append(math.log(share / (1 - share)) - math.log(model.share / (1 - model.share)) - toxicity.DRIFT)
+    spans = [(a, b, sum(odds[a:b])) for a, b in brute_segments(odds)]
+    surprise = [(a, b, model.decay * s - math.log(model.rate * len(words))) for a, b, s in spans]
+    good = [(a, b, e) for a, b, e in surprise if e >= -math.log(toxicity.E_VALUE)]
+    x = model.offset + model.slope * math.log1p(sum(e for _, _, e in good))
+    return 1 / (1 + math.exp(-x)), [(a, b) for a, b, _ in good]
+
+
+def test_toxicity_agrees_with_brute_force(docs, llm):
+    rng = random.Random(8)
+    clean, bad = [f"calm{c}" for c in "abcdefghij"], [f"vile{c}" for c in "abcdef"]
+    rows = []
+    for i in range(240):
+        words = [rng.choice(clean) for _ in range(rng.randint(0, 14))]
+        if i % 3 == 0:
+            words[2:2] = [rng.choice(bad) for _ in range(rng.randint(4, 8))]
+        words += [rng.choice(bad)] * (rng.random() < 0.1)
+        rows.append((i, " ".join(words)))
+    labels = llm.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    df = docs(*rows)
+    model = toxicity.fit(df, labels, F.col("id") % 4 != 1)
+    # the law: the mean exponential score of a clean token is one at the decay
+    held = toxicity.fitting_rows(df, labels, F.col("id") % 4 != 1, "doc_id", "text", "toxic", 10**6).where("part = 1").collect()
+    scores = [np.round(model.scores(r.text.split()) * 20) / 20 for r in held if r.label == 0 and r.text]
+    mean = np.exp(model.decay * np.concatenate(scores)).mean()
+    assert mean == pytest.approx(1, abs=1e-6) or model.decay in (0.05, 1.0)
+    got = {r.doc_id: r for r in toxicity.score(df, model).collect()}
+    for i, text in rows:
+        want, spans = brute_score(model, text)
+        assert got[i].score == pytest.approx(want, abs=1e-9)
+        assert [(p["first"], p["end"]) for p in got[i].passages] == spans
+    assert any(r.passages for r in got.values())
+
+
+def test_toxicity_fits_on_fewer_documents_rather_than_fewer_words(docs, llm):
+    rows = [(i, " ".join(f"{'vile' if i % 2 else 'calm'}{i}x{j}" for j in range(20))) for i in range(16)]
+    labels = llm.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs(*rows), labels, F.lit(True), most=16, most_keys=150)
+    assert 0 < len(model.keys) <= 150
+    assert len(toxicity.fit(docs(*rows), labels, F.lit(True), most=16, most_keys=1).keys) == 0
+
+
+def test_scorer_forgets_without_changing_scores(docs, llm):
+    model = toxicity.Model(0.1, np.array(sorted(toxicity.keys("bad")), np.int64), np.full(3, 5, np.float32), np.full(3, 6, np.float32), 1.0, 1.0, 1.0, 0.0)
+    texts = [f"bad w{i} w{i + 1} BAD." for i in range(50)]
+    small, large = toxicity.Scorer(model, 7), toxicity.Scorer(model)
+    for i in range(0, 50, 3):
+        for a, b in zip(small(texts[i : i + 3]), large(texts[i : i + 3]), strict=True):
+            assert a.tolist() == b.tolist()
 
 
 def test_mix_draws_a_fine_line(docs):

@@ -23,11 +23,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tslines.llm.common import WORD, Memo, text_batches, whole_text
+from tslines.llm.common import WORD, text_batches, whole_text
 from tslines.session import staged
 
-#: The size of the model: counts of so many words and beginnings, at most. Past it those with
-#: few tokens are left out, up to a bound that doubles, and lean on shorter beginnings.
+#: The size of the model: counts of so many words and beginnings, at most. Labelled documents
+#: that hold more are too many to fit on: half of them are, or a quarter, and so on. What is
+#: fitted on is counted in full.
 MAX_KEYS = 1 << 22
 #: Words whose counts a task gathers before it passes them on.
 GATHERED = 200_000
@@ -99,14 +100,20 @@ class Model:
     slope: float
     offset: float
 
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log-odds of each word: from the share of all tokens over short beginnings to the
+        word itself, each smoothed by the one before."""
+        own = np.array([keys(word) for word in words], np.int64).reshape(-1, len(LENGTHS))
+        share = np.full(len(words), self.share)
+        for key in own.T[::-1] if len(self.keys) else ():
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            smoothed = (self.toxic[at].astype(float) + CONCENTRATION * share) / (self.all[at].astype(float) + CONCENTRATION)
+            share = np.where(self.keys[at] == key, smoothed, share)
+        share = np.clip(share, LEAST_SHARE, 1 - LEAST_SHARE)
+        return np.log(share / (1 - share)) - math.log(self.share / (1 - self.share)) - DRIFT
+
     def score(self, word: str) -> float:
-        share = self.share
-        own = np.array(keys(word), np.int64)[::-1]
-        for key, at in zip(own.tolist(), np.searchsorted(self.keys, own).tolist(), strict=True):
-            if at < len(self.keys) and self.keys[at] == key:
-                share = (float(self.toxic[at]) + CONCENTRATION * share) / (float(self.all[at]) + CONCENTRATION)
-        share = min(max(share, LEAST_SHARE), 1 - LEAST_SHARE)
-        return math.log(share / (1 - share)) - math.log(self.share / (1 - self.share)) - DRIFT
+        return float(self.scores([word])[0])
 
     def evidence(self, score: float, size: int) -> float:
         """A segment's surprise: minus the logarithm of how many as good chance gives."""
@@ -123,8 +130,26 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, x))))
 
 
-def scores_of(model: Model, known: dict, text: str) -> np.ndarray:
-    return np.array([known[w] for w in tokens(text)])
+class Scorer:
+    """Scores of the words of texts; words met lately are remembered in two generations, so
+    that what is in use survives when the older one goes."""
+
+    def __init__(self, model: Model, limit: int = 200_000):
+        self.model, self.limit = model, limit
+        self.young: dict[str, float] = {}
+        self.old: dict[str, float] = {}
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        found = [tokens(text) for text in texts]
+        new = set().union(*found) - self.young.keys()
+        if len(self.young) + len(new) > self.limit:
+            self.old, self.young = self.young, {}
+            new = set().union(*found)
+        unknown = [word for word in new if word not in self.old]
+        self.young.update((word, self.old[word]) for word in new if word in self.old)
+        self.young.update(zip(unknown, self.model.scores(unknown).tolist(), strict=True))
+        known = self.young.__getitem__
+        return [np.fromiter(map(known, words), float, len(words)) for words in found]
 
 
 def fitting_rows(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text: str, label: str, most: int) -> DataFrame:
@@ -142,9 +167,9 @@ def fitting_rows(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str
     return staged(picked.select("text", "label", part.alias("part")), "labelled")
 
 
-def count_keys(rows: DataFrame, most: int = MAX_KEYS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+def count_keys(rows: DataFrame, most: int = MAX_KEYS) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int] | None:
     """Keys in order, their tokens in toxic documents and in all; both sums over all words.
-    Counted exactly; the driver gets at most `most` keys."""
+    Counted exactly; None if there are more than `most` keys, so that the driver gets no more."""
 
     def passed_on(counts: dict) -> pa.RecordBatch:
         found = [(k, n == 0, toxic, clean + toxic) for word, (clean, toxic) in counts.items() for n, k in zip(LENGTHS, keys(word), strict=True)]
@@ -166,10 +191,9 @@ def count_keys(rows: DataFrame, most: int = MAX_KEYS) -> tuple[np.ndarray, np.nd
     found = rows.select("text", "label").mapInArrow(run, "key long, whole boolean, toxic long, every long")
     found = staged(found.groupBy("key", "whole").agg(F.sum("toxic").alias("toxic"), F.sum("every").alias("every")), "counts")
     sums = found.where("whole").agg(F.sum("toxic"), F.sum("every")).first()
-    bound = 1
-    while found.where(F.col("every") >= bound).count() > most:
-        bound *= 2
-    table = found.where(F.col("every") >= bound).select("key", "toxic", "every").toArrow()
+    if found.count() > most:
+        return None
+    table = found.select("key", "toxic", "every").toArrow()
     order = np.argsort(key := table["key"].to_numpy())
     toxic, every = (table[c].to_numpy()[order].astype(np.float32) for c in ("toxic", "every"))
     return key[order], toxic, every, sums[0] or 0, sums[1] or 0
@@ -180,9 +204,9 @@ def extreme_value_law(model: Model, rows: DataFrame) -> Model:
     token's mean exponential score is one, then the rate by maximum likelihood."""
 
     def run(batches: Iterator) -> Iterator:
-        known = Memo(model.score, 200_000)
+        scorer = Scorer(model)
         for batch, texts in text_batches(batches):
-            found = [scores_of(model, known, t) for t in texts]
+            found = scorer(texts)
             best = [max((s for _, _, s in segments(f)), default=0.0) for f in found]
             bins = [np.unique(np.round(f * 20).astype(np.int64), return_counts=True) for f in found]
             yield pa.RecordBatch.from_arrays(
@@ -209,9 +233,9 @@ def curve(model: Model, rows: DataFrame) -> Model:
     """The logistic curve from joint evidence to probability, by Newton steps on a histogram."""
 
     def run(batches: Iterator) -> Iterator:
-        known = Memo(model.score, 200_000)
+        scorer = Scorer(model)
         for batch, texts in text_batches(batches):
-            x = [math.log1p(sum(p[3] for p in model.passages(scores_of(model, known, t)))) for t in texts]
+            x = [math.log1p(sum(p[3] for p in model.passages(found))) for found in scorer(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(np.round(x, 2))], ["label", "x"])
 
     table = rows.select("text", "label").mapInArrow(run, "label int, x double").groupBy("label", "x").count().toArrow()
@@ -227,11 +251,17 @@ def curve(model: Model, rows: DataFrame) -> Model:
     return Model(model.share, model.keys, model.toxic, model.all, model.decay, model.rate, float(max(theta[1], 0.0)), float(theta[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MAX_FIT_DOCS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text", label: str = "toxic", most: int = MAX_FIT_DOCS, most_keys: int = MAX_KEYS) -> Model:
     """Fit on labelled documents for which `usable`, a condition on `id`, holds; at most
-    `most` of them. Without labels of both kinds every text gets the same score."""
+    `most` of them, halved until they hold at most `most_keys` words and beginnings. Without labels of both kinds every text gets the same score."""
     rows = fitting_rows(docs, labels, usable, id_col, text, label, most)
-    known, toxic, every, n_toxic, n_all = count_keys(rows.where("part = 0"))
+    counts = count_keys(rows.where("part = 0"), most_keys)
+    while counts is None:
+        # documents are taken in the order of their ids' hashes, so reruns agree
+        most = (most + 1) // 2 if most > 1 else 0
+        rows = fitting_rows(docs, labels, usable, id_col, text, label, most)
+        counts = count_keys(rows.where("part = 0"), most_keys)
+    known, toxic, every, n_toxic, n_all = counts
     share = min(max(n_toxic / max(n_all, 1), 1e-4), 1 - 1e-4)
     model = Model(share, known, toxic, every, 1.0, 1.0, 0.0, 0.0)
     held = rows.where("part = 1")
@@ -250,9 +280,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
 
     def run(batches: Iterator) -> Iterator:
         model = held.value
-        known = Memo(model.score, 300_000)
+        scorer = Scorer(model)
         for batch, texts in text_batches(batches):
-            found = [model.passages(scores_of(model, known, t)) for t in texts]
+            found = [model.passages(scores) for scores in scorer(texts)]
             fields = ("first", "end", "score", "evidence")
             spans = pa.array([[dict(zip(fields, p, strict=True)) for p in f] for f in found], PASSAGES)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.probability(f) for f in found], pa.float64()), spans], ["id", "score", "passages"])
