@@ -3,8 +3,10 @@ import datetime as dt
 from helpers import lines_of
 from pyspark.sql import functions as F
 
+from tslines import session
 from tslines.operators.decode import explode_lines
 from tslines.operators.encode import encode_frame
+from tslines.session import sql_conf
 from tslines.streaming import streams
 
 FRAME = "host string, v bigint, ts bigint"
@@ -54,6 +56,55 @@ def test_replayed_epoch_leaves_one_result(spark, tmp_path):
     assert spark.read.parquet(paths[0]).count() == 1
 
 
+def test_files_in_blocks_give_what_whole_files_give(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    settings = {"spark.sql.files.maxPartitionBytes": "400", "spark.sql.files.openCostInBytes": "0"}
+    breaks = "".join(f'm s="{i}\n, \\"x\\" m v=1i\n",v={i}i {i}\n# no\n\n' for i in range(20))
+    texts = {"a b.lp": "m v=1i 1\r\nm v=2.5 2\nbad\n", "c.lp": breaks, "empty.lp": "", "d.lp": "m v=3i 3"}
+    for name, text in texts.items():
+        (source / name).write_bytes(text.encode())
+    known = spark.createDataFrame([("m", "v", "i"), ("m", "s", "s")], "measurement string, key string, type string")
+    seen = {}
+    for kind in ("whole", "blocks"):
+        paths = [str(tmp_path / f"{kind}-{n}") for n in ("points", "rejects", "cp")]
+        with sql_conf(spark, settings):
+            if kind == "whole":
+                writer = streams.ingest_stream(streams.read_bodies_stream(spark, str(source)), known, *paths, multiline=True)
+            else:
+                names = streams.read_names_stream(spark, str(source), bytes_per_trigger=1)
+                writer = streams.ingest_names_stream(names, known, *paths, multiline=True)
+            streams.run_available(writer)
+        points = spark.read.parquet(paths[0]).select("time_ns", "fields", F.substring_index("seq.source", "/", -1), "seq.line", "epoch").collect()
+        rejects = spark.read.parquet(paths[1]).collect()
+        epochs = {r.epoch for r in points}
+        seen[kind] = (sorted(map(str, (r[:4] for r in points))), sorted((r.source.split("/")[-1], r.line, r.message, r.original_line) for r in rejects))
+        assert len(epochs) == (1 if kind == "whole" else 3)  # the empty file's epoch has no points
+    assert seen["whole"] == seen["blocks"]
+    assert len(seen["blocks"][0]) == 22 and [r[1] for r in seen["blocks"][1]] == [2, 3]
+
+
+def test_names_of_files_are_read_without_their_content(spark, tmp_path):
+    names = streams.read_names_stream(spark, str(tmp_path))
+    assert names.isStreaming and names.columns == ["path", "length"]
+
+
+def test_an_epoch_of_blocks_leaves_nothing_staged_and_replays(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "scratch").mkdir()
+    (tmp_path / "in" / "a.lp").write_text("m v=1i 1\nm v=x 2\n")
+    # Spark's source expands such a name and lists other files of the epoch twice
+    (tmp_path / "in" / "c[1]{x}*.lp").write_text("m v=3i 3")
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path / "scratch"))
+    paths = [str(tmp_path / n) for n in ("points", "rejects")]
+    for checkpoint in ("cp1", "cp2"):
+        names = streams.read_names_stream(spark, str(tmp_path / "in"))
+        streams.run_available(streams.ingest_names_stream(names, types(spark), *paths, str(tmp_path / checkpoint)))
+    assert sorted(r.time_ns for r in spark.read.parquet(paths[0]).collect()) == [1, 3]
+    assert [r.line for r in spark.read.parquet(paths[1]).collect()] == [2]
+    assert list((tmp_path / "scratch").iterdir()) == []
+
+
 def test_exact_replays_are_dropped_and_changes_pass(spark, tmp_path):
     schema = "host string, time timestamp, v bigint"
     at = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)

@@ -55,6 +55,29 @@ def stream_ingest(t: Tables) -> DataFrame:
     return to_measurement(stored, "events", EVENT_TAGS, _EVENT_FIELDS).drop("time")
 
 
+@named("stream_blocks", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def stream_blocks(t: Tables) -> DataFrame:
+    """Files of whole texts with line breaks, read in blocks; one file to an epoch, and the
+    last epoch runs twice."""
+    source, points, rejects, checkpoint = streams.stream_paths(
+        t.spark, "lp", "points", "rejects", "checkpoint"
+    )
+    write_lines(encode_frame(t.documents, "documents", ["lang", "source"]).repartition(2), source)
+    kinds = {"lang": "tag", "source": "tag", "doc_id": "i", "text": "s", "n_chars": "i"}
+    types = t.spark.createDataFrame(
+        [("documents", k, kind) for k, kind in kinds.items()], "measurement string, key string, type string"
+    )
+    names = streams.read_names_stream(t.spark, source, bytes_per_trigger=1)
+    streams.run_available(
+        streams.ingest_names_stream(names, types, points, rejects, checkpoint, multiline=True)
+    )
+    stored = t.spark.read.parquet(points)
+    last = stored.where("epoch = 1").select(F.col("seq.source").alias("path")).distinct()
+    streams.names_writer(types, points, rejects, multiline=True)(last, 1)
+    wide = to_measurement(t.spark.read.parquet(points), "documents", ["lang", "source"], {"doc_id": "i", "text": "s", "n_chars": "i"})
+    return wide.select("doc_id", "text", "lang", "source", "n_chars")
+
+
 @named(
     "stream_rejects",
     f"""SELECT 'type conflict on value' AS message, 'events,event_type=' || event_type

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -25,6 +26,7 @@ RUNTIME_CONF = {
 
 _local_scratch: dict[str, str] = {}
 _shipped: set[str] = set()
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -92,8 +94,26 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch folder."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch folder, or below that of the `scratch_run` around it."""
+    root = _run_folder.get() or scratch_root(spark)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """Give what a block stages a folder of its own and delete it at the end.
+
+    For jobs that run again and again. Whatever is to stay must be written elsewhere inside
+    the block; a frame over staged tables cannot be read after it.
+    """
+    folder = scratch_path(spark, "run")
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df, name: str = "stage"):

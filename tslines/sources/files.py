@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -81,29 +82,51 @@ def read_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of files of any size as `(batch_id, line, lp)`, numbered from 1 in each file.
+    """Lines of files of any size as `(batch_id, line, lp)`, numbered from 1 in each file."""
+    files = _numbered_files(spark, path)
+    lines = _lines_of_blocks(spark, path).withColumnRenamed("file", "__file")
+    return _numbered(_with_file_number(lines, files), "batch_id")
 
-    Spark reads a file in blocks, each by one task in order. The lines are written once
-    with their place in the task; the count per block, one row per block, then gives the
-    number of the first line of every block. No sort and no shuffle of the lines.
+
+def read_named_lines(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
+    """Lines of the files of that name, of any size, as `(file, line, lp)`.
+
+    Names are taken as they are, without patterns; a file may be missing from the result
+    only when it holds no line.
     """
-    files = _numbered_files(spark, path)
-    lines = spark.read.text(path, lineSep="\n").select(
-        F.col("_metadata.file_path").alias("__file"),
+    exact = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in sorted(set(paths))]
+    if multiline:
+        return read_logical_lines(spark, exact)
+    return _numbered(_lines_of_blocks(spark, exact), "file")
+
+
+def _lines_of_blocks(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with their file, their block of it and their place in the task."""
+    return spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__id"),
         end_of_line(F.col("value")).alias("lp"),
     )
-    stored = staged(_with_file_number(lines, files), "lines")
-    blocks = stored.groupBy("batch_id", "__block").agg(
+
+
+def _numbered(lines: DataFrame, file: str) -> DataFrame:
+    """`(file, line, lp)`, numbered from 1 in each file.
+
+    Spark reads a file in blocks, each by one task in order. The lines are written once
+    with their place in the task; the count per block, one row per block, then gives the
+    number of the first line of every block. No sort and no shuffle of the lines.
+    """
+    stored = staged(lines, "lines")
+    blocks = stored.groupBy(file, "__block").agg(
         F.count("*").alias("n"), F.min("__id").alias("__first")
     )
-    before = Window.partitionBy("batch_id").orderBy("__block").rowsBetween(
+    before = Window.partitionBy(file).orderBy("__block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = staged(
         blocks.select(
-            "batch_id",
+            file,
             "__block",
             "__first",
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"),
@@ -112,8 +135,8 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     if is_small(starts, MAX_BROADCAST_FILES):
         starts = F.broadcast(starts)
-    return stored.join(starts, ["batch_id", "__block"]).select(
-        "batch_id", (F.col("__start") + F.col("__id") - F.col("__first") + 1).alias("line"), "lp"
+    return stored.join(starts, [file, "__block"]).select(
+        file, (F.col("__start") + F.col("__id") - F.col("__first") + 1).alias("line"), "lp"
     )
 
 

@@ -130,7 +130,7 @@ def block_starts(followed: DataFrame) -> DataFrame:
     return placed.select("file", "block", "state", "lines_before", "pieces_before", open_at.alias("open_at"))
 
 
-def read_logical_lines(spark: SparkSession, path: str, max_broadcast: int = 200_000) -> DataFrame:
+def read_logical_lines(spark: SparkSession, path: str | list[str], max_broadcast: int = 200_000) -> DataFrame:
     """(file, line, lp) of all lines below a path, numbered from 1 in each file, breaks inside of
     strings kept. A string that its file never closes ends with its own line, as do names and
     tag values with a break. Equal to `decode.split_body(multiline=True)` over whole files."""

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tslines.model import Precision
-from tslines.operators.decode import explode_lines, parse_lines
+from tslines.operators.decode import explode_lines, has_point, parse_lines
 from tslines.operators.ingest import judge, last_write_wins, last_write_wins_points, rejects
-from tslines.session import scratch_path
+from tslines.session import scratch_path, scratch_run, staged
+from tslines.sources.files import read_named_lines
 from tslines.sources.sinks import write_measurement
 
 
@@ -48,6 +49,26 @@ def read_bodies(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("body"))
 
 
+def read_names_stream(
+    spark: SparkSession, path: str, files_per_trigger: int = 1000, bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """New files by name and size `(path, length)`, for files of any size; no content is read.
+
+    An epoch takes up to `files_per_trigger` files or, if given, as many as hold
+    `bytes_per_trigger`, one at least.
+    """
+    reader = spark.readStream.format("binaryFile").schema(_NAMES)
+    if bytes_per_trigger is None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    return reader.load(path).select("path", "length")
+
+
+# What Spark's reader of whole files gives; the content column is pruned.
+_NAMES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def epoch_writer(
     types: DataFrame,
     points_path: str,
@@ -60,23 +81,56 @@ def epoch_writer(
     def write(epoch: DataFrame, epoch_id: int) -> None:
         number = F.lit(epoch_id).cast("bigint")
         lines = explode_lines(epoch, multiline, "source").withColumn("batch_id", number)
-        judged = judge(parse_lines(lines, precision), types).withColumn(
-            "seq", F.struct(number.alias("epoch"), "source", "line")
-        )
+        judged = _judge_epoch(lines, number, types, precision)
         judged.persist()
         try:
-            good = judged.where(F.col("reject").isNull())
-            good.select("measurement", "tags", "fields", "time_ns", "seq").write.mode(
-                "overwrite"
-            ).parquet(f"{points_path}/epoch={epoch_id}")
-            bad = rejects(judged, ["source"])
-            bad.write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch_id}")
+            _write_epoch(judged, epoch_id, points_path, rejects_path)
         finally:
             judged.unpersist()
 
     return write
 
 
+def names_writer(
+    types: DataFrame,
+    points_path: str,
+    rejects_path: str,
+    precision: Precision | str = Precision.NS,
+    multiline: bool = False,
+) -> Callable[[DataFrame, int], None]:
+    """What `ingest_names_stream` does with the files of one epoch.
+
+    Their names, bounded by what an epoch takes, go through the driver to a reader that cuts
+    files into blocks. Judged lines are written to the shared folder once, for both
+    outputs, and deleted with all else the epoch staged.
+    """
+
+    def write(epoch: DataFrame, epoch_id: int) -> None:
+        spark = epoch.sparkSession
+        number = F.lit(epoch_id).cast("bigint")
+        paths = [r["path"] for r in epoch.select("path").distinct().collect()]
+        with scratch_run(spark):
+            named = read_named_lines(spark, paths, multiline).withColumnRenamed("file", "source")
+            lines = named.where(has_point(F.col("lp"))).withColumn("batch_id", number)
+            judged = staged(_judge_epoch(lines, number, types, precision), "judged")
+            _write_epoch(judged, epoch_id, points_path, rejects_path)
+
+    return write
+
+
+def _judge_epoch(lines: DataFrame, number: Column, types: DataFrame, precision: Precision | str) -> DataFrame:
+    order = F.struct(number.alias("epoch"), "source", "line")
+    return judge(parse_lines(lines, precision), types).withColumn("seq", order)
+
+
+def _write_epoch(judged: DataFrame, epoch_id: int, points_path: str, rejects_path: str) -> None:
+    good = judged.where(F.col("reject").isNull())
+    good = good.select("measurement", "tags", "fields", "time_ns", "seq")
+    good.write.mode("overwrite").parquet(f"{points_path}/epoch={epoch_id}")
+    bad = rejects(judged, ["source"])
+    bad.write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch_id}")
+
+
 def ingest_stream(
     bodies: DataFrame,
     types: DataFrame,
@@ -97,6 +151,24 @@ def ingest_stream(
     return bodies.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def ingest_names_stream(
+    names: DataFrame,
+    types: DataFrame,
+    points_path: str,
+    rejects_path: str,
+    checkpoint: str,
+    precision: Precision | str = Precision.NS,
+    multiline: bool = False,
+) -> DataStreamWriter:
+    """`ingest_stream` for files of any size, given by `read_names_stream`.
+
+    A file is read in blocks by many tasks, and no row holds more than one line. Rows,
+    write order and replays are those of `ingest_stream`; a file belongs to one epoch.
+    """
+    write = names_writer(types, points_path, rejects_path, precision, multiline)
+    return names.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
 def drop_replays(
     rows: DataFrame, keys: list[str], payload: list[str], time: str = "time", delay: str = "1 hour"
 ) -> DataFrame:
