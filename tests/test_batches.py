@@ -117,3 +117,14 @@ def test_layout_prunes_row_groups_and_splits_a_hot_tag(spark, tmp_path):
     assert files >= 3
     plan = stored.where("host = 'h7' and time_ns >= 100")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(host,h7)" in plan and "GreaterThanOrEqual(time_ns,100)" in plan
+
+
+def test_payloads_follow_the_threshold_of_the_options(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("a" * 50, 2)], "t string, ts bigint").coalesce(1)
+    for threshold, zipped in ((None, [False, False]), (20, [False, True]), (0, [True, True])):
+        out = str(tmp_path / str(threshold))
+        write_frame(df, out, "m", [], "ts", WriteOptions(batch_size=1, gzip_threshold=threshold), layout="payloads")
+        rows = spark.read.parquet(out).orderBy("batch_id").collect()
+        assert [r.gzipped for r in rows] == zipped
+        texts = [gzip.decompress(r.payload) if r.gzipped else bytes(r.payload) for r in rows]
+        assert texts == [b'm t="a" 1', b'm t="' + b"a" * 50 + b'" 2']

@@ -50,8 +50,8 @@ def test_commas_spaces_and_breaks_inside_strings(spark):
 
 
 def test_escaped_names(spark):
-    row = parse(spark, r"meas\,\ name,key\ with\ space=val\=1 a\,b=1i")[0]
-    assert (row.measurement, row.tags) == ("meas, name", {"key with space": "val=1"})
+    row = parse(spark, r"a\ b\,c,x\ y\=z=1\,\ 2 a\,b=1i")[0]
+    assert (row.measurement, row.tags) == ("a b,c", {"x y=z": "1, 2"})
     assert plain(row.fields) == {"a,b": 1}
 
 

@@ -17,12 +17,12 @@ def encode(spark, rows, schema, *args, **kwargs):
 def test_types_escapes_and_time_pass_through(spark):
     got = encode(
         spark,
-        [("srv,1", 'say "hi"', 42.5, 8192, True, 1700000000000)],
-        "host string, msg string, cpu_pct double, mem_mb bigint, online boolean, ts bigint",
-        "m,name", ["host"], "ts", "ms",
+        [("dock,7", 'the "old" pier', 0.125, -31, False, 1234567890123)],
+        "berth string, note string, draught double, tide bigint, open boolean, ts bigint",
+        "port,north", ["berth"], "ts", "ms",
     )
     assert got == [
-        r'm\,name,host=srv\,1 msg="say \"hi\"",cpu_pct=42.5,mem_mb=8192i,online=true 1700000000000'
+        r'port\,north,berth=dock\,7 note="the \"old\" pier",draught=0.125,tide=-31i,open=false 1234567890123'
     ]
 
 

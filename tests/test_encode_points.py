@@ -24,14 +24,14 @@ def one_line(spark, row, **options):
 
 def test_every_value_type_in_field_order_with_sorted_tags(spark):
     row = point(
-        "sensor",
-        {"room": "kitchen", "floor": "1"},
-        {"temp": 21.0, "hum": 65, "co2": (800, "u"), "on": True, "label": "morning"},
-        1_700_000_000_000_000_000,
+        "loom",
+        {"shed": "east", "row": "9"},
+        {"pull": 3.5, "picks": -12, "knots": (77, "u"), "idle": False, "yarn": "wool"},
+        1_234_567_890_000_000_001,
     )
     assert one_line(spark, row) == (
-        'sensor,floor=1,room=kitchen temp=21.0,hum=65i,co2=800u,on=true,label="morning"'
-        " 1700000000000000000"
+        'loom,row=9,shed=east pull=3.5,picks=-12i,knots=77u,idle=false,yarn="wool"'
+        " 1234567890000000001"
     )
 
 
@@ -51,9 +51,9 @@ def test_point_without_fields_can_be_rejected(spark):
 
 
 def test_escapes(spark):
-    row = point("meas, name", {"key with space": "val=1"}, {"msg": 'say "hi" \\path'})
+    row = point("a b,c", {"x y=z": "1, 2"}, {"t": 'q "r" \\s'})
     assert one_line(spark, row) == (
-        r"meas\,\ name,key\ with\ space=val\=1 " + r'msg="say \"hi\" \\path"'
+        r"a\ b\,c,x\ y\=z=1\,\ 2 " + r't="q \"r\" \\s"'
     )
 
 

@@ -4,6 +4,7 @@ import pytest
 from helpers import point, points
 from pyspark.sql import functions as F
 
+from tslines.model import WriteOptions
 from tslines.operators import ingest
 from tslines.operators.decode import parse_bodies, to_measurement
 from tslines.operators.ingest import (
@@ -18,7 +19,7 @@ from tslines.operators.ingest import (
     wide_schema,
 )
 from tslines.sources.files import bodies_from_text
-from tslines.sources.sinks import write_judged
+from tslines.sources.sinks import write_judged, write_parsed
 
 CONFLICT = 'home,room=Sunroom temp=96 1735545600\nhome,room=Sunroom temp="hi" 1735549200'
 
@@ -159,15 +160,24 @@ def test_assigned_time_is_one_constant(spark):
 
 
 def test_end_to_end(spark, tmp_path):
-    text = 't,location=k temp=15.5,index=80i,uindex=800u,valid=true,testId=17i,text="a1" 17\nt temp=oops'
+    text = 't,pit=k dust=1.5,cars=-3i,tons=40u,wet=false,shift=2i,note="b" 17\nt dust=oops'
     judged = judge(parse_bodies(bodies_from_text(spark, [text])))
     write_judged(judged, str(tmp_path / "p"), str(tmp_path / "r"))
     stored = spark.read.parquet(str(tmp_path / "p"))
     tags, fields = wide_schema(learn_types(stored), "t")
     row = to_measurement(stored, "t", tags, fields).drop("time").first().asDict()
-    assert row == {"time_ns": 17, "location": "k", "temp": 15.5, "index": 80, "uindex": 800,
-                   "valid": True, "testId": 17, "text": "a1"}
-    assert spark.read.parquet(str(tmp_path / "r")).first().message == "invalid value of field temp"
+    assert row == {"time_ns": 17, "pit": "k", "dust": 1.5, "cars": -3, "tons": 40,
+                   "wet": False, "shift": 2, "note": "b"}
+    assert spark.read.parquet(str(tmp_path / "r")).first().message == "invalid value of field dust"
+
+
+def test_one_write_call_honours_partial_acceptance(spark, tmp_path):
+    parsed = parse_bodies(bodies_from_text(spark, ["m v=1i 1\nm v=x 2", "m v=3i 3"]))
+    for partial, kept in ((True, [1, 3]), (False, [3])):
+        paths = str(tmp_path / f"p{partial}"), str(tmp_path / f"r{partial}")
+        write_parsed(parsed, *paths, WriteOptions(accept_partial=partial))
+        assert sorted(r.time_ns for r in spark.read.parquet(paths[0]).collect()) == kept
+        assert spark.read.parquet(paths[1]).count() == 3 - len(kept)
 
 
 def test_own_clash_is_refused_and_stores_nothing(spark, monkeypatch):

@@ -11,7 +11,7 @@ PARTIAL = json.dumps(
     {
         "error": "partial write of line protocol occurred",
         "data": [
-            {"line_number": 2, "error_message": "invalid field value", "original_line": "bad line"},
+            {"line_number": 7, "error_message": "no such unit", "original_line": "m v=1q"},
             {"line_number": 3}, {"error_message": "no number"},
             {"line_number": 9, "error_message": "later"},
         ],
@@ -77,10 +77,10 @@ def test_line_errors_and_summary(spark):
     rows = [(1, 0, 400, None, None, PARTIAL), (2, 0, 204, None, None, PARTIAL), (3, 0, 400, None, None, '{"error":"x"}')]
     errors = outcomes.line_errors(spark.createDataFrame(rows, RESPONSES))
     assert [tuple(r) for r in errors.orderBy("place").collect()] == [
-        (1, 0, 2, "invalid field value", "bad line"), (1, 3, 9, "later", None),
+        (1, 0, 7, "no such unit", "m v=1q"), (1, 3, 9, "later", None),
     ]
     assert [tuple(r) for r in outcomes.partial_summary(errors).collect()] == [
-        (1, 2, "partial write: 2 line(s) rejected; first error: invalid field value")
+        (1, 2, "partial write: 2 line(s) rejected; first error: no such unit")
     ]
     bare = spark.createDataFrame([*rows, (4, 0, 400, None, None, '{"error":"partial write of line protocol occurred","data":[]}')], RESPONSES)
     assert sorted(tuple(r)[:2] for r in outcomes.partial_summary(errors, responses=bare).collect()) == [(1, 2), (4, 0)]

@@ -109,8 +109,9 @@ DEFAULT_GZIP_THRESHOLD = 1_024
 class WriteOptions:
     """Settings of one write.
 
-    `default_tags` and `tag_order` act on points only; frames use precision and batch
-    size; raw text uses none of them.
+    `default_tags` and `tag_order` act on points only, precision and batch size on points
+    and frames, `gzip_threshold` on stored payloads and on delivery, `max_inflight` on
+    delivery, and `accept_partial` on parsed text (`sinks.write_parsed`).
     """
 
     precision: Precision = Precision.NS

@@ -144,6 +144,21 @@ def sink_bodies(t: Tables) -> DataFrame:
     return stored.select(F.explode(split_body(F.col("body"))).alias("lp"))
 
 
+@named(
+    "sink_payloads",
+    f"SELECT lp, octet_length(encode(lp)) > 100 AS gzipped FROM (SELECT {EVENT_LINE} AS lp FROM events)",
+)
+def sink_payloads(t: Tables) -> DataFrame:
+    """A frame written as the bytes to send, one line to a body, compressed over 100 bytes."""
+    path = scratch_path(t.spark, "payloads")
+    options = WriteOptions(batch_size=1, gzip_threshold=100)
+    write_frame(t.events, path, "events", EVENT_TAGS, "ts", options, layout="payloads")
+    stored = t.spark.read.parquet(path)
+    zipped = stored.where("gzipped").select(F.decode(_unzip("payload"), "UTF-8").alias("lp"), "gzipped")
+    plain = stored.where("not gzipped").select(F.decode("payload", "UTF-8").alias("lp"), "gzipped")
+    return zipped.unionAll(plain)
+
+
 @named(
     "sink_files",
     "SELECT CAST(count(*) AS BIGINT) AS lines, true AS bounded FROM events",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tslines.model import WriteOptions
 from tslines.operators.decode import parse_lines
 from tslines.operators.ingest import (
     assign_time,
@@ -18,6 +19,8 @@ from tslines.operators.ingest import (
 from tslines.operators.points import points_from_frame
 from tslines.plans.registered.encoding import order_points
 from tslines.plans.registered.registry import Tables, named
+from tslines.session import scratch_path
+from tslines.sources.sinks import write_parsed
 
 # Every event is written twice; the second time with a new value, or none, and new text.
 _WRITES = """SELECT user_id, date_trunc('hour', ts) AS hour, event_id AS seq, value, props FROM events
@@ -182,6 +185,23 @@ def ing_all_or_nothing(t: Tables) -> DataFrame:
     return _kept(judged.where("reject is null"))
 
 
+@named(
+    "ing_write_call",
+    f"""{_KEPT}, CAST(NULL AS VARCHAR) AS message FROM {_JUDGED_BY_3} WHERE batch_id NOT IN
+        (SELECT batch_id FROM {_JUDGED_BY_3} WHERE bad)
+        UNION ALL SELECT batch_id, line, NULL, NULL, CASE WHEN bad THEN 'type conflict on value'
+        ELSE 'batch holds a rejected line' END FROM {_JUDGED_BY_3} WHERE batch_id IN
+        (SELECT batch_id FROM {_JUDGED_BY_3} WHERE bad)""",
+)
+def ing_write_call(t: Tables) -> DataFrame:
+    """Text to both tables in one call whose options turn down whole batches."""
+    points, bad = scratch_path(t.spark, "points"), scratch_path(t.spark, "rejects")
+    write_parsed(mixed_lines(t, 3), points, bad, WriteOptions(accept_partial=False))
+    kept = _kept(t.spark.read.parquet(points)).withColumn("message", F.lit(None).cast("string"))
+    refused = t.spark.read.parquet(bad).select("batch_id", "line", "message")
+    return kept.unionByName(refused, allowMissingColumns=True)
+
+
 @named("ing_stored_types", f"{_KEPT} FROM {_JUDGED} WHERE kind = 'f'")
 def ing_stored_types(t: Tables) -> DataFrame:
     """Types stored earlier win over what comes first now."""

@@ -12,7 +12,7 @@ from pyspark.sql.types import BinaryType
 from tslines.model import DEFAULT_GZIP_THRESHOLD, WriteOptions
 from tslines.operators.batches import compresses, local_bodies
 from tslines.operators.encode import check_newlines, encode_frame, encode_points
-from tslines.operators.ingest import accepted, rejects
+from tslines.operators.ingest import accepted, judge, rejects
 from tslines.session import staged
 
 
@@ -35,7 +35,8 @@ def write_points(
     """Encode points and store them; `on_newline` is explained at `encode.line_fault`.
 
     `layout='bodies'` writes a Parquet table of bodies, many to a file, each with at most
-    `batch_size` lines; `layout='files'` writes text with one file per batch.
+    `batch_size` lines; `layout='payloads'` writes the bytes to send instead, compressed when
+    a body is over `gzip_threshold`; `layout='files'` writes text with one file per batch.
     """
     _store(check_newlines(encode_points(points, options), on_newline), path, options, layout)
 
@@ -51,7 +52,7 @@ def write_frame(
     on_newline: str = "names",
     **encode,
 ) -> None:
-    """Encode a frame and store it; of the options only precision and batch size apply."""
+    """Encode a frame and store it; default tags and tag order do not apply."""
     lines = encode_frame(df, measurement, tags, timestamp_column, options.precision, **encode)
     _store(check_newlines(lines, on_newline), path, options, layout)
 
@@ -59,10 +60,13 @@ def write_frame(
 def _store(lines: DataFrame, path: str, options: WriteOptions, layout: str) -> None:
     if layout == "bodies":
         local_bodies(lines, options.batch_size).write.parquet(path)
+    elif layout == "payloads":
+        packed = pack_bodies(local_bodies(lines, options.batch_size), options.gzip_threshold)
+        packed.drop("body").write.parquet(path)
     elif layout == "files":
         write_lines(lines, path, options.batch_size)
     else:
-        raise ValueError(f"layout must be 'bodies' or 'files', not {layout!r}")
+        raise ValueError(f"layout must be 'bodies', 'payloads' or 'files', not {layout!r}")
 
 
 @F.pandas_udf(BinaryType())
@@ -115,5 +119,20 @@ def write_judged(judged: DataFrame, points_path: str, rejects_path: str) -> None
     rejects(stored).write.parquet(rejects_path)
 
 
+def write_parsed(
+    parsed: DataFrame,
+    points_path: str,
+    rejects_path: str,
+    options: WriteOptions = WriteOptions(),
+    types: DataFrame | None = None,
+) -> None:
+    """Parsed lines to accepted points and rejected lines in one call.
+
+    Without `types` the first type written counts. `accept_partial=False` in the options
+    turns a whole batch down for one bad line; no other option acts on text.
+    """
+    write_judged(judge(parsed, types, options.accept_partial), points_path, rejects_path)
+
+
 def read_measurement(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
