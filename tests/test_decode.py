@@ -15,6 +15,7 @@ from tslines.operators.decode import (
 )
 from tslines.operators.encode import encode_points
 from tslines.operators.ingest import judge, learn_types, wide_schema
+from tslines.plans.registered import reading, registry
 from tslines.sources.files import bodies_from_text, read_lp, read_numbered_lines
 
 
@@ -256,3 +257,24 @@ def test_carriage_returns_mean_the_same_in_both_layouts(spark, tmp_path):
     assert plain(rows[0][1][3]) == {"s": "a\rb"}
     with pytest.raises(ValueError, match="too large"):
         read_lp(spark, str(tmp_path), max_whole_file=3)
+
+
+def test_files_too_large_to_be_read_whole_are_read_in_blocks(spark, tmp_path):
+    (tmp_path / "a.lp").write_bytes(b'm v=1i\r\n\nm s="a\nb" 30\nbad')
+    for multiline in (False, True):
+        want = read_lp(spark, str(tmp_path), multiline=multiline)
+        for size in (3, 1 << 20):
+            got = read_lp(spark, str(tmp_path), multiline=multiline, layout="auto", max_whole_file=size)
+            assert got.columns == want.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("name, per_file", [("lp_roundtrip_learned", 3000)])
+def test_round_trips_write_files_of_bounded_size(spark, sf_dir, monkeypatch, name, per_file):
+    read, kept = reading.read_lp, []
+    monkeypatch.setattr(reading, "_LINES_PER_FILE", per_file, raising=False)
+    monkeypatch.setattr(reading, "read_lp", lambda spark, path, *a, **k: kept.append(path) or read(spark, path, *a, **k))
+    getattr(reading, name)(registry.Tables(spark, sf_dir))
+    files = spark.read.text(kept[0]).groupBy("_metadata.file_path").count().agg(F.max("count").alias("n"))
+    # a carriage return inside of a string counts as the end of a line here
+    assert files.first()["n"] <= 2 * per_file

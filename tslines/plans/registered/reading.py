@@ -26,6 +26,9 @@ from tslines.session import scratch_path
 from tslines.sources.files import read_csv, read_lp, read_parquet
 from tslines.sources.sinks import write_frame, write_lines
 
+# Files that are read whole hold about as many bytes as a large request body.
+_LINES_PER_FILE = 100_000
+
 _EVENT_FIELDS = {"event_id": "i", "value": "f", "props": "s"}
 
 _EVENT_COLUMNS = f"""event_id, event_type, CAST(user_id AS VARCHAR) AS user_id, value, props,
@@ -153,8 +156,8 @@ def lp_roundtrip_learned(t: Tables) -> DataFrame:
     """Columns and types of the wide table taken from the text itself; time in seconds."""
     path = scratch_path(t.spark, "lp")
     lines = encode_frame(t.lineitem, "lineitem", ["l_returnflag", "l_linestatus"], "l_shipdate", "s")
-    write_lines(lines, path)
-    parsed = read_lp(t.spark, path, "s")
+    write_lines(lines, path, _LINES_PER_FILE)
+    parsed = read_lp(t.spark, path, "s", layout="auto")
     tags, fields = wide_schema(learn_types(parsed), "lineitem")
     return to_measurement(parsed, "lineitem", tags, fields).drop("time")
 

@@ -151,20 +151,24 @@ def read_lp(
     """Parsed lines of line-protocol files; columns as `decode.parse_bodies` gives.
 
     One file is one batch. `layout='bodies'` reads files whole and fails on one larger than
-    `max_whole_file`; `layout='lines'` reads files of any size in blocks. Both cut, number
-    and judge lines alike, with `multiline` also those with breaks inside of strings.
+    `max_whole_file`; `layout='lines'` reads files of any size in blocks; `layout='auto'`
+    reads them whole if none is larger, else in blocks. All cut, number and judge lines
+    alike, with `multiline` also those with breaks inside of strings.
     """
-    if layout == "bodies":
+    if layout not in ("bodies", "lines", "auto"):
+        raise ValueError(f"layout must be 'bodies', 'lines' or 'auto', not {layout!r}")
+    if layout != "lines":
         sizes = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("n"))
         largest = sizes.first()["n"] or 0
-        if largest > max_whole_file:
+        if layout == "bodies" and largest > max_whole_file:
             raise ValueError(f"a file of {largest} bytes is too large to be read whole; use layout='lines'")
+        layout = "bodies" if largest <= max_whole_file else "lines"
+    if layout == "bodies":
         lines = explode_lines(read_bodies(spark, path), multiline)
-    elif layout != "lines":
-        raise ValueError(f"layout must be 'bodies' or 'lines', not {layout!r}")
     elif multiline:
         named = read_logical_lines(spark, path).withColumnRenamed("file", "__file")
         lines = _with_file_number(named, _numbered_files(spark, path)).where(has_point(F.col("lp")))
+        lines = lines.select("batch_id", "line", "lp")
     else:
         lines = read_numbered_lines(spark, path).where(has_point(F.col("lp")))
     order = F.struct(F.col("batch_id").alias("batch"), F.col("line").alias("line"))
