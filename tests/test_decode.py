@@ -269,7 +269,7 @@ def test_files_too_large_to_be_read_whole_are_read_in_blocks(spark, tmp_path):
             assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-@pytest.mark.parametrize("name, per_file", [("lp_roundtrip_learned", 3000)])
+@pytest.mark.parametrize("name, per_file", [("lp_roundtrip_learned", 3000), ("lp_roundtrip", 500), ("lp_crlf", 500)])
 def test_round_trips_write_files_of_bounded_size(spark, sf_dir, monkeypatch, name, per_file):
     read, kept = reading.read_lp, []
     monkeypatch.setattr(reading, "_LINES_PER_FILE", per_file, raising=False)

@@ -39,8 +39,8 @@ _EVENT_COLUMNS = f"""event_id, event_type, CAST(user_id AS VARCHAR) AS user_id,
 def lp_roundtrip(t: Tables) -> DataFrame:
     """Frame to text files and back to a wide table."""
     path = scratch_path(t.spark, "lp")
-    write_lines(event_lines(t), path)
-    parsed = read_lp(t.spark, path)
+    write_lines(event_lines(t), path, _LINES_PER_FILE)
+    parsed = read_lp(t.spark, path, layout="auto")
     return to_measurement(parsed, "events", EVENT_TAGS, _EVENT_FIELDS).drop("time")
 
 
@@ -62,7 +62,7 @@ def lp_crlf(t: Tables) -> DataFrame:
     """Lines that end in carriage return and line feed, with a lone return in a string."""
     lp = "concat('m,k=', event_type, ' v=', event_id, 'i,s=\"a\\rb\" ', event_id, '\\r')"
     path = scratch_path(t.spark, "lp")
-    write_lines(t.events.select(F.expr(lp).alias("lp")), path)
+    write_lines(t.events.select(F.expr(lp).alias("lp")), path, _LINES_PER_FILE)
 
     def read(layout: str) -> DataFrame:
         wide = to_measurement(read_lp(t.spark, path, layout=layout), "m", ["k"], {"v": "i", "s": "s"})
