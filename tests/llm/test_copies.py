@@ -206,3 +206,32 @@ def test_spanning_links_of_sets_reach_what_pairs_reach():
     links = similar.spanning_links(list(range(len(sets))), sets)
     assert len(links) == len(sets) - len(set(want))
     assert all(want[a] == want[b] for a, b in links)
+
+
+def test_seeded_prints_are_simhashes():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 4, 2500):
+        hashes = rng.integers(0, 1 << 63, n, np.uint64)
+        for seed, got in enumerate(simhash.seeded_prints(hashes, 3).view(np.uint8).reshape(3, 8), 1):
+            mixed = []
+            for h in hashes.tolist():
+                h = (h + seed * 0x9E3779B97F4A7C15) % 2**64
+                h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+                h = (h ^ h >> 27) * 0x94D049BB133111EB % 2**64
+                mixed.append((h ^ h >> 31).to_bytes(8, "little"))
+            bits = [sum(h[b // 8] >> (7 - b % 8) & 1 for h in mixed) for b in range(64)]
+            assert np.unpackbits(got).tolist() == [int(2 * c > n) for c in bits]
+
+
+def test_similar_texts_are_candidates_by_simhash(llm):
+    """Pairs of similarity just above 0.8 share a block and are close, other texts are not."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in (9, 45, 90, 450) * 25:
+        both, one, other = np.split(rng.integers(0, 1 << 63, n // 9 * 10, np.uint64), [n // 9 * 8, n])
+        sets += [np.concatenate([both, one]), np.concatenate([both, other])]
+    rows = [(i, len(s), simhash.seeded_prints(s, similar.PRINTS).view(np.int64).tolist()) for i, s in enumerate(sets)]
+    df = llm.createDataFrame(rows, "fp long, size long, prints array<long>")
+    for members in (1 << 12, 2):
+        links = {tuple(sorted(r)) for r in similar.candidates(df, members).collect()}
+        assert links == {(i, i + 1) for i in range(0, len(sets), 2)}

@@ -56,6 +56,21 @@ def fingerprint(text: str, width: int = WIDTH, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * total > n).tobytes(), "big")
 
 
+def seeded_prints(hashes: np.ndarray, count: int) -> np.ndarray:
+    """`count` independent SimHashes of the same shingles: a bit is set if it is in over half of
+    the hashes, which are mixed anew with each seed."""
+    seeds = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    total = np.zeros(BITS * count, np.int64)
+    for at in range(0, len(hashes), 1 << 10):
+        # the finish of splitmix64, so that every bit hangs on all bits of the hash
+        h = np.add.outer(hashes[at : at + (1 << 10)], seeds)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        total += np.unpackbits(h.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint16)
+    return np.packbits(2 * total > len(hashes)).view(np.uint64)
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, keep: list[Column] | None = None) -> DataFrame:
     """(id, fp) of every row, fp a signed long, after the columns `keep`."""
 

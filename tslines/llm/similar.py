@@ -1,11 +1,12 @@
-"""Near copies by the Jaccard similarity of their word shingles.
-
-Candidates come from MinHash: of `BANDS` keys, each made of `ROWS` independently seeded
-minima over a text's shingles, two texts of similarity s share none with probability
-(1 - s^ROWS)^BANDS, which is 2.5e-7 at s = 0.8 and less above. Keys met twice bring their
-texts' whole shingle sets together, and similarity is counted on these. Keys with the same
-members are compared once. Sets meet in tiles of bounded size, which give the links of a
-spanning forest and not all pairs, so the components are those of all similar pairs met.
+"""Near copies by SimHash, verified by the Jaccard similarity of their word shingles.
+
+A text has `PRINTS` independently seeded SimHashes of its five-word shingles, cut into blocks of
+`BLOCK` bits. At similarity 0.8 two texts differ in about 15 % of their bits, so they share none
+of the 80 blocks with probability (1 - 0.85^12)^80, 6e-6, and less above. Texts that share a
+block and differ in at most `RADIUS` bits of their first `CHECKED` prints are linked, and the
+components of these links are the candidate classes. In each class whole shingle sets meet,
+and similarity is counted on them. Sets meet in tiles of bounded size, which give the links
+of a spanning forest and not all pairs, so the result is the closure of all similar pairs met.
 """
 
 from __future__ import annotations
@@ -15,35 +16,65 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tslines.llm import simhash
-from tslines.llm.common import text_batches, whole_text
+from tslines.llm.common import runs, text_batches, whole_text
 from tslines.session import staged
 
 #: Words of a shingle, and the least similarity of near copies as a fraction.
 WIDTH, LEAST = 5, (4, 5)
-ROWS, BANDS = 6, 50
+#: SimHashes of a text and bits of a block; 4,096 values of each of 80 blocks.
+PRINTS, BLOCK = 16, 12
+#: Differing bits of the first `CHECKED` prints, and of the first alone, up to which texts are
+#: candidates. At similarity 0.8 these are 29 and 9.7 of 192 and 64, deviations 5.0 and 2.9;
+#: unrelated texts differ in 96 and 32.
+CHECKED, RADIUS, FIRST_RADIUS = 3, 54, 24
+#: Members of one block compared in one tile.
+MEMBERS = 1 << 12
 #: Shingles compared in one tile, about; two parts of a large group make a tile.
 TILE = 1 << 18
 
-_FACTORS = np.random.default_rng(42).integers(0, 1 << 63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
-
 
 def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
     """The distinct shingle hashes of a text, sorted."""
     return np.unique(np.frombuffer(simhash.shingle_hashes(text, width), np.uint64))
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """A text's keys; those of a text without words are the same for all of these."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max)
-    for at in range(0, len(shingles), 256):
-        least = np.minimum(least, np.multiply.outer(shingles[at : at + 256], _FACTORS).min(axis=0))
-    raw, step = least.tobytes(), 8 * ROWS
-    keys = [xxhash.xxh64_intdigest(raw[step * b : step * (b + 1)], b) for b in range(BANDS)]
-    return np.array(keys, np.uint64).view(np.int64)
+def _close(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(one ^ others).sum(axis=-1, dtype=np.int64) <= RADIUS
+
+
+def _any_close(prints: np.ndarray) -> np.ndarray:
+    """The members that are close to another one."""
+    first = np.ascontiguousarray(prints[:, 0])
+    found = np.zeros(len(prints), bool)
+    for at in range(0, len(prints), 256):
+        i, j = np.nonzero(np.bitwise_count(first[at : at + 256, None] ^ first[None, at:]) <= FIRST_RADIUS)
+        i, j = i[j > i] + at, j[j > i] + at
+        near = np.zeros(len(i), bool)
+        for low in range(0, len(i), 1 << 16):
+            some = slice(low, low + (1 << 16))
+            near[some] = _close(prints[i[some]], prints[j[some]])
+        found[i[near]] = found[j[near]] = True
+    return found
+
+
+def close_links(fps: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join the members of one block that are reachable in close steps."""
+    some = np.flatnonzero(_any_close(prints))
+    links = []
+    while len(some):
+        front, some = [some[0]], some[1:]
+        while front and len(some):
+            at = front.pop()
+            near = _close(prints[at], prints[some])
+            if near.any():
+                links += [(int(fps[at]), int(x)) for x in fps[some[near]]]
+                front += some[near].tolist()
+                some = some[~near]
+    return links
 
 
 def spanning_links(prints: list[int], sets: list[np.ndarray], least: tuple[int, int] = LEAST) -> list[tuple[int, int]]:
@@ -80,32 +111,63 @@ def spanning_links(prints: list[int], sets: list[np.ndarray], least: tuple[int,
 
 
 def signatures(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(sha, id, fp, size, keys) of every row; fp stands for the set of shingles."""
+    """(sha, id, fp, size, prints) of every row; fp stands for the set of shingles."""
 
     def run(batches: Iterator) -> Iterator:
         for batch, texts in text_batches(batches):
             sets = [shingle_set(t) for t in texts]
             prints = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            keys = pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints), sizes, keys], ["sha", "id", "fp", "size", "keys"])
+            seeded = pa.array([simhash.seeded_prints(s, PRINTS).view(np.int64) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints), sizes, seeded], ["sha", "id", "fp", "size", "prints"])
 
     rows = df.select(simhash.text_sha(text).alias("sha"), F.col(id_col).alias("id"), whole_text(text).alias("text"))
-    return rows.mapInArrow(run, f"sha binary, id {rows.schema['id'].dataType.simpleString()}, fp long, size long, keys array<long>")
+    return rows.mapInArrow(run, f"sha binary, id {rows.schema['id'].dataType.simpleString()}, fp long, size long, prints array<long>")
 
 
-def tiles(prints: DataFrame, tile: int = TILE) -> DataFrame:
-    """(fp, tile) of all that is to be compared: any two texts with a common key share a tile."""
-    keyed = prints.select("fp", "size", F.explode("keys").alias("key"))
-    members = F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("fp")))
-    met = keyed.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("all"), members.alias("members"))
-    met = staged(met.where("n > 1"), "keys")
-    joined = keyed.join(met, "key").select("fp", "members", "n", "all").distinct()
-    # groups beyond a tile: every member goes to the tiles of its part with all parts
-    parts = F.least(F.ceil(F.col("all") / tile), F.col("n")).cast("int")
+def _dealt(key: Column, parts: Column) -> Column:
+    """The tiles of a member: those of its part with all parts of the group."""
     own = F.pmod(F.xxhash64("fp"), parts).cast("int")
-    dealt = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: F.xxhash64("members", F.least(own, p), F.greatest(own, p)))
-    return joined.select("fp", F.explode(F.when(F.col("all") <= tile, F.array("members")).otherwise(dealt)).alias("tile"))
+    return F.transform(F.sequence(F.lit(0), parts - 1), lambda p: F.xxhash64(key, F.least(own, p), F.greatest(own, p)))
+
+
+def candidates(prints: DataFrame, members: int = MEMBERS) -> DataFrame:
+    """Links (a, b) over `prints.fp`: their components hold all close texts with a common block."""
+    blocks = simhash.BITS // BLOCK
+    cut = [
+        F.shiftrightunsigned(F.col("prints")[i], b * BLOCK).bitwiseAND(F.lit((1 << BLOCK) - 1)) + F.lit((i * blocks + b) << BLOCK)
+        for i in range(PRINTS)
+        for b in range(blocks)
+    ]
+    checked = [F.col("prints")[i].alias(f"p{i}") for i in range(CHECKED)]
+    keyed = prints.select("fp", *checked, F.explode(F.array(*cut)).alias("key"))
+    # at most one row per block and value, whatever the number of texts
+    large = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > members), "large")
+    parts = F.ceil(F.col("n") / members).cast("int")
+    tiles = F.when(F.col("n").isNull(), F.array(F.xxhash64("key"))).otherwise(_dealt(F.col("key"), parts))
+    names = [f"p{i}" for i in range(CHECKED)]
+    tiled = keyed.join(F.broadcast(large), "key", "left").select("fp", *names, F.explode(tiles).alias("tile"))
+    dealt = tiled.repartition("tile").sortWithinPartitions("tile")
+
+    def run(batches: Iterator) -> Iterator:
+        for group in runs(batches, ["tile"]):
+            if group.num_rows > 1:
+                seeds = np.stack([group.column(n).to_numpy() for n in names], 1).view(np.uint64)
+                found = close_links(group.column("fp").to_numpy(), seeds)
+                if found:
+                    yield _batch(found)
+
+    return dealt.select("tile", "fp", *names).mapInArrow(run, "a long, b long").distinct()
+
+
+def tiles(prints: DataFrame, tile: int = TILE) -> DataFrame:
+    """(fp, tile) of all that is to be compared: any two texts of a candidate class share a tile."""
+    roots = staged(simhash.components(candidates(prints)), "candidates")
+    rooted = prints.select(F.col("fp").alias("node"), "size").join(roots, "node")
+    groups = rooted.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("all"))
+    parts = F.greatest(F.lit(1), F.least(F.ceil(F.col("all") / tile), F.col("n"))).cast("int")
+    joined = roots.select(F.col("node").alias("fp"), "root").join(groups, "root")
+    return joined.select("fp", F.explode(_dealt(F.col("root"), parts)).alias("tile"))
 
 
 def shingle_sets(df: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -124,8 +186,8 @@ def shingle_sets(df: DataFrame, wanted: DataFrame, id_col: str, text: str) -> Da
 
 
 def links(df: DataFrame, prints: DataFrame, id_col: str, text: str, tile: int = TILE) -> DataFrame:
-    """Links (a, b) over `prints.fp`; their closure is that of all similar pairs that share
-    a key."""
+    """Links (a, b) over `prints.fp`; their closure is that of all similar pairs of a
+    candidate class."""
     tiled = staged(tiles(prints, tile), "tiles")
     wanted = prints.join(tiled.select("fp").distinct(), "fp", "left_semi")
     sets = shingle_sets(df, wanted, id_col, text)
@@ -163,6 +225,6 @@ def drop_similar(df: DataFrame, id_col: str = "doc_id", text: str = "text", tile
     smallest SHA-256 stays, and one of them if texts are equal too.
     """
     rows = staged(signatures(df, id_col, text), "signatures")
-    more = [F.any_value("size").alias("size"), F.any_value("keys").alias("keys")]
+    more = [F.any_value("size").alias("size"), F.any_value("prints").alias("prints")]
     found = simhash.classes(rows, simhash.by_id(), lambda prints: links(df, prints, id_col, text, tile), *more)
     return simhash.keep_best(df, found, id_col, text)
