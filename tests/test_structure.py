@@ -86,3 +86,18 @@ def test_repeated_names_in_short_and_wide_lines():
     rows = plain([f"m {wide}".encode(), f"m {wide},f7=1i".encode(), b"m a=1i,a=2i", b"m,a=1 a=2i", b"m,a=1,a=2 b=2i", b"n a=1i"])
     assert [r is None for r in rows] == [False, True, True, True, True, False]
     assert len(rows[0]["fields"]) == 400
+
+
+def test_long_batches_are_parsed_by_stretches(monkeypatch):
+    dice = random.Random(4)
+    lines = [line(dice) for _ in range(300)] + [wild(dice) for _ in range(100)] + [None, "", "m v=1i", 'm s="' + "x" * 5000 + '"']
+    dice.shuffle(lines)
+    array = pa.array(lines, pa.large_string())
+    want = structure._parse(array.cast(pa.large_binary()))
+    for chunk in (1, 100, 4000):
+        assert structure.parse_stretches(array, chunk).equals(want)
+        assert structure.parse_stretches(array.slice(50, 200), chunk).equals(want.slice(50, 200))
+    sizes, parse = [], structure.by_index
+    monkeypatch.setattr(structure, "by_index", lambda x: sizes.append(sum(len(v.as_py()) for v in x)) or parse(x))
+    structure.parse(pa.array(['m s="' + "x" * 990 + '"'] * 5000))
+    assert sum(sizes) == 5000 * 996 and max(sizes) <= 1 << 20

@@ -22,6 +22,8 @@ RUNTIME_CONF = {
     # HotSpot does not compile methods over 8,000 bytes. A stage that would need a longer
     # one runs faster as separate projections, which Spark cuts into short methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Bytes handed to a Python worker at once, besides the number of rows; lines may be long.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 _local_scratch: dict[str, str] = {}
