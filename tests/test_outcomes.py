@@ -1,10 +1,12 @@
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tslines.model import RESPONSES, RetryPolicy, WriteOptions
 from tslines.operators import outcomes
+from tslines.sources import delivery
 from tslines.sources.delivery import DeliveryFailed, Reply, deliver, failures, raise_on_failure
 
 PARTIAL = json.dumps(
@@ -183,3 +185,21 @@ def test_every_body_is_sent_once_however_often_the_result_is_read(spark, tmp_pat
     assert out.count() == out.distinct().count() == 20
     assert len(list(tmp_path.iterdir())) == 20
     assert {r.batch_id % 2: r.body for r in out.collect()} == {0: "plain", 1: "gz"}
+
+
+def test_a_transfer_of_bodies_gives_one_table_of_replies():
+    rows = [(i, f"m v={i}i", False) for i in range(50)]
+    frames = [pd.DataFrame(r, columns=["batch_id", "body", "gzipped"]) for r in (rows[:40], rows[40:])]
+    for inflight in (1, 3):
+        seen = set()
+
+        def send(payload, gzipped, seen=seen):
+            if payload in seen:
+                return Reply(204)
+            seen.add(payload)
+            return Reply(503)
+
+        tables = list(delivery._send_all(iter(frames), send, RetryPolicy(base_delay_ms=0), inflight, False))
+        assert len(tables) <= 3
+        got = [(r.batch_id, r.attempt, r.status) for t in tables for r in t.itertuples()]
+        assert got == [(i, n, status) for i in range(50) for n, status in enumerate((503, 204))]

@@ -88,6 +88,44 @@ def _attempts(body: str, gzipped: bool, send: Sender, policy: RetryPolicy) -> li
         time.sleep(wait / 1000)
 
 
+def _send_all(
+    frames: Iterator[pd.DataFrame], send: Sender, policy: RetryPolicy, inflight: int, stops: bool
+) -> Iterator[pd.DataFrame]:
+    """Replies to the bodies of one task, in the order of the bodies."""
+    failed, rows = False, []
+
+    def settle(batch_id, done) -> None:
+        nonlocal failed
+        replies = done.result()
+        failed |= not _through(replies[-1])
+        rows.extend((batch_id, n, *reply) for n, reply in enumerate(replies))
+
+    def table() -> pd.DataFrame:
+        # objects, so that whole numbers next to missing ones stay whole
+        out = pd.DataFrame(rows, columns=RESPONSES.names, dtype=object)
+        rows.clear()
+        return out
+
+    waiting: deque = deque()
+    with ThreadPoolExecutor(inflight) as pool:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                if len(waiting) >= inflight:
+                    settle(*waiting.popleft())
+                if stops and failed:
+                    rows.append((row.batch_id, None, *NOT_SENT))
+                    continue
+                work = pool.submit(_attempts, row.body, row.gzipped, send, policy)
+                waiting.append((row.batch_id, work))
+            # one table of replies for each transfer of bodies
+            if rows:
+                yield table()
+        while waiting:
+            settle(*waiting.popleft())
+        if rows:
+            yield table()
+
+
 def deliver(
     batches: DataFrame,
     send: Sender,
@@ -111,37 +149,16 @@ def deliver(
     inflight, stops = options.max_inflight, mode != "report"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        failed = False
-
-        def table(batch_id, done) -> pd.DataFrame:
-            nonlocal failed
-            replies = done.result()
-            failed |= not _through(replies[-1])
-            rows = [(batch_id, n, *reply) for n, reply in enumerate(replies)]
-            return pd.DataFrame(rows, columns=RESPONSES.names)
-
-        waiting: deque = deque()
-        with ThreadPoolExecutor(inflight) as pool:
-            for frame in frames:
-                for row in frame.itertuples(index=False):
-                    if len(waiting) >= inflight:
-                        yield table(*waiting.popleft())
-                    if stops and failed:
-                        rest = [(row.batch_id, None, *NOT_SENT)]
-                        yield pd.DataFrame(rest, columns=RESPONSES.names)
-                        continue
-                    work = pool.submit(_attempts, row.body, row.gzipped, send, policy)
-                    waiting.append((row.batch_id, work))
-            while waiting:
-                yield table(*waiting.popleft())
+        return _send_all(frames, send, policy, inflight, stops)
 
     spark = batches.sparkSession
     path = path or scratch_path(spark, "responses")
     gzipped = compresses(F.col("body"), options.gzip_threshold).alias("gzipped")
     replies = batches.select("batch_id", "body", gzipped).mapInPandas(run, RESPONSES)
-    # Bodies are megabytes each: keep few of them in one Arrow transfer.
+    # Bodies may be megabytes each, or a few lines: an Arrow transfer is bounded by bytes, and
+    # many small ones share its cost.
     small = {
-        "spark.sql.execution.arrow.maxRecordsPerBatch": str(4 * inflight),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(max(1000, 4 * inflight)),
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     }
     with sql_conf(spark, small):
