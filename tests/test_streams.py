@@ -132,3 +132,18 @@ def test_compaction_keeps_the_current_state(spark, tmp_path):
 def test_numbering_lines_of_a_stream_matches_batch(spark):
     df = spark.createDataFrame([("f", "a\n\nb")], "source string, body string")
     assert lines_of(explode_lines(df, key="source").orderBy(F.col("line"))) == ["a", "b"]
+
+
+def test_upserts_read_files_of_bounded_size(spark, sf_dir, monkeypatch):
+    from tslines.plans.registered import QUERIES, streaming
+
+    written, write = [], streaming.write_lines
+    monkeypatch.setattr(streaming, "_LINES_PER_FILE", 20, raising=False)
+    monkeypatch.setattr(streaming, "write_lines", lambda df, path, *a: written.append(path) or write(df, path, *a))
+    got = QUERIES["stream_upsert"](spark, sf_dir)
+    for path in written:
+        files = spark.read.text(path).groupBy("_metadata.file_path").count()
+        assert files.agg(F.max("count")).first()[0] == 20 and files.count() > 20
+    want = QUERIES["ing_lww"](spark, sf_dir).select("user_id", "time_ns", "value", "props")
+    got = got.select(*want.columns)
+    assert got.count() == want.count() and want.exceptAll(got).isEmpty()

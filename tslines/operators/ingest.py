@@ -16,7 +16,7 @@ TAG_TYPE = "tag"
 # A type table up to this many rows is sent to every task; a larger one is joined by key.
 MAX_BROADCAST_TYPES = 50_000
 MAX_BROADCAST_BATCHES = 100_000
-# Parts of a measurement's lines when its types are joined by key.
+# Parts of a measurement's lines when its types are joined by key, and of a point's writes.
 SALTS = 64
 
 # Lines per batch that fit into the packed write order below.
@@ -300,7 +300,13 @@ def last_write_wins_points(points: DataFrame) -> DataFrame:
 
 def _merge_fields(points: DataFrame) -> DataFrame:
     """One point per (series, time), merged per field first (with merging before the shuffle),
-    then put together; a group of the second step holds one row per field name."""
+    then put together; a group of the second step holds one row per field name.
+
+    Merging sorts, so writes are dealt out by point and part of its writes before: a block of
+    a compressed file holds many more than a task should, and a point with many writes is
+    still merged by several tasks."""
+    part = F.pmod(F.xxhash64("seq"), F.lit(SALTS))
+    points = points.repartition(F.xxhash64("measurement", "series", "time_ns"), part)
     fields = points.select("measurement", "series", "time_ns", "seq", F.posexplode("fields").alias("place", "field"))
     newest = fields.groupBy("measurement", "series", "time_ns", F.col("field.key").alias("key")).agg(
         F.max_by("field.value", F.struct("seq", "place")).alias("value"),

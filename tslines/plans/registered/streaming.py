@@ -20,6 +20,12 @@ from tslines.plans.registered.registry import (
 from tslines.sources.sinks import write_lines
 from tslines.streaming import streams
 
+# Files that are read whole hold about as many bytes as a large request body. Spark numbers
+# those of a task with three digits, which are in order up to 1,000 files.
+_LINES_PER_FILE = 200_000
+# All files present make one epoch.
+_ALL_FILES = 1_000_000
+
 
 def _event_stream(t: Tables) -> DataFrame:
     events = t.events
@@ -135,10 +141,10 @@ def stream_upsert(t: Tables) -> DataFrame:
     lines = encode_frame(writes(t), "w", ["user_id"], "time_ns", keep=["user_id", "seq"])
 
     def arrive(part: DataFrame, name: str) -> None:
-        # all writes of a series in one file, in order
+        # all writes of a series in the files of one task, in the order of their names
         ordered = part.repartition("user_id").sortWithinPartitions("seq")
-        write_lines(ordered, f"{source}/{name}")
-        bodies = streams.read_bodies_stream(t.spark, f"{source}/*")
+        write_lines(ordered, f"{source}/{name}", _LINES_PER_FILE)
+        bodies = streams.read_bodies_stream(t.spark, f"{source}/*", files_per_trigger=_ALL_FILES)
         streams.run_available(streams.ingest_stream(bodies, types, points, rejects, checkpoint))
 
     arrive(lines.where("seq < 1000000000"), "a")
