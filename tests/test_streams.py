@@ -147,3 +147,17 @@ def test_upserts_read_files_of_bounded_size(spark, sf_dir, monkeypatch):
     want = QUERIES["ing_lww"](spark, sf_dir).select("user_id", "time_ns", "value", "props")
     got = got.select(*want.columns)
     assert got.count() == want.count() and want.exceptAll(got).isEmpty()
+
+
+def test_compactions_get_as_many_tasks_as_their_rows_need(spark, tmp_path, monkeypatch):
+    from tslines.model import POINTS
+
+    rows = [("m", {"h": str(i % 30)}, [("v", (None, i, None, None, None))], 0, (0, i)) for i in range(300)]
+    spark.createDataFrame(rows, POINTS).withColumn("epoch", F.lit(0)).write.parquet(str(tmp_path / "points"))
+    seen, current = [], streams.current_points
+    monkeypatch.setattr(streams, "_TASK_ROWS", 10, raising=False)
+    monkeypatch.setattr(streams, "current_points", lambda *a: seen.append(spark.conf.get("spark.sql.shuffle.partitions")) or current(*a))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    state = streams.compact_points(spark, str(tmp_path / "points"), str(tmp_path / "state"))
+    assert seen == ["30"] and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert sorted(r.fields[0].value.i for r in state.collect()) == list(range(270, 300))

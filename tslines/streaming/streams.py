@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tslines.model import Precision
 from tslines.operators.decode import explode_lines, has_point, parse_lines
 from tslines.operators.ingest import judge, last_write_wins, last_write_wins_points, rejects
-from tslines.session import scratch_path, scratch_run, staged
+from tslines.session import scratch_path, scratch_run, sql_conf, staged
 from tslines.sources.files import read_named_lines
 from tslines.sources.sinks import write_measurement
 
@@ -208,13 +208,19 @@ def current_points(points: DataFrame, state: DataFrame | None = None) -> DataFra
     return last_write_wins_points(rows if state is None else rows.unionByName(state.select(*columns)))
 
 
+# Rows, and bytes before they are unpacked and sorted, that a task of a compaction takes.
+_TASK_ROWS, _TASK_BYTES = 200_000, 8 << 20
+
+
 def compact_points(
     spark: SparkSession, points_path: str, out: str, before: str | None = None
 ) -> DataFrame:
     """Write the current state to `out`, reading only epochs that `before` does not hold.
 
     `before` is the `out` of the previous call. Epochs are folders, so older ones are pruned
-    from the scan. Returns the new state; it may be read while points keep arriving.
+    from the scan. Returns the new state; it may be read while points keep arriving. Points
+    are many times larger in memory than in files or shuffles, so the number of tasks follows
+    the rows.
     """
     points = spark.read.parquet(points_path)
     state = None
@@ -223,7 +229,15 @@ def compact_points(
         done = state.agg(F.max("seq.epoch").alias("epoch")).first()["epoch"]
         if done is not None:
             points = points.where(F.col("epoch") > done)
-    current_points(points, state).write.parquet(out)
+    rows = points.count() + (0 if state is None else state.count())
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // _TASK_ROWS))
+    small = {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_TASK_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(_TASK_BYTES),
+    }
+    with sql_conf(spark, small):
+        current_points(points, state).write.parquet(out)
     return spark.read.parquet(out)
 
 
