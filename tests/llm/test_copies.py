@@ -235,3 +235,80 @@ def test_similar_texts_are_candidates_by_simhash(llm):
     for members in (1 << 12, 2):
         links = {tuple(sorted(r)) for r in similar.candidates(df, members).collect()}
         assert links == {(i, i + 1) for i in range(0, len(sets), 2)}
+
+
+def family(rng, n, changed=1):
+    """Rows of `prints` for n near copies of one text, with seeded SimHashes near each other."""
+    base = rng.integers(0, 1 << 63, 200, np.uint64)
+    rows = []
+    for i in range(n):
+        own = base.copy()
+        own[rng.integers(0, 200, changed)] = rng.integers(0, 1 << 63, changed, np.uint64)
+        rows.append((int(rng.integers(0, 1 << 62)), len(own), simhash.seeded_prints(own, similar.PRINTS).view(np.int64).tolist()))
+    return rows
+
+
+def test_links_of_a_large_family_are_few(llm):
+    """A block of a family of near copies must not add links of its own for each text."""
+    rows = family(np.random.default_rng(7), 400, changed=8)
+    df = llm.createDataFrame(rows, "fp long, size long, prints array<long>").repartition(4)
+    for members in (1 << 12, 64):
+        found = similar.candidates(df, members).collect()
+        assert len(found) <= 2 * len(rows)
+        roots = simhash.components(llm.createDataFrame(found, "a long, b long")).collect()
+        assert {(r.node, r.root) for r in roots} == {(fp, min(r[0] for r in rows)) for fp, _, _ in rows}
+
+
+def test_links_of_large_simhash_groups_are_few(llm):
+    """Fingerprints within a few bits share most of their keys."""
+    rng = random.Random(12)
+    base = rng.getrandbits(64)
+    prints = {base} | {base ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(600)}
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = llm.createDataFrame([(p,) for p in signed], "fp long").repartition(4)
+    for tile in (1 << 12, 200):
+        found = simhash.links(df, len(signed), tile=tile).collect()
+        assert len(found) <= 2 * len(signed)
+        roots = simhash.components(llm.createDataFrame(found, "a long, b long")).collect()
+        assert {(r.node, r.root) for r in roots} == {(p, min(signed)) for p in signed}
+
+
+def test_hung_keeps_the_closure(llm):
+    rng = random.Random(13)
+    edges = [tuple(rng.sample(range(i * 20, i * 20 + 20), 2)) for i in range(10) for _ in range(25)]
+    df = llm.createDataFrame(edges, "a long, b long")
+    want = {(r.node, r.root) for r in simhash.components(df).collect()}
+    assert {(r.node, r.root) for r in simhash.components(simhash.hung(df)).collect()} == want
+
+
+def test_only_members_apart_meet_again(llm):
+    """A joined group gives no tiles, a few others give about a row per member, and any two of
+    different roots meet."""
+    schema = "key long, fp long, weight long"
+    many = [(1, i, 1) for i in range(1000)] + [(2, i, 1) for i in range(500, 560)] + [(3, 5, 0), (3, 2000, 0)]
+    roots = llm.createDataFrame([(i, 0) for i in range(997)], "node long, root long")
+    rest = simhash.apart(llm.createDataFrame(many, schema), roots, 10).collect()
+    assert {r.key for r in rest} == {1, 3}
+    assert sum(r.key == 1 for r in rest) <= 1000 + 3 * 101
+    at = collections.defaultdict(lambda: collections.defaultdict(set))
+    for r in rest:
+        assert r.root == (0 if r.fp < 997 else r.fp)
+        at[r.key][r.fp].add(r.tile)
+    for key, fps in at.items():
+        for a in (k for k in fps if k >= 997):
+            assert all(fps[a] & fps[b] for b in fps), key
+    # all apart: every pair meets
+    rest = simhash.apart(llm.createDataFrame([(1, i, 1) for i in range(60)], schema), roots.where("node < 0"), 10).collect()
+    tiles = collections.defaultdict(set)
+    for r in rest:
+        tiles[r.fp].add(r.tile)
+    assert len(tiles) == 60 and all(tiles[a] & tiles[b] for a in tiles for b in tiles)
+
+
+def test_parted_groups_of_similar_texts_join_as_whole_ones(llm, docs):
+    rows = similar_rows(random.Random(14))
+    sets = [brute_shingles(t) for _, t in rows]
+    root, _ = brute_similar(sets)
+    want = sorted(max(-i for (i, _), r in zip(rows, root, strict=True) if r == c) for c in set(root))
+    for tile in (700, 5000):
+        assert sorted(-r.doc_id for r in similar.drop_similar(docs(*rows), tile=tile).collect()) == want

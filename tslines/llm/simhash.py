@@ -110,16 +110,66 @@ def spanning_links(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
     left, links = members, []
     while len(left):
         front, left = [left[0]], left[1:]
+        reached = list(front)
         while front and len(left):
-            at = front.pop()
-            near = _close(at, left, radius)
+            near = _close(front.pop(), left, radius)
             if near.any():
-                links += [(int(at), int(x)) for x in left[near]]
                 front += list(left[near])
+                reached += list(left[near])
                 left = left[~near]
+        links += star(reached)
     return links
 
 
+def star(nodes: list[int]) -> list[tuple[int, int]]:
+    """Links from the smallest of `nodes` to all others, so that tiles that share most of
+    their members give the same links."""
+    least, *others = np.unique(np.array(nodes, np.int64)).tolist()
+    return [(least, x) for x in others]
+
+
+def hung(links: DataFrame) -> DataFrame:
+    """Links (a, b) with the closure of `links`: the smaller neighbours of a node hang on the
+    smallest of them, the node too, so that about one link is left for each node.
+
+    A node's smaller neighbours make one row. Of links by `star` they are no more than the
+    tiles that the node is in.
+    """
+    pairs = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    met = pairs.groupBy("a").agg(F.min("b").alias("least"), F.collect_set("b").alias("all"))
+    nodes = F.concat(F.array("a"), F.array_remove("all", F.col("least")))
+    return met.select(F.explode(nodes).alias("a"), F.col("least").alias("b")).distinct()
+
+
+def apart(members: DataFrame, roots: DataFrame, bound: int) -> DataFrame:
+    """`members` (key, fp, weight, others) with `root` and `tile`: any two of one key that do
+    not have the same root in `roots` (node, root) share a tile.
+
+    Of each key the root of most weight is dealt once to the members of other roots, which
+    also meet each other. So a group that is joined already gives no rows, and one with a
+    few others as many as it has members; tiles hold about two times `bound`.
+    """
+    rooted = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    sums = rooted.groupBy("key", "root").agg(F.struct(F.sum("weight").alias("weight"), F.count("*").alias("n"), "root").alias("sum"))
+    both = sums.groupBy("key").agg(F.max("sum").alias("top"), F.sum("sum.weight").alias("weight"), F.sum("sum.n").alias("n"))
+
+    def parts(weight: Column, n: Column) -> Column:
+        return F.greatest(F.lit(1), F.least(F.ceil(weight / bound), n)).cast("int")
+
+    dealt = both.where("n > top.n").select(
+        "key",
+        F.col("top.root").alias("top"),
+        parts(F.col("top.weight"), F.col("top.n")).alias("tops"),
+        parts(F.col("weight") - F.col("top.weight"), F.col("n") - F.col("top.n")).alias("rests"),
+    )
+    joined = rooted.join(staged(dealt, "apart"), "key")
+    is_top, number = F.col("root") == F.col("top"), F.xxhash64("fp")
+    own = F.when(is_top, F.pmod(number, F.col("tops"))).otherwise(F.col("tops") + F.pmod(number, F.col("rests"))).cast("int")
+    others = F.sequence(F.when(is_top, F.col("tops")).otherwise(0), F.col("tops") + F.col("rests") - 1)
+    tiles = F.transform(others, lambda p: F.xxhash64("key", F.least(own, p), F.greatest(own, p)))
+    return joined.select(*members.columns, "root", F.explode(tiles).alias("tile"))
+
+
 def _links_of(keys: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
     """Links within runs of equal keys: short runs all at once by offset, long ones one by one."""
     cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
@@ -166,7 +216,7 @@ def links(prints: DataFrame, count: int, radius: int = RADIUS, tile: int = TILE)
         if len(keys):
             yield _batch(_links_of(keys, fps, radius))
 
-    return dealt.select("tile", "fp").mapInArrow(run, "a long, b long").distinct()
+    return hung(dealt.select("tile", "fp").mapInArrow(run, "a long, b long"))
 
 
 def _batch(found: np.ndarray) -> pa.RecordBatch:

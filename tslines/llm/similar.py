@@ -7,6 +7,7 @@ block and differ in at most `RADIUS` bits of their first `CHECKED` prints are li
 components of these links are the candidate classes. In each class whole shingle sets meet,
 and similarity is counted on them. Sets meet in tiles of bounded size, which give the links
 of a spanning forest and not all pairs, so the result is the closure of all similar pairs met.
+Groups larger than a tile are parted; only texts that are not joined then meet those of other parts.
 """
 
 from __future__ import annotations
@@ -62,18 +63,20 @@ def _any_close(prints: np.ndarray) -> np.ndarray:
 
 
 def close_links(fps: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
-    """Links that join the members of one block that are reachable in close steps."""
+    """Links that join the members of one block that are reachable in close steps. Members may
+    have the same `fps`: those of one text or of texts that are joined already."""
     some = np.flatnonzero(_any_close(prints))
     links = []
     while len(some):
         front, some = [some[0]], some[1:]
+        reached = list(front)
         while front and len(some):
-            at = front.pop()
-            near = _close(prints[at], prints[some])
+            near = _close(prints[front.pop()], prints[some])
             if near.any():
-                links += [(int(fps[at]), int(x)) for x in fps[some[near]]]
                 front += some[near].tolist()
+                reached += some[near].tolist()
                 some = some[~near]
+        links += simhash.star(fps[reached])
     return links
 
 
@@ -93,6 +96,7 @@ def spanning_links(prints: list[int], sets: list[np.ndarray], least: tuple[int,
         if not left[first]:
             continue
         left[first], front = False, [first]
+        reached = [first]
         while front and left.any():
             at = front.pop()
             mine = ids[places[at] : places[at + 1]]
@@ -102,11 +106,12 @@ def spanning_links(prints: list[int], sets: list[np.ndarray], least: tuple[int,
             # shared / (a + b - shared) >= part / whole, in whole numbers
             near = np.flatnonzero(left & (shared * (part + whole) >= part * (sizes + sizes[at])))
             if len(near):
-                links += [(prints[at], prints[x]) for x in near]
                 front += near.tolist()
+                reached += near.tolist()
                 left[near] = False
                 still = left[owners]
                 open_ids, owners = open_ids[still], owners[still]
+        links += simhash.star([prints[i] for i in reached])
     return links
 
 
@@ -125,14 +130,17 @@ def signatures(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, f"sha binary, id {rows.schema['id'].dataType.simpleString()}, fp long, size long, prints array<long>")
 
 
-def _dealt(key: Column, parts: Column) -> Column:
-    """The tiles of a member: those of its part with all parts of the group."""
-    own = F.pmod(F.xxhash64("fp"), parts).cast("int")
-    return F.transform(F.sequence(F.lit(0), parts - 1), lambda p: F.xxhash64(key, F.least(own, p), F.greatest(own, p)))
+def _own(key: str, parts: Column, seed: int = 0) -> Column:
+    """The one tile of a text among those of its group."""
+    return F.xxhash64(key, F.pmod(F.xxhash64("fp", F.lit(seed)), parts))
 
 
 def candidates(prints: DataFrame, members: int = MEMBERS) -> DataFrame:
-    """Links (a, b) over `prints.fp`: their components hold all close texts with a common block."""
+    """Links (a, b) over `prints.fp`: their components hold all close texts with a common block.
+
+    The texts of a block beyond `members` are dealt to several tiles, one each, and those that
+    no block has joined meet in a second pass.
+    """
     blocks = simhash.BITS // BLOCK
     cut = [
         F.shiftrightunsigned(F.col("prints")[i], b * BLOCK).bitwiseAND(F.lit((1 << BLOCK) - 1)) + F.lit((i * blocks + b) << BLOCK)
@@ -143,11 +151,8 @@ def candidates(prints: DataFrame, members: int = MEMBERS) -> DataFrame:
     keyed = prints.select("fp", *checked, F.explode(F.array(*cut)).alias("key"))
     # at most one row per block and value, whatever the number of texts
     large = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > members), "large")
-    parts = F.ceil(F.col("n") / members).cast("int")
-    tiles = F.when(F.col("n").isNull(), F.array(F.xxhash64("key"))).otherwise(_dealt(F.col("key"), parts))
+    parts = F.coalesce(F.ceil(F.col("n") / members), F.lit(1))
     names = [f"p{i}" for i in range(CHECKED)]
-    tiled = keyed.join(F.broadcast(large), "key", "left").select("fp", *names, F.explode(tiles).alias("tile"))
-    dealt = tiled.repartition("tile").sortWithinPartitions("tile")
 
     def run(batches: Iterator) -> Iterator:
         for group in runs(batches, ["tile"]):
@@ -157,17 +162,27 @@ def candidates(prints: DataFrame, members: int = MEMBERS) -> DataFrame:
                 if found:
                     yield _batch(found)
 
-    return dealt.select("tile", "fp", *names).mapInArrow(run, "a long, b long").distinct()
+    def met(tiled: DataFrame) -> DataFrame:
+        dealt = tiled.repartition("tile").sortWithinPartitions("tile")
+        return simhash.hung(dealt.select("tile", "fp", *names).mapInArrow(run, "a long, b long"))
+
+    found = met(keyed.join(F.broadcast(large), "key", "left").select("fp", *names, _own("key", parts).alias("tile")))
+    if large.isEmpty():
+        return found
+    found = staged(found, "close")
+    among = keyed.join(F.broadcast(large.select("key")), "key").withColumn("weight", F.lit(1))
+    rest = simhash.apart(among, staged(simhash.components(found), "joined"), members)
+    return found.unionByName(met(rest.select(F.col("root").alias("fp"), *names, "tile")))
 
 
-def tiles(prints: DataFrame, tile: int = TILE) -> DataFrame:
-    """(fp, tile) of all that is to be compared: any two texts of a candidate class share a tile."""
+def grouped(prints: DataFrame, tile: int = TILE) -> DataFrame:
+    """(key, fp, weight, parts) of the texts in candidate classes: the class, the number of
+    shingles, and the tiles that the class is dealt to."""
     roots = staged(simhash.components(candidates(prints)), "candidates")
-    rooted = prints.select(F.col("fp").alias("node"), "size").join(roots, "node")
-    groups = rooted.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("all"))
+    rooted = prints.select("fp", F.col("size").alias("weight")).join(roots.select(F.col("node").alias("fp"), F.col("root").alias("key")), "fp")
+    groups = rooted.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("all"))
     parts = F.greatest(F.lit(1), F.least(F.ceil(F.col("all") / tile), F.col("n"))).cast("int")
-    joined = roots.select(F.col("node").alias("fp"), "root").join(groups, "root")
-    return joined.select("fp", F.explode(_dealt(F.col("root"), parts)).alias("tile"))
+    return rooted.join(groups.select("key", parts.alias("parts")), "key")
 
 
 def shingle_sets(df: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -187,11 +202,13 @@ def shingle_sets(df: DataFrame, wanted: DataFrame, id_col: str, text: str) -> Da
 
 def links(df: DataFrame, prints: DataFrame, id_col: str, text: str, tile: int = TILE) -> DataFrame:
     """Links (a, b) over `prints.fp`; their closure is that of all similar pairs of a
-    candidate class."""
-    tiled = staged(tiles(prints, tile), "tiles")
-    wanted = prints.join(tiled.select("fp").distinct(), "fp", "left_semi")
-    sets = shingle_sets(df, wanted, id_col, text)
-    dealt = tiled.join(sets, "fp").repartition("tile").sortWithinPartitions("tile", "fp")
+    candidate class.
+
+    A class beyond `tile` is dealt to several tiles, a text to one, then dealt anew, which
+    joins what the first tiles found; texts that are still apart meet in a third pass.
+    """
+    members = staged(grouped(prints, tile), "members")
+    sets = shingle_sets(df, prints.join(members.select("fp"), "fp", "left_semi"), id_col, text)
 
     def run(batches: Iterator) -> Iterator:
         now, prints, sets = None, [], []
@@ -199,17 +216,30 @@ def links(df: DataFrame, prints: DataFrame, id_col: str, text: str, tile: int =
             found = []
             numbers, values = batch.column("shingles").value_lengths().to_numpy(), batch.column("shingles").flatten().to_numpy()
             cuts = np.split(values, np.cumsum(numbers)[:-1]) if len(numbers) else []
-            for at, fp, shingles in zip(batch.column("tile").to_pylist(), batch.column("fp").to_pylist(), cuts, strict=True):
+            for at, root, shingles in zip(batch.column("tile").to_pylist(), batch.column("root").to_pylist(), cuts, strict=True):
                 if at != now:
                     found += spanning_links(prints, sets)
                     now, prints, sets = at, [], []
-                prints.append(fp)
+                prints.append(root)
                 # a copy, so that the batch can go
                 sets.append(shingles.copy())
             yield _batch(found)
         yield _batch(spanning_links(prints, sets))
 
-    return dealt.select("tile", "fp", "shingles").mapInArrow(run, "a long, b long").distinct()
+    def met(tiled: DataFrame) -> DataFrame:
+        dealt = tiled.join(sets, "fp").repartition("tile").sortWithinPartitions("tile", "fp")
+        return dealt.select("tile", "root", "shingles").mapInArrow(run, "a long, b long").distinct()
+
+    def once(some: DataFrame, seed: int) -> DataFrame:
+        return met(some.select("fp", F.col("fp").alias("root"), _own("key", F.col("parts"), seed).alias("tile")))
+
+    large = members.where("parts > 1")
+    if large.isEmpty():
+        return once(members, 0)
+    sets = staged(sets, "sets")
+    found = staged(once(members, 0).unionByName(once(large, 1)), "similar")
+    rest = simhash.apart(large.drop("parts"), staged(simhash.components(found), "joined"), tile)
+    return found.unionByName(met(rest.select("fp", "root", "tile")))
 
 
 def _batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
