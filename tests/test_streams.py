@@ -105,6 +105,20 @@ def test_an_epoch_of_blocks_leaves_nothing_staged_and_replays(spark, tmp_path, m
     assert list((tmp_path / "scratch").iterdir()) == []
 
 
+def test_an_epoch_of_bodies_is_not_kept_in_memory(spark, tmp_path, monkeypatch):
+    (tmp_path / "scratch").mkdir()
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path / "scratch"))
+    kept, write = [], streams._write_epoch
+    monkeypatch.setattr(streams, "_write_epoch", lambda judged, *a: kept.append(judged.storageLevel.useMemory) or write(judged, *a))
+    paths = [str(tmp_path / n) for n in ("points", "rejects")]
+    bodies = spark.createDataFrame([("a", "m v=1i 1\nm v=x 2"), ("b", "m v=3i 3")], "source string, body string")
+    streams.epoch_writer(types(spark), *paths)(bodies, 0)
+    assert kept == [False]
+    assert sorted((r.seq.source, r.time_ns) for r in spark.read.parquet(paths[0]).collect()) == [("a", 1), ("b", 3)]
+    assert [(r.source, r.line) for r in spark.read.parquet(paths[1]).collect()] == [("a", 2)]
+    assert list((tmp_path / "scratch").iterdir()) == []
+
+
 def test_exact_replays_are_dropped_and_changes_pass(spark, tmp_path):
     schema = "host string, time timestamp, v bigint"
     at = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)

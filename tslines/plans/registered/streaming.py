@@ -20,9 +20,10 @@ from tslines.plans.registered.registry import (
 from tslines.sources.sinks import write_lines
 from tslines.streaming import streams
 
-# Files that are read whole hold about as many bytes as a large request body. Spark numbers
-# those of a task with three digits, which are in order up to 1,000 files.
-_LINES_PER_FILE = 200_000
+# Files that are read whole hold about half the bytes of a large request body, as a task has
+# several copies of one in memory. Spark numbers those of a task with three digits, which are
+# in order up to 1,000 files.
+_LINES_PER_FILE = 50_000
 # All files present make one epoch.
 _ALL_FILES = 1_000_000
 

@@ -76,17 +76,18 @@ def epoch_writer(
     precision: Precision | str = Precision.NS,
     multiline: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """What `ingest_stream` does with the bodies of one epoch."""
+    """What `ingest_stream` does with the bodies of one epoch.
+
+    Judged lines are written to the shared folder once, for both outputs, and deleted with
+    the epoch. Kept in the executors' memory they would fill it, whatever its size.
+    """
 
     def write(epoch: DataFrame, epoch_id: int) -> None:
         number = F.lit(epoch_id).cast("bigint")
-        lines = explode_lines(epoch, multiline, "source").withColumn("batch_id", number)
-        judged = _judge_epoch(lines, number, types, precision)
-        judged.persist()
-        try:
+        with scratch_run(epoch.sparkSession):
+            lines = explode_lines(epoch, multiline, "source").withColumn("batch_id", number)
+            judged = staged(_judge_epoch(lines, number, types, precision), "judged")
             _write_epoch(judged, epoch_id, points_path, rejects_path)
-        finally:
-            judged.unpersist()
 
     return write
 
@@ -209,7 +210,7 @@ def current_points(points: DataFrame, state: DataFrame | None = None) -> DataFra
 
 
 # Rows, and bytes before they are unpacked and sorted, that a task of a compaction takes.
-_TASK_ROWS, _TASK_BYTES = 200_000, 8 << 20
+_TASK_ROWS, _TASK_BYTES = 100_000, 4 << 20
 
 
 def compact_points(
