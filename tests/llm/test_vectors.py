@@ -72,6 +72,40 @@ def test_near_vectors_of_nothing(llm):
         embedding_dedup.near_vectors(table(llm, []), threshold=0.0)
 
 
+def test_vectors_are_compared_where_they_lie(llm, monkeypatch):
+    plans, shapes, write = {}, [], embedding_dedup.staged
+
+    def staged(df, name="stage"):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = write(df, name)
+        if name == "blocks":
+            shapes.extend((len(r["cells"]), len(r["n"]) // 8, len(r["raw"])) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "staged", staged)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = llm.conf.get(key)
+    rows = [(i, v, 0) for i, v in enumerate(clustered(np.random.default_rng(4), 300))]
+    got = embedding_dedup.near_vectors(table(llm, rows), cells=12, tile=50)
+    # no copies of vectors for the comparison, and four bytes a component in all tables
+    assert "CartesianProduct" in plans["met"] and "Exchange" not in plans["met"]
+    assert sum(n for _, n, _ in shapes) == 300 and all(size == n * 8 * 4 for _, n, size in shapes)
+    assert len(shapes) > 6 and max(n for _, n, _ in shapes) < 100 and llm.conf.get(key) == before
+    assert Counter(map(tuple, got.collect())) == brute_links(rows, 0.95)
+
+
+@pytest.mark.parametrize("cells", [1, 9])
+def test_pairs_at_the_threshold_are_decided_in_doubles(llm, cells):
+    rng, rows = np.random.default_rng(6), []
+    for i in range(60):
+        one, other = np.linalg.qr(rng.normal(size=(24, 2)))[0].T
+        cos = 0.95 + (1e-10 if i % 2 else -1e-10)
+        rows += [(2 * i, (3e40 * one).tolist(), 0), (2 * i + 1, (cos * one + math.sqrt(1 - cos * cos) * other).tolist(), 0)]
+    df = llm.createDataFrame([(i, v) for i, v, _ in rows], "vec_id long, embedding array<double>")
+    got = Counter(map(tuple, embedding_dedup.near_vectors(df, cells=cells, tile=40).collect()))
+    assert got == brute_links(rows, 0.95) and sum(n == 1 for _, n, _, _ in got) == 60
+
+
 def test_partners_meet_in_a_home_cell_of_one():
     rng = np.random.default_rng(5)
     unit, _ = embedding_dedup.directions(rng.normal(size=(400, 6)))
